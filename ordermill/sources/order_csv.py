@@ -85,14 +85,23 @@ def record_raw(df: DataFrame, column_map: dict[str, str] | None = None) -> Colum
     )
 
 
+def with_lineage(scan: DataFrame) -> DataFrame:
+    """Add the file and the split of every record; works on batch and streaming scans."""
+    return scan.select(
+        "*",
+        F.col("_metadata.file_path").alias("file_source"),
+        F.col("_metadata.file_block_start").alias("file_block_start"),
+    )
+
+
 def raw_envelope(
     df: DataFrame, id_run: str, column_map: dict[str, str] | None = None
 ) -> DataFrame:
-    """Wrap a file scan into the raw-layer record; must be applied straight to the scan."""
+    """Wrap a scan with lineage into raw-layer records; must directly follow the scan."""
     return df.select(
         F.lit(id_run).alias("id_run"),
-        F.col("_metadata.file_path").alias("file_source"),
-        row_number_source(F.col("_metadata.file_block_start")).alias("number_row_source"),
+        "file_source",
+        row_number_source(F.col("file_block_start")).alias("number_row_source"),
         F.current_timestamp().alias("at_ingested"),
         F.lit("spark").alias("engine_used"),
         record_raw(df, column_map).alias("record_raw"),
