@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ordermill.sinks.keyed_table import INSERTED, UNCHANGED, UPDATED
 
-ACCEPTED = F.col("quality_status") != "quarantined"
+def is_accepted() -> Column:
+    return F.col("quality_status") != "quarantined"
 
 
 def verdict_counts(classified: DataFrame) -> DataFrame:
@@ -19,7 +20,7 @@ def verdict_counts(classified: DataFrame) -> DataFrame:
 def error_code_counts(classified: DataFrame) -> DataFrame:
     """Per code: records quarantined under it, and records that mention it at all."""
     return (
-        classified.where(~ACCEPTED)
+        classified.where(~is_accepted())
         .select(
             F.explode(
                 F.array_append(
@@ -48,7 +49,7 @@ def correction_rule_counts(classified: DataFrame) -> DataFrame:
     they are percentages with one decimal.
     """
     rules = (
-        classified.where(ACCEPTED)
+        classified.where(is_accepted())
         .select(F.explode("corrections.rule_code").alias("rule_code"))
         .groupBy("rule_code")
         .agg(F.count(F.lit(1)).alias("corrections_count"))
@@ -102,7 +103,7 @@ def run_counts(raw: DataFrame, classified: DataFrame, actions: DataFrame) -> Dat
         ).alias("u")
     ).scalar()
     keys = (
-        classified.where(ACCEPTED).select("order_id").distinct()
+        classified.where(is_accepted()).select("order_id").distinct()
         .agg(F.count(F.lit(1)).alias("n")).scalar()
     )
     df = counted.select(

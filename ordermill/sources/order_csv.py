@@ -108,6 +108,8 @@ def raw_envelope(
     )
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    """The first rows of a scan."""
-    return df.limit(rows)
+def preview(spark: SparkSession, path: str, rows: int = 5, encoding: str = "UTF-8") -> DataFrame:
+    """The first rows of the first file, read from its beginning only, and the column count."""
+    scan = scan_orders(spark, path, encoding=encoding)
+    first = scan_orders(spark, min(scan.inputFiles()), scan.columns, encoding)
+    return first.limit(rows).withColumn("column_count", F.lit(len(scan.columns)).cast("bigint"))

@@ -11,8 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.constants import ARABIC_DIGITS, LATIN_DIGITS
+from ordermill.functions.text import latin_digits
+from ordermill.plans.ingest import ingest_files, rollback
+from ordermill.plans.store import OrderStore
+from ordermill.plans.views import refresh_all
 from ordermill.schema import PHYSICAL_FIELDS
 from ordermill.session import configure, fresh_dir
+from ordermill.streaming.directory import ingest_directory
+from ordermill.streaming.refresh import refresh_on_commit
 
 ITEM_KEYS = [
     ("product_id", "quantity", "unit_price"),
@@ -30,7 +36,7 @@ def _arabic(text: Column) -> Column:
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    """Per order the items array text and the exact sum of its lines."""
+    """Per order the rendered items in order and the exact sum of its lines."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     qty = F.col("l_quantity").cast("bigint")
     kind = F.col("l_orderkey") % 3
@@ -47,15 +53,21 @@ def _order_items(lineitem: DataFrame) -> DataFrame:
     ).otherwise(rendered(ITEM_KEYS[2]))
     lines = F.array_sort(F.collect_list(F.struct("l_linenumber", item.alias("item"))))
     return lineitem.groupBy("l_orderkey").agg(
-        F.concat(
-            F.lit("["), F.array_join(F.transform(lines, lambda x: x["item"]), ","), F.lit("]")
-        ).alias("items"),
+        F.transform(lines, lambda x: x["item"]).alias("items"),
         F.sum(qty * price).cast("decimal(18,2)").alias("lines_total"),
     )
 
 
-def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per delivered order: the physical CSV columns plus ``k`` and ``copy_no``."""
+# Orders dated before this day make up the first of two deliveries.
+FIRST_DELIVERY_ENDS = "2008-01-01"
+
+
+def dirty_orders(spark: SparkSession, sf_dir: str, delivery: int = 0) -> DataFrame:
+    """One record per delivered order: the physical CSV columns plus ``k`` and ``copy_no``.
+
+    Delivery 0 is everything at once. Delivery 1 holds the older orders; delivery 2 everything
+    again, with orders in transit moved to the next day and pending ones without their first item.
+    """
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -76,6 +88,14 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.when(k % 41 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
     )
     day = F.add_months(F.col("o_orderdate").cast("date"), 120)
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    if delivery == 1:
+        base = base.where(day < F.lit(FIRST_DELIVERY_ENDS).cast("date"))
+    if delivery == 2:
+        day = F.when(F.col("o_orderstatus") == "O", F.date_add(day, 1)).otherwise(day)
+        items = F.when(
+            F.col("o_orderstatus") == "P", F.slice(items, F.lit(2), F.greatest(F.size(items), F.lit(1)))
+        ).otherwise(items)
     iso = F.date_format(day, "yyyy-MM-dd")
     total = (F.coalesce("lines_total", F.lit(0)) + 10).cast("decimal(18,2)")
     total_text = total.cast("string")
@@ -125,7 +145,7 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 13 == 3, text((total + 100).cast("decimal(18,2)")))
         .otherwise(total_text),
         "items_json": F.when(k % 61 == 0, "{broken").otherwise(
-            F.coalesce("items", F.lit("[]"))
+            F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
         ),
     }
     assert list(columns) == PHYSICAL_FIELDS
@@ -161,10 +181,65 @@ def once(spark: SparkSession, sf_dir: str, label: str, build):
     return _written[key]
 
 
-def order_files(spark: SparkSession, sf_dir: str) -> str:
+def order_files(spark: SparkSession, sf_dir: str, delivery: int = 0) -> str:
     """Folder of CSV files holding all dirty orders of a data folder."""
     configure(spark)
     return once(
-        spark, sf_dir, "csv",
-        lambda: write_order_csv(dirty_orders(spark, sf_dir), fresh_dir(spark, "orders-csv")),
+        spark, sf_dir, f"csv-{delivery}",
+        lambda: write_order_csv(
+            dirty_orders(spark, sf_dir, delivery), fresh_dir(spark, f"orders-csv-{delivery}")
+        ),
     )
+
+
+def windows_1256_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same records in windows-1256, which has no Arabic-Indic digits: those are Latin."""
+    configure(spark)
+
+    def build() -> str:
+        orders = dirty_orders(spark, sf_dir).withColumns(
+            {c: latin_digits(F.col(c)) for c in PHYSICAL_FIELDS}
+        )
+        return write_order_csv(orders, fresh_dir(spark, "orders-1256"), "windows-1256")
+
+    return once(spark, sf_dir, "csv-1256", build)
+
+
+def store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """All orders ingested in one run."""
+    def build() -> OrderStore:
+        made = OrderStore(spark, fresh_dir(spark, "store"))
+        ingest_files(made, order_files(spark, sf_dir), "run-1")
+        return made
+
+    return once(spark, sf_dir, "store", build)
+
+
+def two_delivery_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """Two runs with a view refresh after each; then the second run is rolled back.
+
+    Versions of the validated table: 1 after the first run, 2 after the second, 3 rolled back.
+    """
+    def build() -> OrderStore:
+        made = OrderStore(spark, fresh_dir(spark, "store-two"))
+        for delivery in (1, 2):
+            ingest_files(made, order_files(spark, sf_dir, delivery), f"run-{delivery}")
+            refresh_all(made)
+        rollback(made, "run-2")
+        return made
+
+    return once(spark, sf_dir, "store-two", build)
+
+
+def streamed_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """The two deliveries arriving in a watched directory, views refreshed by the commit stream."""
+    def build() -> OrderStore:
+        made = OrderStore(spark, fresh_dir(spark, "store-stream"))
+        inbox = fresh_dir(spark, "inbox")
+        for delivery in (1, 2):
+            write_order_csv(dirty_orders(spark, sf_dir, delivery), f"{inbox}/chunk_{delivery}")
+            ingest_directory(made, f"{inbox}/chunk_*", max_files=1000).awaitTermination()
+            refresh_on_commit(made, None).awaitTermination()
+        return made
+
+    return once(spark, sf_dir, "store-stream", build)

@@ -54,7 +54,12 @@ def money(x: str) -> str:
 
 # --- the derived order records --------------------------------------------------------------
 
-DIRTY = f"""
+_PLAIN_PRICE = (
+    "regexp_replace(regexp_replace(cast(cast(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), "
+    "'0+$', ''), '\\.$', '')"
+)
+
+_DERIVED = f"""
 lines AS (
   SELECT l_orderkey, l_linenumber, 'P' || l_partkey AS product,
          cast(l_quantity AS BIGINT) AS qty, cast(l_extendedprice AS DECIMAL(18,2)) AS price,
@@ -65,16 +70,25 @@ lines AS (
                        || ',"price":' || cast(l_extendedprice AS DECIMAL(18,2)) || '}}'
            ELSE '{{"name":"P' || l_partkey || '","count":' || cast(l_quantity AS BIGINT)
                        || ',"item_price":' || cast(l_extendedprice AS DECIMAL(18,2)) || '}}'
-         END AS item
+         END AS item,
+         CASE l_orderkey % 3
+           WHEN 0 THEN '{{"product_id":"P' || l_partkey || '","quantity":' || cast(l_quantity AS BIGINT)
+                       || ',"unit_price":' || {_PLAIN_PRICE} || '}}'
+           WHEN 1 THEN '{{"price":' || {_PLAIN_PRICE} || ',"qty":' || cast(l_quantity AS BIGINT)
+                       || ',"sku":"P' || l_partkey || '"}}'
+           ELSE '{{"count":' || cast(l_quantity AS BIGINT) || ',"item_price":' || {_PLAIN_PRICE}
+                       || ',"name":"P' || l_partkey || '"}}'
+         END AS canonical
   FROM lineitem
 ),
 order_items AS (
-  SELECT l_orderkey, '[' || string_agg(item, ',' ORDER BY l_linenumber, item) || ']' AS items,
-         sum(qty * price) AS lines_total
+  SELECT l_orderkey, list(item ORDER BY l_linenumber, item) AS items,
+         list(canonical ORDER BY l_linenumber, item) AS canonicals, sum(qty * price) AS lines_total
   FROM lines GROUP BY l_orderkey
 ),
 base AS (
-  SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_orderpriority, c_name, n_name, r_name, items,
+  SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_orderpriority, c_name, n_name, r_name,
+         coalesce(items, []) AS items, coalesce(canonicals, []) AS canonicals,
          cast(o_orderdate + INTERVAL 10 YEARS AS DATE) AS od,
          cast(coalesce(lines_total, 0) + 10 AS DECIMAL(18,2)) AS total,
          cast(cast(coalesce(lines_total, 0) + 10 AS DECIMAL(18,2)) AS VARCHAR) AS ts
@@ -84,11 +98,26 @@ base AS (
   JOIN region ON n_regionkey = r_regionkey
   LEFT JOIN order_items ON l_orderkey = o_orderkey
 ),
+"""
+
+_ALL_AT_ONCE = "deliveries AS (SELECT 1 AS run, * FROM base),"
+
+_TWO_DELIVERIES = """deliveries AS (
+  SELECT 1 AS run, * FROM base WHERE od < DATE '2008-01-01'
+  UNION ALL
+  SELECT 2 AS run, * REPLACE (
+    CASE o_orderstatus WHEN 'O' THEN od + 1 ELSE od END AS od,
+    CASE o_orderstatus WHEN 'P' THEN items[2:] ELSE items END AS items,
+    CASE o_orderstatus WHEN 'P' THEN canonicals[2:] ELSE canonicals END AS canonicals)
+  FROM base
+),"""
+
+_FAULTS = f"""
 copies AS (
-  SELECT *, 1 AS copy_no FROM base UNION ALL SELECT *, 2 AS copy_no FROM base WHERE k % 41 = 0
+  SELECT *, 1 AS copy_no FROM deliveries UNION ALL SELECT *, 2 AS copy_no FROM deliveries WHERE k % 41 = 0
 ),
 dirty AS (
-  SELECT k, copy_no,
+  SELECT run, k, copy_no,
     CASE WHEN k % 97 = 0 THEN '' ELSE 'ORD' || k END AS order_id,
     CASE WHEN k % 67 = 0 THEN '2025-13-45'
          WHEN k % 11 = 0 THEN strftime(od, '%Y/%m/%d')
@@ -118,10 +147,14 @@ dirty AS (
          WHEN k % 13 = 2 THEN 'خمسة آلاف'
          WHEN k % 13 = 3 THEN cast(cast(total + 100 AS DECIMAL(18,2)) AS VARCHAR)
          ELSE ts END AS total_amount,
-    CASE WHEN k % 61 = 0 THEN '{{broken' ELSE coalesce(items, '[]') END AS items_json
+    CASE WHEN k % 61 = 0 THEN '{{broken' ELSE '[' || array_to_string(items, ',') || ']' END AS items_json,
+    '[' || array_to_string(canonicals, ',') || ']' AS items_canonical
   FROM copies
 )"""
 
+DIRTY = _DERIVED + _ALL_AT_ONCE + _FAULTS
+DIRTY_TWICE = _DERIVED + _TWO_DELIVERIES + _FAULTS
+
 # --- the rules ------------------------------------------------------------------------------
 
 _ISO = C.ISO_DATE_TIME_PATTERN
@@ -151,7 +184,7 @@ def _item_number(x: str) -> str:
 _DASHED = "regexp_replace(date_digits, '[/.]', '-', 'g')"
 _NO_Z = "replace(date_digits, 'Z', '')"
 
-RULED = DIRTY + f""",
+RULES = f""",
 stripped AS (
   SELECT *,
     {clean("order_id")} AS t_order_id, {clean("customer_id")} AS t_customer_id,
@@ -202,14 +235,14 @@ fixed AS (
          WHEN json_array_length(t_items) = 0 THEN 'ITEMS_EMPTY' END AS e_items
   FROM priced
 ),
-good_items AS (SELECT k, copy_no, t_items FROM fixed WHERE e_items IS NULL),
+good_items AS (SELECT run, k, copy_no, t_items FROM fixed WHERE e_items IS NULL),
 item_rows AS (
-  SELECT k, copy_no, unnest(from_json(t_items, '["json"]')) AS item,
+  SELECT run, k, copy_no, unnest(from_json(t_items, '["json"]')) AS item,
          generate_subscripts(from_json(t_items, '["json"]'), 1) AS pos
   FROM good_items
 ),
 item_lines AS (
-  SELECT k, copy_no, pos,
+  SELECT run, k, copy_no, pos,
     coalesce({_first_present(C.ITEM_PRODUCT_KEYS)}, 'UNKNOWN') AS product,
     CASE WHEN {_first_filled(C.ITEM_QUANTITY_KEYS)} IS NULL THEN 1.0
          ELSE {_item_number(_first_filled(C.ITEM_QUANTITY_KEYS))} END AS qty,
@@ -218,10 +251,10 @@ item_lines AS (
   FROM item_rows
 ),
 computed_totals AS (
-  SELECT k, copy_no,
+  SELECT run, k, copy_no,
     CASE WHEN bool_and(coalesce(is_object AND qty >= 0 AND unit_price >= 0, false))
          THEN sum(qty * unit_price) END AS lines_sum
-  FROM item_lines GROUP BY k, copy_no
+  FROM item_lines GROUP BY run, k, copy_no
 ),
 computed AS (
   SELECT f.*,
@@ -233,7 +266,7 @@ computed AS (
     regexp_matches(c_email, '{C.EMAIL_PATTERN}') AS email_valid,
     coalesce(year(try_strptime(c_date, '%Y-%m-%d')) NOT BETWEEN {C.FIRST_PLAUSIBLE_YEAR}
              AND {C.LAST_PLAUSIBLE_YEAR}, true) AS bad_date
-  FROM fixed f LEFT JOIN computed_totals USING (k, copy_no)
+  FROM fixed f LEFT JOIN computed_totals USING (run, k, copy_no)
 ),
 compared AS (
   SELECT *, CASE WHEN fee >= 0 THEN {money("lines_sum + fee")} END AS computed_total FROM computed
@@ -275,9 +308,9 @@ ruled AS (
 
 _REASONS = lookup(C.QUARANTINE_REASONS, "code")
 
-CLASSIFIED = RULED + f""",
+VERDICTS = f""",
 chained AS (
-  SELECT *, lag({{'c': cust, 't': final_total}}) OVER (PARTITION BY id ORDER BY k, copy_no) AS before
+  SELECT *, lag({{'c': cust, 't': final_total}}) OVER (PARTITION BY run, id ORDER BY k, copy_no) AS before
   FROM ruled
 ),
 flagged AS (
@@ -303,19 +336,299 @@ classified AS (
 )"""
 
 CLEANED = """
-    k, copy_no, id AS order_id, cust AS customer_id, nullif(customer_name, '') AS customer_name,
+    run, k, copy_no, id AS order_id, cust AS customer_id, nullif(customer_name, '') AS customer_name,
     CASE WHEN email_valid THEN c_email ELSE t_email END AS customer_email,
     CASE WHEN t_phone = '' THEN customer_phone ELSE c_phone END AS customer_phone,
-    c_date AS order_date, t_items AS items_text, c_currency AS currency, delivery_cost AS delivery_fee,
+    c_date AS order_date, items_canonical AS items, c_currency AS currency, delivery_cost AS delivery_fee,
     nullif(delivery_type, '') AS delivery_type, nullif(payment_method, '') AS payment_method,
     nullif(payment_status, '') AS payment_status, final_total AS total_amount,
     t_status AS status, nullif(city, '') AS city, nullif(district, '') AS district,
     verdict AS quality_status, corrections, corrections_text"""
 
-ACCEPTED = CLASSIFIED + f""",
-accepted AS (SELECT {CLEANED} FROM classified WHERE verdict <> 'quarantined')"""
+LAST_ROWS = f""",
+accepted AS (SELECT {CLEANED} FROM classified WHERE verdict <> 'quarantined'),
+last_rows AS (
+  SELECT * FROM accepted
+  QUALIFY row_number() OVER (PARTITION BY run, order_id ORDER BY k DESC, copy_no DESC) = 1
+)"""
 
-VALIDATED = ACCEPTED + """,
+BUSINESS = [
+    "customer_id", "customer_name", "customer_email", "customer_phone", "order_date", "items",
+    "currency", "delivery_fee", "delivery_type", "payment_method", "payment_status",
+    "total_amount", "status", "city", "district", "quality_status", "corrections_text",
+]
+
+_SAME = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in BUSINESS)
+
+# The second run compared with the first, and the table after both.
+_MERGED = f""",
+compared_runs AS (
+  SELECT n.*, CASE WHEN o.order_id IS NULL THEN 'inserted' WHEN {_SAME} THEN 'unchanged'
+                   ELSE 'updated' END AS action
+  FROM (SELECT * FROM last_rows WHERE run = 2) n
+  LEFT JOIN (SELECT * FROM last_rows WHERE run = 1) o ON n.order_id = o.order_id
+),
 validated AS (
-  SELECT * FROM accepted QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY k DESC, copy_no DESC) = 1
+  SELECT * EXCLUDE (action), 'run-2' AS last_run_id,
+         CASE action WHEN 'inserted' THEN 'run-2' ELSE 'run-1' END AS first_seen_run_id
+  FROM compared_runs WHERE action <> 'unchanged'
+  UNION ALL
+  SELECT *, 'run-1', 'run-1' FROM last_rows
+  WHERE run = 1 AND order_id NOT IN (SELECT order_id FROM compared_runs WHERE action <> 'unchanged')
 )"""
+
+CLASSIFIED = DIRTY + RULES + VERDICTS
+VALIDATED = CLASSIFIED + LAST_ROWS + """,
+validated AS (SELECT *, 'run-1' AS last_run_id, 'run-1' AS first_seen_run_id FROM last_rows)"""
+MERGED = DIRTY_TWICE + RULES + VERDICTS + LAST_ROWS + _MERGED
+
+# --- one statement per query ----------------------------------------------------------------
+
+from ordermill.constants import COLUMN_MAP, UNKNOWN_CITY  # noqa: E402
+from ordermill.schema import CLEANED_FIELDS, PHYSICAL_FIELDS  # noqa: E402
+
+
+def _physical(value=lambda c: f"nullif({c}, '')") -> str:
+    return ", ".join(f"{value(c)} AS {c}" for c in PHYSICAL_FIELDS)
+
+
+def _logical(prefix: str = "") -> str:
+    return ", ".join(f"nullif({prefix}{p}, '') AS {l}" for l, p in COLUMN_MAP.items())
+
+
+_FLAT = ", ".join(
+    "cast(total_amount AS DOUBLE) AS total_amount" if c == "total_amount" else c
+    for c in CLEANED_FIELDS
+) + ", quality_status, corrections_text AS corrections"
+
+_TRACKED = _FLAT + ", {run1} AS last_run_id, {run2} AS first_seen_run_id"
+
+
+def _average(total: str, n: str) -> str:
+    cents = f"cast({total} * 100 AS HUGEINT)"
+    return f"CASE WHEN {n} > 0 THEN cast((2 * {cents} + {n}) // (2 * {n}) AS DOUBLE) / 100.0 END"
+
+
+def _percent(part: str, total: str, digits: int) -> str:
+    scale = 10**digits
+    a = f"cast({part} AS HUGEINT) * {200 * scale}"
+    return f"cast(({a} + {total}) // (2 * {total}) AS DOUBLE) / {float(scale)}"
+
+
+_LINES = """,
+order_lines AS (
+  SELECT l.product, cast(l.qty AS DECIMAL(28,6)) AS units,
+         cast(l.qty * coalesce(l.unit_price, 0) AS DECIMAL(28,6)) AS revenue, v.order_id,
+         cast(l.qty AS DOUBLE) AS qty, cast(l.unit_price AS DOUBLE) AS unit_price
+  FROM validated v JOIN item_lines l ON v.run = l.run AND v.k = l.k AND v.copy_no = l.copy_no
+)"""
+
+_DAILY = f"""
+SELECT order_date AS day, cast(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_sales,
+       count(*) AS orders_count, {_average("coalesce(sum(total_amount), 0)", "count(total_amount)")} AS avg_order_value
+FROM validated GROUP BY order_date"""
+
+_PRODUCTS = """
+SELECT product, cast(round(sum(revenue), 2) AS DOUBLE) AS revenue, cast(sum(units) AS DOUBLE) AS units_sold,
+       count(*) AS orders_count
+FROM order_lines WHERE product <> '' GROUP BY product"""
+
+_CITY = f"""
+SELECT coalesce(city, '{UNKNOWN_CITY}') AS city, cast(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_sales,
+       count(*) AS orders_count, {_average("coalesce(sum(total_amount), 0)", "count(total_amount)")} AS avg_order_value
+FROM validated GROUP BY validated.city
+ORDER BY coalesce(sum(total_amount), 0) DESC, validated.city ASC NULLS FIRST LIMIT {{limit}}"""
+
+_TOP_PRODUCTS = """
+SELECT product, cast(round(sum(revenue), 2) AS DOUBLE) AS revenue, cast(sum(units) AS DOUBLE) AS units_sold,
+       count(*) AS orders_count
+FROM order_lines GROUP BY product ORDER BY round(sum(revenue), 2) DESC, product LIMIT 10"""
+
+_STATUS = f"""
+SELECT status, orders_count, {_percent("orders_count", "total", 2)} AS percentage
+FROM (SELECT status, count(*) AS orders_count, sum(count(*)) OVER () AS total FROM validated GROUP BY status)"""
+
+_LOOKUP_FILTERS = {
+    "orders_by_status": ("status = 'مؤكد'", "order_date"),
+    "orders_by_customer": ("customer_id = 'CUST7'", "order_date"),
+    "high_value_orders_by_city": ("city = 'NATION_5' AND total_amount >= 1000", "total_amount"),
+    "orders_by_payment": ("payment_method = '1-URGENT' AND payment_status = 'F'", "order_date"),
+    "orders_needing_review": ("quality_status = 'corrected'", "last_run_id"),
+}
+
+
+def _lookup(name: str, columns: str) -> str:
+    condition, order = _LOOKUP_FILTERS[name]
+    return (
+        f"SELECT {columns} FROM (SELECT * FROM validated WHERE {condition} "
+        f"ORDER BY {order} DESC NULLS LAST, order_id LIMIT 10)"
+    )
+
+
+_CLUSTERED = " UNION ALL ".join(
+    _lookup(name, f"'{name}' AS lookup, order_id, order_date, cast(total_amount AS DOUBLE) AS total_amount")
+    for name in _LOOKUP_FILTERS if name != "orders_by_payment"
+)
+
+_ROLLED_BACK = """
+FROM (SELECT * FROM validated WHERE last_run_id <> 'run-2')"""
+
+_COUNTS = """,
+counts AS (
+  SELECT (SELECT count(*) FROM dirty) AS read_rows, (SELECT count(*) FROM dirty) AS loaded_raw,
+         count(*) FILTER (verdict = 'valid') AS count_valid,
+         count(*) FILTER (verdict = 'corrected') AS count_corrected,
+         count(*) FILTER (verdict = 'quarantined') AS count_quarantine,
+         (SELECT count(*) FROM validated) AS count_inserted, 0::BIGINT AS count_updated,
+         0::BIGINT AS count_unchanged, (SELECT count(DISTINCT order_id) FROM accepted) AS distinct_accepted
+  FROM classified
+)"""
+
+_BYTES = " + ".join(f"strlen(coalesce({c}, ''))" for c in PHYSICAL_FIELDS) + f" + {len(PHYSICAL_FIELDS)}"
+_HEADER = len((",".join(PHYSICAL_FIELDS) + "\n").encode())
+
+
+def _pair(raw: str, value: str, corrected: str, more: str = "") -> str:
+    return (
+        f"WITH {DIRTY + RULES} SELECT nullif({raw}, '') AS raw, {value} AS value, "
+        f"{corrected} AS corrected{more} FROM ruled"
+    )
+
+
+def oracle_sql() -> dict[str, str]:
+    tracked = _TRACKED.format(run1="last_run_id", run2="first_seen_run_id")
+    streamed = _TRACKED.format(
+        run1="CASE last_run_id WHEN 'run-1' THEN 'chunk-000000' ELSE 'chunk-000001' END",
+        run2="CASE first_seen_run_id WHEN 'run-1' THEN 'chunk-000000' ELSE 'chunk-000001' END",
+    )
+    return {
+        "csv_scan": f"WITH {DIRTY} SELECT {_physical()} FROM dirty",
+        "csv_scan_cp1256": f"WITH {DIRTY} SELECT {_physical(lambda c: 'nullif(' + latin(c) + chr(44) + repr('') + ')')} FROM dirty",
+        "column_map": f"WITH {DIRTY} SELECT {_logical()} FROM dirty",
+        "raw_envelope": f"WITH {DIRTY} SELECT 'run-1' AS id_run, 'spark' AS engine_used, "
+                        f"true AS has_lineage, {_logical()} FROM dirty",
+        "preview": f"WITH {DIRTY} SELECT {_physical()}, {len(PHYSICAL_FIELDS)}::BIGINT AS column_count "
+                   f"FROM (SELECT * FROM dirty ORDER BY k, copy_no LIMIT 5)",
+        "stream_dir_ingest": f"WITH {MERGED} SELECT {streamed} FROM validated",
+        "quarantine": f"""WITH {CLASSIFIED}
+            SELECT 'run-1' AS id_run, nullif(order_id, '') AS order_id_raw, codes_text AS codes_error,
+                   reason AS details_error, code AS quarantine_code,
+                   corrections_text AS corrections_attempted, nullif(customer_id, '') AS customer_id_raw,
+                   order_date AS order_date_raw, total_amount AS total_amount_raw, items_json AS items_raw
+            FROM classified WHERE verdict = 'quarantined'""",
+        "upsert_merge": f"WITH {MERGED} SELECT {tracked} FROM validated",
+        "upsert_actions": f"WITH {MERGED} SELECT order_id, action FROM compared_runs",
+        "split_rows": f"WITH {DIRTY} SELECT {_physical()}, true AS within_limit FROM dirty",
+        "rule_arabic_digits": _pair("total_amount", "p1", "p1 <> p0"),
+        "rule_currency": _pair("currency", "c_currency", "coalesce(c_currency <> t_currency, false)"),
+        "rule_thousands": _pair(
+            "total_amount",
+            f"CASE WHEN contains(p0, ',') AND regexp_matches(replace(p0, ',', ''), '{C.NUMBER_PATTERN}') "
+            "THEN replace(p0, ',', '') ELSE total_amount END",
+            f"contains(p0, ',') AND regexp_matches(replace(p0, ',', ''), '{C.NUMBER_PATTERN}')",
+        ),
+        "rule_price_words": _pair(
+            "total_amount", f"coalesce({lookup(C.PRICE_WORDS, 'p0')}, total_amount)",
+            f"({lookup(C.PRICE_WORDS, 'p0')}) IS NOT NULL",
+        ),
+        "rule_parse_price": f"WITH {DIRTY + RULES} SELECT total_amount AS raw, cast(stated AS DOUBLE) AS price, "
+                            "len(stated_codes) > 0 AS corrected, array_to_string(stated_codes, '+') AS codes FROM ruled",
+        "rule_phone": _pair("customer_phone", "c_phone", "c_phone <> t_phone"),
+        "rule_email": _pair("customer_email", "c_email", "c_email <> t_email", ", email_valid AS is_valid"),
+        "rule_date": _pair(
+            "order_date", "c_date",
+            f"c_date IS NOT NULL AND (NOT regexp_matches(date_digits, '{_ISO}') OR date_digits <> t_date)",
+            ", bad_date AS is_impossible",
+        ),
+        "rule_status": _pair("status", "t_status", "t_status <> status"),
+        "rule_items_json": f"""WITH {DIRTY + RULES} SELECT items_json AS raw,
+            CASE WHEN e_items IS DISTINCT FROM 'JSON_ITEMS_CORRUPTED' THEN items_canonical END AS items,
+            e_items AS error_code FROM ruled""",
+        "rule_recompute_total": f"""WITH {DIRTY + RULES} SELECT nullif(order_id, '') AS order_id,
+            cast(stated AS DOUBLE) AS stated, cast(computed_total AS DOUBLE) AS computed,
+            recomputed AS corrected FROM ruled WHERE e_items IS NULL""",
+        "error_codes": f"WITH {CLASSIFIED} SELECT nullif(order_id, '') AS order_id_raw, "
+                       "nullif(customer_id, '') AS customer_id_raw, codes_text AS codes_error FROM classified",
+        "corrections_audit": f"""WITH {DIRTY + RULES},
+            entries AS (SELECT nullif(order_id, '') AS order_id_raw, unnest(corrections) AS c,
+                               generate_subscripts(corrections, 1) - 1 AS place FROM ruled)
+            SELECT order_id_raw, place::BIGINT AS place, c.f AS field, c.o AS original_value,
+                   c.c AS corrected_value, c.r AS rule_code FROM entries""",
+        "classify": f"WITH {CLASSIFIED} SELECT nullif(order_id, '') AS order_id_raw, "
+                    "nullif(customer_id, '') AS customer_id_raw, verdict AS quality_status, "
+                    "code AS quarantine_code, reason AS details_error FROM classified",
+        "dup_conflicts": f"WITH {CLASSIFIED} SELECT id AS order_id, cust AS customer_id, "
+                         "cast(final_total AS DOUBLE) AS total_amount FROM classified "
+                         f"WHERE list_contains(codes, '{C.DUPLICATE_ERROR}')",
+        "last_wins": f"WITH {VALIDATED} SELECT order_id, customer_id, cast(total_amount AS DOUBLE) AS total_amount, "
+                     "quality_status FROM last_rows",
+        "cleaned": f"WITH {VALIDATED} SELECT {_FLAT} FROM accepted",
+        "classified_sample": f"""WITH {CLASSIFIED} SELECT nullif(order_id, '') AS order_id_raw, code AS quarantine_code
+            FROM (SELECT * FROM classified WHERE verdict = 'quarantined' ORDER BY k, copy_no LIMIT 10)""",
+        **{n: f"WITH {VALIDATED} {_lookup(n, _FLAT)}" for n in _LOOKUP_FILTERS},
+        "clustered_lookup": f"WITH {VALIDATED} {_CLUSTERED}",
+        "sales_by_city": f"WITH {VALIDATED} {_CITY.format(limit=20)}",
+        "top_products": f"WITH {VALIDATED + _LINES} {_TOP_PRODUCTS}",
+        "top_customers": f"""WITH {VALIDATED}
+            SELECT customer_id, min_by(customer_name, {{'d': order_date, 'i': order_id}}) AS customer_name,
+                   cast(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_spent, count(*) AS orders_count
+            FROM validated GROUP BY customer_id
+            ORDER BY coalesce(sum(total_amount), 0) DESC, customer_id LIMIT 10""",
+        "sales_by_month": f"""WITH {VALIDATED} SELECT order_date[1:7] AS period,
+            cast(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_sales, count(*) AS orders_count
+            FROM validated GROUP BY order_date[1:7]""",
+        "sales_by_day": f"""WITH {VALIDATED} SELECT order_date AS period,
+            cast(coalesce(sum(total_amount), 0) AS DOUBLE) AS total_sales, count(*) AS orders_count
+            FROM validated GROUP BY order_date""",
+        "status_distribution": f"WITH {VALIDATED} {_STATUS}",
+        "items_normalized": f"""WITH {VALIDATED + _LINES}
+            SELECT order_id, product, qty, coalesce(unit_price, 0) AS unit_price FROM order_lines""",
+        "table_counts": f"""WITH {VALIDATED}
+            SELECT 'orders_raw' AS table_name, count(*) AS rows_count, NULL::BIGINT AS distinct_order_ids,
+                   false AS has_duplicates FROM dirty
+            UNION ALL SELECT 'orders_validated', count(*), count(DISTINCT order_id),
+                   count(*) <> count(DISTINCT order_id) FROM validated
+            UNION ALL SELECT 'orders_quarantine', count(*), NULL, false FROM classified
+            WHERE verdict = 'quarantined'""",
+        "mv_daily_sales_full": f"WITH {VALIDATED} {_DAILY}",
+        "mv_daily_sales_incremental": f"WITH {MERGED} {_DAILY}",
+        "mv_top_products_full": f"WITH {VALIDATED + _LINES} {_PRODUCTS}",
+        "mv_top_products_incremental": f"WITH {MERGED + _LINES} {_PRODUCTS}",
+        "stream_mv_refresh": f"WITH {MERGED} {_DAILY}",
+        "periodic_report": f"""WITH {VALIDATED + _LINES}
+            SELECT 'sales_by_city' AS section, city AS key, total_sales AS value FROM ({_CITY.format(limit=10)})
+            UNION ALL SELECT 'top_products', product, revenue FROM ({_TOP_PRODUCTS})
+            UNION ALL SELECT 'orders_status_distribution', status, percentage FROM ({_STATUS})""",
+        "latest_job_runs": """
+            SELECT event_type AS job_name, max(ts) AS started_at,
+                   CASE WHEN max_by(value, ts) > 50 THEN 'failure' ELSE 'success' END AS status,
+                   cast(max_by(event_id, ts) AS VARCHAR) AS result
+            FROM events GROUP BY event_type""",
+        "run_metrics": f"WITH {VALIDATED + _COUNTS} SELECT * FROM counts",
+        "run_checks": f"""WITH {VALIDATED + _COUNTS}
+            SELECT count_valid + count_corrected + count_quarantine AS consistency_expected_total,
+                   loaded_raw = count_valid + count_corrected + count_quarantine AS consistency_check_passed,
+                   count_inserted + count_updated + count_unchanged = distinct_accepted AS upsert_applied,
+                   count_inserted + count_updated + count_unchanged = count_valid + count_corrected
+                     AS upsert_matches_rows,
+                   count_inserted = 0 AS idempotent_run FROM counts""",
+        "error_code_counts": f"""WITH {CLASSIFIED},
+            uses AS (SELECT code AS code, 1 AS p, 0 AS m FROM classified WHERE code IS NOT NULL
+                     UNION ALL SELECT unnest(codes), 0, 1 FROM classified)
+            SELECT code, cast(sum(p) AS BIGINT) AS orders_count, cast(sum(m) AS BIGINT) AS mentions_count
+            FROM uses GROUP BY code""",
+        "correction_rule_counts": f"""WITH {VALIDATED},
+            uses AS (SELECT unnest(corrections).r AS rule_code FROM accepted)
+            SELECT rule_code, count(*) AS corrections_count,
+                   {_percent("count(*)", "(SELECT count(*) FROM accepted WHERE quality_status = 'corrected')", 1)}
+                     AS share_of_corrected
+            FROM uses GROUP BY rule_code""",
+        "reconcile_counts": f"""WITH {DIRTY} SELECT 'run-1' AS id_run, count(*) AS csv_rows, count(*) AS raw_rows,
+            0::BIGINT AS difference, true AS all_arrived FROM dirty""",
+        "rollback_run": f"WITH {MERGED} SELECT {tracked} {_ROLLED_BACK}",
+        "prefix_sample": f"WITH {DIRTY} SELECT {_physical()} FROM (SELECT * FROM dirty ORDER BY k, copy_no LIMIT 1000)",
+        "size_sample": f"""WITH {DIRTY}, sized AS (
+              SELECT *, coalesce(sum({_BYTES}) OVER (ORDER BY k, copy_no
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + {_HEADER} AS before FROM dirty)
+            SELECT {_physical()} FROM sized WHERE before < {int(0.25 * 1024 * 1024)}""",
+    }
