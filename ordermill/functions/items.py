@@ -9,74 +9,101 @@ from ordermill.constants import (
     ITEM_PRODUCT_KEYS,
     ITEM_QUANTITY_KEYS,
     ITEM_UNIT_PRICE_KEYS,
+    NUMBER_PATTERN,
     TOTAL_TOLERANCE,
     UNKNOWN_PRODUCT,
 )
-from ordermill.functions.money import to_double, to_money
-from ordermill.functions.text import clean, latin_digits
+from ordermill.functions.money import strip, to_money
+from ordermill.functions.text import latin_digits
 from ordermill.schema import LINE_NUMBER
 
 
-def parse_items(text: Column) -> Column:
-    """The array of items as a variant; null unless the text is exactly one JSON array.
-
-    The text is parsed inside an extra pair of brackets: trailing garbage, which the parser
-    would ignore after a complete value, is then an error.
-    """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
-    only = F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
-    return F.when(only.try_cast("array<variant>").isNotNull(), only)
+_FIELD_NAMES = [*ITEM_PRODUCT_KEYS, *ITEM_QUANTITY_KEYS, *ITEM_UNIT_PRICE_KEYS]
+_ITEM_FIELDS = "struct<" + ",".join(f"{name}:string" for name in _FIELD_NAMES) + ">"
 
 
-def items_error(items: Column) -> Column:
-    """``items`` is the variant of :func:`parse_items`."""
-    return F.when(items.isNull(), F.lit("JSON_ITEMS_CORRUPTED")).when(
-        F.size(items.try_cast("array<variant>")) == 0, F.lit("ITEMS_EMPTY")
-    )
+def parse_wrapped(text: Column) -> Column:
+    """The text as the only element of a JSON array, or null.
 
+    With the extra pair of brackets trailing garbage, which the parser would ignore after a
+    complete value, is an error, and a second value shows as a second element.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
-def _field(item: Column, key: str) -> Column:
-    return F.try_variant_get(item, f"$.{key}", "string")
 
+def item_fields(wrapped: Column) -> Column:
+    """Per item the text of every candidate field; null unless the text is one JSON array.
 
-def _first_filled(item: Column, keys: list[str]) -> Column:
-    return F.coalesce(*[F.nullif(_field(item, key), F.lit("")) for key in keys])
+    An element that is no object is a null entry. One cast reads all fields of all items.
+    """
+    arrays = wrapped.try_cast(f"array<array<{_ITEM_FIELDS}>>")
+    return F.when(F.size(arrays) == 1, F.get(arrays, F.lit(0)))
 
 
-def item_fields(items: Column) -> Column:
-    """Per item the raw product, quantity and price texts and whether it is an object at all."""
+def canonical_items(wrapped: Column) -> Column:
+    """The array as JSON text with sorted keys and plain numbers: equal lists, equal texts."""
+    return F.try_variant_get(wrapped, "$[0]", "string")
 
-    def fields(item: Column) -> Column:
-        return F.struct(
-            F.coalesce(*[_field(item, key) for key in ITEM_PRODUCT_KEYS]).alias("product"),
-            _first_filled(item, ITEM_QUANTITY_KEYS).alias("qty"),
-            _first_filled(item, ITEM_UNIT_PRICE_KEYS).alias("unit_price"),
-            F.try_variant_get(item, "$", "map<string,variant>").isNotNull().alias("is_object"),
-        )
 
-    return F.transform(items.try_cast("array<variant>"), fields)
+def items_error(fields: Column) -> Column:
+    return F.when(fields.isNull(), F.lit("JSON_ITEMS_CORRUPTED")).when(
+        F.size(fields) == 0, F.lit("ITEMS_EMPTY")
+    )
 
 
 def item_number(text: Column) -> Column:
     """A number as found in item fields and fees; JSON booleans count as 1 and 0."""
-    latin = latin_digits(clean(text))
-    return F.when(latin == "true", F.lit(1.0)).when(latin == "false", F.lit(0.0)).otherwise(
-        to_double(latin)
+    latin = latin_digits(strip(text))
+    return (
+        F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+        .when(latin.rlike(NUMBER_PATTERN), latin.try_cast("double"))
+        .when(latin == "true", F.lit(1.0))
+        .when(latin == "false", F.lit(0.0))
     )
 
 
-def computed_total(fields: Column, fee: Column) -> Column:
-    """Sum of quantity times unit price plus fee as money; null where it must not be used."""
+def item_lines(fields: Column) -> Column:
+    """Typed lines: product or UNKNOWN, quantity or 1, unit price or null if none is stated.
 
-    def term(f: Column) -> Column:
-        qty = F.when(f["qty"].isNull(), F.lit(1.0)).otherwise(item_number(f["qty"]))
-        price = item_number(f["unit_price"])
-        return F.when(f["is_object"] & (qty >= 0) & (price >= 0), qty * price)
+    An empty quantity or price counts as absent; one that is no number becomes null.
+    """
 
-    lines = F.aggregate(F.transform(fields, term), F.lit(0.0), lambda total, x: total + x)
+    def line(f: Column) -> Column:
+        quantity = F.coalesce(*[F.nullif(f[k], F.lit("")) for k in ITEM_QUANTITY_KEYS])
+        price = F.coalesce(*[F.nullif(f[k], F.lit("")) for k in ITEM_UNIT_PRICE_KEYS])
+        return F.struct(
+            F.coalesce(*[f[k] for k in ITEM_PRODUCT_KEYS], F.lit(UNKNOWN_PRODUCT)).alias("product"),
+            quantity.alias("quantity"),
+            price.alias("price"),
+        )
+
+    return F.transform(
+        F.transform(fields, line),
+        lambda x: F.struct(
+            x["product"].alias("product"),
+            F.when(x["quantity"].isNull(), F.lit(1.0))
+            .otherwise(item_number(x["quantity"]))
+            .alias("qty"),
+            item_number(x["price"]).alias("unit_price"),
+        ),
+    )
+
+
+def computed_total(lines: Column, fee: Column) -> Column:
+    """Sum of quantity times unit price plus fee as money; null where it must not be used.
+
+    One line without a usable price, or with anything negative, makes the whole sum unusable;
+    so does a sum that is not finite, which no money value can hold.
+    """
+    total = F.aggregate(
+        lines,
+        F.lit(0.0),
+        lambda sum_, x: sum_
+        + F.when((x["qty"] >= 0) & (x["unit_price"] >= 0), x["qty"] * x["unit_price"]),
+    )
     fee_text = F.coalesce(fee, F.lit(""))
     fee_value = F.when(fee_text == "", F.lit(0.0)).otherwise(item_number(fee_text))
-    return to_money(F.when(fee_value >= 0, lines + fee_value))
+    return to_money(F.when(fee_value >= 0, total + fee_value))
 
 
 def total_replaced(stated: Column, computed: Column) -> Column:
@@ -86,23 +113,14 @@ def total_replaced(stated: Column, computed: Column) -> Column:
     )
 
 
-def normalized_items(fields: Column) -> Column:
-    """Typed lines for the reports: defaults for whatever the item does not say."""
-    return F.transform(
-        fields,
-        lambda f: F.struct(
-            F.coalesce(f["product"], F.lit(UNKNOWN_PRODUCT)).alias("product"),
-            F.when(f["qty"].isNull(), F.lit(1.0)).otherwise(item_number(f["qty"])).alias("qty"),
-            F.when(f["unit_price"].isNull(), F.lit(0.0))
-            .otherwise(item_number(f["unit_price"]))
-            .alias("unit_price"),
-        ),
-    )
-
-
 def line_units(line: Column) -> Column:
     return line["qty"].try_cast(LINE_NUMBER.simpleString())
 
 
+def line_price(line: Column) -> Column:
+    """Reports take a missing unit price as zero."""
+    return F.coalesce(line["unit_price"], F.lit(0.0))
+
+
 def line_revenue(line: Column) -> Column:
-    return (line["qty"] * line["unit_price"]).try_cast(LINE_NUMBER.simpleString())
+    return (line["qty"] * line_price(line)).try_cast(LINE_NUMBER.simpleString())

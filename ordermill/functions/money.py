@@ -26,12 +26,12 @@ def is_number(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """A finite number or null; never raises."""
-    value = F.when(is_number(text), strip(text).try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    """A number or null; never raises."""
+    return F.when(is_number(text), strip(text).try_cast("double"))
 
 
 def to_money(number: Column) -> Column:
+    """Two decimals; null for what no money value can hold, infinity included."""
     return number.try_cast(MONEY.simpleString())
 
 
@@ -51,7 +51,7 @@ def drop_thousands(text: Column) -> Column:
 
 
 def with_price(source: str, prefix: str = "price") -> Callable[[DataFrame], DataFrame]:
-    """Add ``<prefix>`` (money), ``<prefix>_corrected`` and ``<prefix>_codes``.
+    """Add ``<prefix>`` (money), ``<prefix>_corrected`` and ``<prefix>_codes`` (joined by +).
 
     Every step is its own projection, so that no step's expression is repeated inside the next.
     """
@@ -70,8 +70,8 @@ def with_price(source: str, prefix: str = "price") -> Callable[[DataFrame], Data
             for before, after, code in zip(s, s[1:], PRICE_STEP_CODES)
         ]
         return (
-            df.withColumn(f"{prefix}_codes", F.array_compact(F.array(*steps)))
-            .withColumn(f"{prefix}_corrected", F.size(f"{prefix}_codes") > 0)
+            df.withColumn(f"{prefix}_codes", F.concat_ws("+", *steps))
+            .withColumn(f"{prefix}_corrected", F.col(f"{prefix}_codes") != "")
             .withColumn(prefix, to_money(to_double(F.col(s[4]))))
             .drop(*s)
         )

@@ -88,3 +88,11 @@ def fix_status(text: Column) -> Column:
     return F.coalesce(
         F.try_element_at(table, F.lower(text)), F.try_element_at(table, text), text
     )
+
+
+def listed(entries: list[tuple[Column, Column]]) -> Column:
+    """Array of the values whose condition holds, in the given order."""
+    none = F.slice(F.array(*[value for _, value in entries[:1]]), F.lit(1), F.lit(0))
+    return F.flatten(
+        F.array(*[F.when(holds, F.array(value)).otherwise(none) for holds, value in entries])
+    )

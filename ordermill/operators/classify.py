@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.constants import (
     DUPLICATE_ERROR,
@@ -29,12 +30,10 @@ _NULL_IF_BLANK = [
 
 def _correction(
     condition: Column, field: str, original: Column, corrected: Column, rule: str | Column
-) -> Column:
+) -> tuple[Column, Column]:
     rule_code = F.lit(rule) if isinstance(rule, str) else rule
     values = [F.lit(field), original.cast("string"), corrected.cast("string"), rule_code]
-    return F.when(
-        condition, F.struct(*[v.alias(n) for v, n in zip(values, CORRECTION.names)])
-    )
+    return condition, F.struct(*[v.alias(n) for v, n in zip(values, CORRECTION.names)])
 
 
 def apply_rules(raw: DataFrame) -> DataFrame:
@@ -53,7 +52,7 @@ def apply_rules(raw: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "date_digits": text.latin_digits(F.col("t_order_date")),
-            "item_array": items.parse_items(F.col("t_items")),
+            "item_json": items.parse_wrapped(F.col("t_items")),
             "c_currency": text.fix_currency(F.col("t_currency")),
             "c_phone": text.fix_phone(F.col("t_customer_phone")),
             "c_email": text.fix_email(F.col("t_customer_email")),
@@ -64,17 +63,20 @@ def apply_rules(raw: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "c_date": dates.fix_date(F.col("date_digits")),
-            "item_fields": items.item_fields(F.col("item_array")),
-            "e_items": items.items_error(F.col("item_array")),
+            "item_fields": items.item_fields(F.col("item_json")),
+            "c_items": items.canonical_items(F.col("item_json")),
         }
     )
     df = df.withColumns(
         {
             "bad_date": dates.is_impossible(F.col("c_date")),
-            "computed": items.computed_total(F.col("item_fields"), F.col("r_delivery_fee")),
-            "items_norm": items.normalized_items(F.col("item_fields")),
+            "e_items": items.items_error(F.col("item_fields")),
+            "items_norm": items.item_lines(F.col("item_fields")),
         }
     )
+    df = df.withColumn(
+        "computed", items.computed_total(F.col("items_norm"), F.col("r_delivery_fee"))
+    )
     df = df.withColumn(
         "recomputed",
         F.col("e_items").isNull() & items.total_replaced(F.col("stated"), F.col("computed")),
@@ -83,27 +85,28 @@ def apply_rules(raw: DataFrame) -> DataFrame:
         *LINEAGE,
         "record_raw",
         *_cleaned_columns(),
-        F.array_compact(F.array(*_corrections())).alias("corrections"),
-        F.array_compact(F.array(*_errors())).alias("errors"),
+        text.listed(_corrections()).cast(T.ArrayType(CORRECTION)).alias("corrections"),
+        text.listed(_errors()).alias("errors"),
         "items_norm",
     )
 
 
-def _errors() -> list[Column]:
+def _errors() -> list[tuple[Column, Column]]:
     """Row-level error codes in reporting order."""
     no_items = F.col("e_items").isNotNull()
+    price_error = F.when(F.col("stated").isNull() & no_items, F.lit("PRICE_UNKNOWN")).when(
+        F.col("stated") < 0, F.lit("VALUE_NEGATIVE_AMBIGUOUS")
+    )
     return [
-        F.when(F.col("t_order_id") == "", F.lit("ID_ORDER_MISSING")),
-        F.when(F.col("t_customer_id") == "", F.lit("ID_CUSTOMER_MISSING")),
-        F.when(F.col("bad_date"), F.lit("DATE_IMPOSSIBLE_INVALID")),
-        F.col("e_items"),
-        F.when(F.col("stated").isNull() & no_items, F.lit("PRICE_UNKNOWN")).when(
-            F.col("stated") < 0, F.lit("VALUE_NEGATIVE_AMBIGUOUS")
-        ),
+        (F.col("t_order_id") == "", F.lit("ID_ORDER_MISSING")),
+        (F.col("t_customer_id") == "", F.lit("ID_CUSTOMER_MISSING")),
+        (F.col("bad_date"), F.lit("DATE_IMPOSSIBLE_INVALID")),
+        (no_items, F.col("e_items")),
+        (price_error.isNotNull(), price_error),
     ]
 
 
-def _corrections() -> list[Column]:
+def _corrections() -> list[tuple[Column, Column]]:
     """Audit entries in reporting order; the total may have two."""
     stated, stripped = F.col("stated"), F.col
     date_fixed = ~F.col("bad_date") & dates.date_changed(
@@ -117,7 +120,7 @@ def _corrections() -> list[Column]:
         _correction(
             F.col("stated_corrected") & stated.isNotNull(),
             "total_amount", stripped("t_total_amount"), stated,
-            F.array_join("stated_codes", "+"),
+            F.col("stated_codes"),
         ),
         _correction(
             F.col("c_currency") != stripped("t_currency"),
@@ -154,7 +157,7 @@ def _cleaned_columns() -> list[Column]:
             F.col("t_customer_phone") == "", text.raw_text(F.col("r_customer_phone"))
         ).otherwise(F.col("c_phone")),
         "order_date": F.col("c_date"),
-        "items": F.to_json("item_array"),
+        "items": F.when(F.col("item_fields").isNotNull(), F.col("c_items")),
         "currency": F.col("c_currency"),
         "delivery_fee": text.raw_text(F.col("r_delivery_fee")),
         "total_amount": F.when(F.col("recomputed"), F.col("computed")).otherwise(F.col("stated")),

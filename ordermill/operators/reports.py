@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.constants import UNKNOWN_CITY
-from ordermill.functions.items import line_revenue, line_units
+from ordermill.functions.items import line_price, line_revenue, line_units
 from ordermill.operators.run_accounting import percent, rounded_quotient
 
 Params = dict[str, object]
@@ -57,11 +57,26 @@ def sales_by_city(validated: DataFrame, limit: int = 20) -> DataFrame:
 
 def item_lines(validated: DataFrame) -> DataFrame:
     """One row per item line of the accepted orders; only the typed items column is read."""
+    line = F.col("line")
     return (
         business_rows(validated)
         .select(F.explode("items_norm").alias("line"))
-        .select("line.product", line_units(F.col("line")).alias("units"),
-                line_revenue(F.col("line")).alias("revenue"))
+        .select(
+            "line.product",
+            line_units(line).alias("units"),
+            line_revenue(line).alias("revenue"),
+        )
+    )
+
+
+def items_normalized(validated: DataFrame) -> DataFrame:
+    """Item lines in uniform shape with the order they belong to."""
+    return (
+        business_rows(validated)
+        .select("order_id", F.explode("items_norm").alias("line"))
+        .select(
+            "order_id", "line.product", "line.qty", line_price(F.col("line")).alias("unit_price")
+        )
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.sinks.keyed_table import INSERTED, UNCHANGED, UPDATED
@@ -13,56 +13,65 @@ def is_accepted() -> Column:
     return F.col("quality_status") != "quarantined"
 
 
-def verdict_counts(classified: DataFrame) -> DataFrame:
-    return classified.groupBy("quality_status").agg(F.count(F.lit(1)).alias("rows_count"))
+def tally(classified: DataFrame) -> DataFrame:
+    """Every count of a run in one pass: (kind, code, n).
 
+    Kinds: ``verdict``; ``quarantine`` (the code a record was quarantined under); ``mention``
+    (every code of such a record); ``rule`` (corrections of accepted records). Codes come from
+    the fixed rule set, so the result has a few dozen rows however large the run is.
+    """
+
+    def entry(kind: str, code: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), code.alias("code"))
+
+    rules = F.when(is_accepted(), F.col("corrections.rule_code")).otherwise(F.array())
+    entries = F.concat(
+        F.array(
+            entry("verdict", F.col("quality_status")),
+            entry("quarantine", F.col("quarantine_code")),
+        ),
+        F.transform("codes_error", lambda c: entry("mention", c)),
+        F.transform(rules, lambda c: entry("rule", c)),
+    )
+    return (
+        classified.select(F.explode(entries).alias("e"))
+        .where(F.col("e.code").isNotNull())
+        .groupBy("e.kind", "e.code")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
-def error_code_counts(classified: DataFrame) -> DataFrame:
+
+def _n_of(kind: str, code: str | None = None) -> Column:
+    hit = F.col("kind") == kind
+    return F.coalesce(F.sum(F.when(hit & (F.col("code") == code) if code else hit, F.col("n"))), F.lit(0))
+
+
+def error_code_counts(tallied: DataFrame) -> DataFrame:
     """Per code: records quarantined under it, and records that mention it at all."""
     return (
-        classified.where(~is_accepted())
-        .select(
-            F.explode(
-                F.array_append(
-                    F.transform(
-                        "codes_error",
-                        lambda c: F.struct(c.alias("code"), F.lit(0).alias("is_primary"),
-                                           F.lit(1).alias("is_mention")),
-                    ),
-                    F.struct(F.col("quarantine_code").alias("code"), F.lit(1).alias("is_primary"),
-                             F.lit(0).alias("is_mention")),
-                )
-            ).alias("c")
-        )
-        .groupBy("c.code")
-        .agg(
-            F.sum("c.is_primary").alias("orders_count"),
-            F.sum("c.is_mention").alias("mentions_count"),
-        )
+        tallied.where(F.col("kind").isin("quarantine", "mention"))
+        .groupBy("code")
+        .agg(_n_of("quarantine").alias("orders_count"), _n_of("mention").alias("mentions_count"))
     )
 
 
-def correction_rule_counts(classified: DataFrame) -> DataFrame:
-    """Per rule: corrections on accepted records and their share of corrected records.
+def correction_rule_counts(tallied: DataFrame) -> DataFrame:
+    """Per rule: corrections on accepted records and their share of corrected records, in percent.
 
-    A record may use one rule code twice only with different codes, so shares stay comparable;
-    they are percentages with one decimal.
+    The window covers the few dozen rows of the tally.
     """
-    rules = (
-        classified.where(is_accepted())
-        .select(F.explode("corrections.rule_code").alias("rule_code"))
-        .groupBy("rule_code")
-        .agg(F.count(F.lit(1)).alias("corrections_count"))
-    )
-    corrected = (
-        classified.where(F.col("quality_status") == "corrected")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .scalar()
-    )
-    return rules.select(
-        "rule_code",
-        "corrections_count",
-        percent(F.col("corrections_count"), corrected, 1).alias("share_of_corrected"),
+    corrected = F.sum(
+        F.when((F.col("kind") == "verdict") & (F.col("code") == "corrected"), F.col("n"))
+    ).over(Window.partitionBy())
+    return (
+        tallied.withColumn("corrected", corrected)
+        .where(F.col("kind") == "rule")
+        .select(
+            F.col("code").alias("rule_code"),
+            F.col("n").alias("corrections_count"),
+            percent(F.col("n"), F.col("corrected"), 1).alias("share_of_corrected"),
+        )
+        .orderBy(F.desc("corrections_count"), "rule_code")
     )
 
 
@@ -80,20 +89,20 @@ def rounded_quotient(doubled: Column, divisor: Column) -> Column:
     return F.when(b > 0, F.call_function("div", a + b, b * 2))
 
 
-def _as_map(counts: DataFrame, key: str, value: str) -> Column:
-    """A small grouped result as one map value."""
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+def _as_map(kind: str) -> Column:
+    """The counts of one kind as a map."""
+    pairs = F.collect_list(F.when(F.col("kind") == kind, F.struct("code", "n")))
+    return F.map_from_entries(F.array_sort(pairs))
 
 
 def run_counts(raw: DataFrame, classified: DataFrame, actions: DataFrame) -> DataFrame:
     """One row with every count of a run; all heavy work is partial aggregation."""
-    errors = error_code_counts(classified).where(F.col("orders_count") > 0)
-    rules = correction_rule_counts(classified)
-    verdict = F.col("quality_status")
-    counted = classified.agg(
-        F.count_if(verdict == "valid").alias("count_valid"),
-        F.count_if(verdict == "corrected").alias("count_corrected"),
-        F.count_if(verdict == "quarantined").alias("count_quarantine"),
+    verdicts = tally(classified).agg(
+        _n_of("verdict", "valid").alias("count_valid"),
+        _n_of("verdict", "corrected").alias("count_corrected"),
+        _n_of("verdict", "quarantined").alias("count_quarantine"),
+        _as_map("quarantine").alias("counts_case_error"),
+        _as_map("rule").alias("counts_correction_rule"),
     )
     upserted = actions.agg(
         F.struct(
@@ -106,29 +115,16 @@ def run_counts(raw: DataFrame, classified: DataFrame, actions: DataFrame) -> Dat
         classified.where(is_accepted()).select("order_id").distinct()
         .agg(F.count(F.lit(1)).alias("n")).scalar()
     )
-    df = counted.select(
-        raw.agg(F.count(F.lit(1)).alias("n")).scalar().alias("loaded_raw"),
-        "*",
-        errors.agg(_as_map(errors, "code", "orders_count").alias("m"))
-        .scalar().alias("counts_case_error"),
-        rules.agg(_as_map(rules, "rule_code", "corrections_count").alias("m"))
-        .scalar().alias("counts_correction_rule"),
-        upserted.alias("u"),
+    loaded = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return verdicts.select(
+        loaded.alias("read_rows"), loaded.alias("loaded_raw"), "*", upserted.alias("u"),
         keys.alias("distinct_accepted"),
-    )
-    return df.select(
-        F.col("loaded_raw").alias("read_rows"),
-        "loaded_raw",
-        "count_valid",
-        "count_corrected",
-        "count_quarantine",
-        "counts_case_error",
-        "counts_correction_rule",
+    ).select(
+        "*",
         F.col("u.inserted").alias("count_inserted"),
         F.col("u.updated").alias("count_updated"),
         F.col("u.unchanged").alias("count_unchanged"),
-        "distinct_accepted",
-    )
+    ).drop("u")
 
 
 def run_checks(counts: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from ordermill.operators import classify as C
 from ordermill.operators import run_accounting as A
 from ordermill.operators.duplicates import conflicting_rows, last_wins
 from ordermill.operators.lookups import run_lookup
-from ordermill.operators.reports import run_report
+from ordermill.operators.reports import items_normalized, run_report
 from ordermill.operators.sampling import prefix_sample, size_sample
 from ordermill.plans.jobs import latest_job_runs, periodic_report
 from ordermill.plans.views import read_view, refresh_view
@@ -184,7 +184,7 @@ def rule_parse_price(spark, sf_dir):
         F.col("total_amount").alias("raw"),
         F.col("price").cast("double").alias("price"),
         F.col("price_corrected").alias("corrected"),
-        F.array_join("price_codes", "+").alias("codes"),
+        F.col("price_codes").alias("codes"),
     )
 
 
@@ -198,24 +198,28 @@ def rule_date(spark, sf_dir):
     )
 
 
+def _with_items(df: DataFrame) -> DataFrame:
+    return df.withColumn("json", item_rules.parse_wrapped(clean(F.col("items")))).withColumn(
+        "fields", item_rules.item_fields(F.col("json"))
+    )
+
+
 def rule_items_json(spark, sf_dir):
-    array = item_rules.parse_items(clean(F.col("items")))
-    return (
-        _records(spark, sf_dir)
-        .select(F.col("items").alias("raw"), array.alias("array"))
-        .select("raw", F.to_json("array").alias("items"),
-                item_rules.items_error(F.col("array")).alias("error_code"))
+    known = F.col("fields").isNotNull()
+    return _with_items(_records(spark, sf_dir)).select(
+        F.col("items").alias("raw"),
+        F.when(known, item_rules.canonical_items(F.col("json"))).alias("items"),
+        item_rules.items_error(F.col("fields")).alias("error_code"),
     )
 
 
 def rule_recompute_total(spark, sf_dir):
     df = (
-        _records(spark, sf_dir)
+        _with_items(_records(spark, sf_dir))
+        .where(item_rules.items_error(F.col("fields")).isNull())
         .transform(with_price("total_amount", "stated"))
-        .withColumn("array", item_rules.parse_items(clean(F.col("items"))))
-        .withColumn("fields", item_rules.item_fields(F.col("array")))
-        .withColumn("computed", item_rules.computed_total(F.col("fields"), F.col("delivery_fee")))
-        .where(item_rules.items_error(F.col("array")).isNull())
+        .withColumn("lines", item_rules.item_lines(F.col("fields")))
+        .withColumn("computed", item_rules.computed_total(F.col("lines"), F.col("delivery_fee")))
     )
     replaced = item_rules.total_replaced(F.col("stated"), F.col("computed"))
     return df.select(
@@ -315,10 +319,8 @@ def _report_query(name: str, **params) -> Query:
     return lambda spark, sf_dir: run_report(_validated(spark, sf_dir), name, params)
 
 
-def items_normalized(spark, sf_dir):
-    return _validated(spark, sf_dir).select(
-        "order_id", F.explode("items_norm").alias("line")
-    ).select("order_id", "line.*")
+def item_rows(spark, sf_dir):
+    return items_normalized(_validated(spark, sf_dir))
 
 
 def table_counts(spark, sf_dir):
@@ -376,32 +378,27 @@ def latest_runs(spark, sf_dir):
     )
 
 
-def _counts(spark, sf_dir):
-    made = inputs.store(spark, sf_dir)
-    return A.run_counts(
-        made.raw().where(F.col("id_run") == "run-1"),
-        _classified(spark, sf_dir),
-        made.validated_table.actions(1),
-    )
-
-
 def run_metrics(spark, sf_dir):
-    return _counts(spark, sf_dir).drop("counts_case_error", "counts_correction_rule")
+    return inputs.store(spark, sf_dir).run_metrics().select(
+        "read_rows", "loaded_raw", "count_valid", "count_corrected", "count_quarantine",
+        "count_inserted", "count_updated", "count_unchanged", "distinct_accepted",
+    )
 
 
 def run_checks(spark, sf_dir):
-    return A.run_checks(_counts(spark, sf_dir)).select(
+    """The checks recomputed from the counts of the run."""
+    return A.run_checks(run_metrics(spark, sf_dir)).select(
         "consistency_expected_total", "consistency_check_passed", "upsert_applied",
         "upsert_matches_rows", "idempotent_run",
     )
 
 
 def error_code_counts(spark, sf_dir):
-    return A.error_code_counts(_classified(spark, sf_dir))
+    return A.error_code_counts(A.tally(_classified(spark, sf_dir)))
 
 
 def correction_rule_counts(spark, sf_dir):
-    return A.correction_rule_counts(_classified(spark, sf_dir))
+    return A.correction_rule_counts(A.tally(_classified(spark, sf_dir)))
 
 
 def reconcile_counts(spark, sf_dir):
@@ -468,7 +465,7 @@ def queries() -> dict[str, Query]:
         "sales_by_month": _report_query("sales_by_period", granularity="month"),
         "sales_by_day": _report_query("sales_by_period", granularity="day"),
         "status_distribution": _report_query("orders_status_distribution"),
-        "items_normalized": items_normalized,
+        "items_normalized": item_rows,
         "table_counts": table_counts,
         "mv_daily_sales_full": _view_query("daily_sales_summary", inputs.store, True),
         "mv_daily_sales_incremental": _view_query(
