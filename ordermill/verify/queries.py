@@ -19,6 +19,7 @@ from ordermill.functions.text import clean
 from ordermill.operators import classify as C
 from ordermill.operators import run_accounting as A
 from ordermill.operators.duplicates import conflicting_rows, last_wins
+from ordermill.operators.explain import explain_layouts
 from ordermill.operators.lookups import run_lookup
 from ordermill.operators.reports import items_normalized, run_report
 from ordermill.operators.sampling import prefix_sample, size_sample
@@ -60,8 +61,18 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.map_columns(_scan(spark, sf_dir))
 
 
+def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule results of every record, written once and read back as the ingest plan does."""
+    def build():
+        path = fresh_dir(spark, "ruled")
+        C.apply_rules(_raw(spark, sf_dir)).write.parquet(path)
+        return path
+
+    return spark.read.parquet(once(spark, sf_dir, "ruled", build))
+
+
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.classify(_raw(spark, sf_dir))
+    return C.add_verdict(_ruled(spark, sf_dir))
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +261,8 @@ def corrections_audit(spark, sf_dir):
 
 
 def classify(spark, sf_dir):
-    return _classified(spark, sf_dir).select(
+    """From CSV text to verdicts in one lazy plan."""
+    return C.classify(_raw(spark, sf_dir)).select(
         F.col("record_raw.order_id").alias("order_id_raw"),
         F.col("record_raw.customer_id").alias("customer_id_raw"),
         "quality_status", "quarantine_code", "details_error",
@@ -258,7 +270,7 @@ def classify(spark, sf_dir):
 
 
 def dup_conflicts(spark, sf_dir):
-    ruled = C.apply_rules(_raw(spark, sf_dir))
+    ruled = _ruled(spark, sf_dir)
     return ruled.join(conflicting_rows(ruled), S.ROW_ORDER, "left_semi").select(
         "order_id", "customer_id", F.col("total_amount").cast("double").alias("total_amount")
     )
@@ -313,6 +325,17 @@ def clustered_lookup(spark, sf_dir):
     return df
 
 
+def explain_layout(spark, sf_dir):
+    """Files and rows each compared lookup reads, from the table and from its layout."""
+    validated, paths = _validated(spark, sf_dir), _layouts(spark, sf_dir)
+    return explain_layouts(
+        spark,
+        lambda name, params: run_lookup(validated, name, params),
+        lambda name, params: layout_lookup(validated, paths, name, params),
+        LOOKUP_PARAMS,
+    )
+
+
 # --- reports ------------------------------------------------------------------------------
 
 def _report_query(name: str, **params) -> Query:
@@ -458,6 +481,7 @@ def queries() -> dict[str, Query]:
         "cleaned": cleaned,
         "classified_sample": classified_sample,
         **{name: _lookup_query(name) for name in LOOKUP_PARAMS},
+        "explain_layout": explain_layout,
         "clustered_lookup": clustered_lookup,
         "sales_by_city": _report_query("sales_by_city"),
         "top_products": _report_query("top_products"),
