@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.constants import (
@@ -18,10 +18,6 @@ from ordermill.functions.text import latin_digits
 from ordermill.schema import LINE_NUMBER
 
 
-_FIELD_NAMES = [*ITEM_PRODUCT_KEYS, *ITEM_QUANTITY_KEYS, *ITEM_UNIT_PRICE_KEYS]
-_ITEM_FIELDS = "struct<" + ",".join(f"{name}:string" for name in _FIELD_NAMES) + ">"
-
-
 def parse_wrapped(text: Column) -> Column:
     """The text as the only element of a JSON array, or null.
 
@@ -31,12 +27,16 @@ def parse_wrapped(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def item_fields(wrapped: Column) -> Column:
-    """Per item the text of every candidate field; null unless the text is one JSON array.
+def item_arrays(wrapped: Column) -> Column:
+    """Every element of the wrapped text as an array of items, each item a map of texts."""
+    return wrapped.try_cast("array<array<map<string,string>>>")
+
+
+def item_fields(arrays: Column) -> Column:
+    """The items of :func:`item_arrays`; null unless the text is exactly one JSON array.
 
-    An element that is no object is a null entry. One cast reads all fields of all items.
+    An item that is no object is a null entry.
     """
-    arrays = wrapped.try_cast(f"array<array<{_ITEM_FIELDS}>>")
     return F.when(F.size(arrays) == 1, F.get(arrays, F.lit(0)))
 
 
@@ -124,3 +124,14 @@ def line_price(line: Column) -> Column:
 
 def line_revenue(line: Column) -> Column:
     return (line["qty"] * line_price(line)).try_cast(LINE_NUMBER.simpleString())
+
+
+def with_item_fields(df: DataFrame, text: Column, prefix: str = "item") -> DataFrame:
+    """Add ``<prefix>_json`` and ``<prefix>_fields``; each parsing step runs once per row."""
+    json, arrays = f"{prefix}_json", f"{prefix}_arrays"
+    return (
+        df.withColumn(json, parse_wrapped(text))
+        .withColumn(arrays, item_arrays(F.col(json)))
+        .withColumn(f"{prefix}_fields", item_fields(F.col(arrays)))
+        .drop(arrays)
+    )

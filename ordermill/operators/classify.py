@@ -52,7 +52,6 @@ def apply_rules(raw: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "date_digits": text.latin_digits(F.col("t_order_date")),
-            "item_json": items.parse_wrapped(F.col("t_items")),
             "c_currency": text.fix_currency(F.col("t_currency")),
             "c_phone": text.fix_phone(F.col("t_customer_phone")),
             "c_email": text.fix_email(F.col("t_customer_email")),
@@ -60,10 +59,10 @@ def apply_rules(raw: DataFrame) -> DataFrame:
         }
     )
     df = df.transform(money.with_price("r_total_amount", "stated"))
+    df = items.with_item_fields(df, F.col("t_items"))
     df = df.withColumns(
         {
             "c_date": dates.fix_date(F.col("date_digits")),
-            "item_fields": items.item_fields(F.col("item_json")),
             "c_items": items.canonical_items(F.col("item_json")),
         }
     )

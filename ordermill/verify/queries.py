@@ -209,27 +209,22 @@ def rule_date(spark, sf_dir):
     )
 
 
-def _with_items(df: DataFrame) -> DataFrame:
-    return df.withColumn("json", item_rules.parse_wrapped(clean(F.col("items")))).withColumn(
-        "fields", item_rules.item_fields(F.col("json"))
-    )
-
-
 def rule_items_json(spark, sf_dir):
-    known = F.col("fields").isNotNull()
-    return _with_items(_records(spark, sf_dir)).select(
+    known = F.col("item_fields").isNotNull()
+    df = item_rules.with_item_fields(_records(spark, sf_dir), clean(F.col("items")))
+    return df.select(
         F.col("items").alias("raw"),
-        F.when(known, item_rules.canonical_items(F.col("json"))).alias("items"),
-        item_rules.items_error(F.col("fields")).alias("error_code"),
+        F.when(known, item_rules.canonical_items(F.col("item_json"))).alias("items"),
+        item_rules.items_error(F.col("item_fields")).alias("error_code"),
     )
 
 
 def rule_recompute_total(spark, sf_dir):
     df = (
-        _with_items(_records(spark, sf_dir))
-        .where(item_rules.items_error(F.col("fields")).isNull())
+        item_rules.with_item_fields(_records(spark, sf_dir), clean(F.col("items")))
+        .where(item_rules.items_error(F.col("item_fields")).isNull())
         .transform(with_price("total_amount", "stated"))
-        .withColumn("lines", item_rules.item_lines(F.col("fields")))
+        .withColumn("lines", item_rules.item_lines(F.col("item_fields")))
         .withColumn("computed", item_rules.computed_total(F.col("lines"), F.col("delivery_fee")))
     )
     replaced = item_rules.total_replaced(F.col("stated"), F.col("computed"))

@@ -130,10 +130,10 @@ def test_items_and_total(spark):
     df = spark.createDataFrame(
         [(i, c[0], "10") for i, c in enumerate(ITEM_CASES)], "i int, x string, fee string"
     )
-    df = df.withColumn("fields", items.item_fields(items.parse_wrapped(clean(F.col("x")))))
-    df = df.withColumn("lines", items.item_lines(F.col("fields")))
+    df = items.with_item_fields(df, clean(F.col("x")))
+    df = df.withColumn("lines", items.item_lines(F.col("item_fields")))
     rows = df.select(
-        "i", items.items_error(F.col("fields")).alias("e"),
+        "i", items.items_error(F.col("item_fields")).alias("e"),
         items.computed_total(F.col("lines"), F.col("fee")).cast("double").alias("t"),
     ).orderBy("i").collect()
     expected = [(e, t) for _, e, t in ITEM_CASES]
@@ -146,8 +146,8 @@ def test_items_and_total(spark):
 )
 def test_fee(spark, fee, expected):
     df = spark.createDataFrame([('[{"qty": 2, "price": 100}]', fee)], "x string, fee string")
-    fields = items.item_fields(items.parse_wrapped(F.col("x")))
-    total = items.computed_total(items.item_lines(fields), F.col("fee")).cast("double")
+    df = items.with_item_fields(df, F.col("x"))
+    total = items.computed_total(items.item_lines(F.col("item_fields")), F.col("fee")).cast("double")
     assert df.select(total).first()[0] == expected
 
 
@@ -194,8 +194,8 @@ def test_total_of_generated_items(spark, generated):
     df = spark.createDataFrame(
         [(i, json.dumps(g)) for i, g in enumerate(generated)], "i int, x string"
     )
-    fields = items.item_fields(items.parse_wrapped(F.col("x")))
-    total = items.computed_total(items.item_lines(fields), F.lit("")).cast("double")
+    df = items.with_item_fields(df, F.col("x"))
+    total = items.computed_total(items.item_lines(F.col("item_fields")), F.lit("")).cast("double")
     got = [r[0] for r in df.select("i", total.alias("t")).orderBy("i").select("t").collect()]
     for value, expected in zip(got, map(plain_total, generated)):
         assert (value is None) == (expected is None)
