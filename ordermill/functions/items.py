@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ordermill.constants import (
@@ -13,6 +13,7 @@ from ordermill.constants import (
     TOTAL_TOLERANCE,
     UNKNOWN_PRODUCT,
 )
+from ordermill.functions.layers import Layer
 from ordermill.functions.money import strip, to_money
 from ordermill.functions.text import latin_digits
 from ordermill.schema import LINE_NUMBER
@@ -126,12 +127,13 @@ def line_revenue(line: Column) -> Column:
     return (line["qty"] * line_price(line)).try_cast(LINE_NUMBER.simpleString())
 
 
-def with_item_fields(df: DataFrame, text: Column, prefix: str = "item") -> DataFrame:
-    """Add ``<prefix>_json`` and ``<prefix>_fields``; each parsing step runs once per row."""
-    json, arrays = f"{prefix}_json", f"{prefix}_arrays"
-    return (
-        df.withColumn(json, parse_wrapped(text))
-        .withColumn(arrays, item_arrays(F.col(json)))
-        .withColumn(f"{prefix}_fields", item_fields(F.col(arrays)))
-        .drop(arrays)
-    )
+def item_layers(text: Column, fee: Column) -> list[Layer]:
+    """Columns from items text to ``c_items``, ``e_items``, ``items_norm`` and ``computed``."""
+    json, fields = F.col("item_json"), F.col("item_fields")
+    return [
+        {"item_json": parse_wrapped(text)},
+        {"item_arrays": item_arrays(json), "c_items": canonical_items(json)},
+        {"item_fields": item_fields(F.col("item_arrays"))},
+        {"e_items": items_error(fields), "items_norm": item_lines(fields)},
+        {"computed": computed_total(F.col("items_norm"), fee)},
+    ]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.constants import CURRENCY_TOKEN_PATTERN, NUMBER_PATTERN, PRICE_WORDS, WHITESPACE
+from ordermill.functions.layers import Layer, add_layers
 from ordermill.functions.text import clean, latin_digits, text_map
 from ordermill.schema import MONEY
 
@@ -50,30 +51,36 @@ def drop_thousands(text: Column) -> Column:
     return F.when(text.contains(",") & is_number(bare), bare).otherwise(text)
 
 
-def with_price(source: str, prefix: str = "price") -> Callable[[DataFrame], DataFrame]:
-    """Add ``<prefix>`` (money), ``<prefix>_corrected`` and ``<prefix>_codes`` (joined by +).
+def price_layers(source: Column, prefix: str) -> list[Layer]:
+    """Columns that end in ``<prefix>`` (money) and ``<prefix>_codes`` (joined by +).
 
-    Every step is its own projection, so that no step's expression is repeated inside the next.
+    A step's column is referenced several times by the next, so every step is a layer of its own.
     """
-    s = [f"_{prefix}_{i}" for i in range(5)]
+    names = [f"_{prefix}_{i}" for i in range(5)]
+    s = [F.col(n) for n in names]
+    codes = [
+        F.when(after != before, F.lit(code))
+        for before, after, code in zip(s, s[1:], PRICE_STEP_CODES)
+    ]
+    return [
+        {names[0]: clean(source)},
+        {names[1]: latin_digits(s[0])},
+        {names[2]: price_words(s[1])},
+        {names[3]: strip_currency(s[2])},
+        {names[4]: drop_thousands(s[3])},
+        {prefix: to_money(to_double(s[4])), f"{prefix}_codes": F.concat_ws("+", *codes)},
+    ]
+
+
+def with_price(source: str, prefix: str = "price") -> Callable[[DataFrame], DataFrame]:
+    """Add ``<prefix>``, ``<prefix>_codes`` and ``<prefix>_corrected`` to a frame."""
 
     def add(df: DataFrame) -> DataFrame:
-        df = (
-            df.withColumn(s[0], clean(F.col(source)))
-            .withColumn(s[1], latin_digits(F.col(s[0])))
-            .withColumn(s[2], price_words(F.col(s[1])))
-            .withColumn(s[3], strip_currency(F.col(s[2])))
-            .withColumn(s[4], drop_thousands(F.col(s[3])))
-        )
-        steps = [
-            F.when(F.col(after) != F.col(before), F.lit(code))
-            for before, after, code in zip(s, s[1:], PRICE_STEP_CODES)
-        ]
-        return (
-            df.withColumn(f"{prefix}_codes", F.concat_ws("+", *steps))
-            .withColumn(f"{prefix}_corrected", F.col(f"{prefix}_codes") != "")
-            .withColumn(prefix, to_money(to_double(F.col(s[4]))))
-            .drop(*s)
+        layers = price_layers(F.col(source), prefix)
+        added = add_layers(df, layers)
+        return added.select(
+            *df.columns, prefix, f"{prefix}_codes",
+            (F.col(f"{prefix}_codes") != "").alias(f"{prefix}_corrected"),
         )
 
     return add

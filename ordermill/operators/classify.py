@@ -17,8 +17,9 @@ from ordermill.constants import (
     QUARANTINE_REASONS,
 )
 from ordermill.functions import dates, items, money, text
+from ordermill.functions.layers import add_layers
 from ordermill.operators.duplicates import conflicting_rows
-from ordermill.schema import CLEANED_FIELDS, CORRECTION, LOGICAL_FIELDS
+from ordermill.schema import CLEANED_FIELDS, CORRECTION
 from ordermill.sources.order_csv import ROW_ORDER
 
 LINEAGE = ["id_run", *ROW_ORDER]
@@ -26,6 +27,10 @@ LINEAGE = ["id_run", *ROW_ORDER]
 _NULL_IF_BLANK = [
     "customer_name", "delivery_type", "payment_method", "payment_status", "city", "district",
 ]
+_STRIPPED = [
+    "order_id", "customer_id", "order_date", "currency", "customer_phone", "customer_email",
+    "status", *_NULL_IF_BLANK,
+]
 
 
 def _correction(
@@ -39,44 +44,29 @@ def _correction(
 def apply_rules(raw: DataFrame) -> DataFrame:
     """Raw envelope to cleaned fields, ``corrections`` and row-level ``errors``.
 
-    Input: ``record_raw`` and the lineage columns. Each ``withColumns`` level uses only the
-    level before it, so no rule's expression is expanded into another's. ``items`` leaves as
-    canonical JSON text (sorted keys, plain numbers), which makes equal item lists equal texts.
+    Input: ``record_raw`` and the lineage columns. ``items`` leaves as canonical JSON text (sorted
+    keys, plain numbers), which makes equal item lists equal texts.
     """
-    df = raw.select(
-        *LINEAGE, "record_raw", *[F.col(f"record_raw.{f}").alias(f"r_{f}") for f in LOGICAL_FIELDS]
-    )
-    stripped = ["order_id", "customer_id", "order_date", "total_amount", "currency",
-                "customer_phone", "customer_email", "status", "items", *_NULL_IF_BLANK]
-    df = df.withColumns({f"t_{f}": text.clean(F.col(f"r_{f}")) for f in stripped})
-    df = df.withColumns(
+    raw = raw.select(*LINEAGE, "record_raw")
+    stripped = {f"t_{f}": text.clean(F.col(f"record_raw.{f}")) for f in _STRIPPED}
+    digits = text.latin_digits(F.col("t_order_date"))
+    fields = [
+        stripped,
         {
-            "date_digits": text.latin_digits(F.col("t_order_date")),
+            "date_digits": digits,
             "c_currency": text.fix_currency(F.col("t_currency")),
             "c_phone": text.fix_phone(F.col("t_customer_phone")),
             "c_email": text.fix_email(F.col("t_customer_email")),
             "c_status": text.fix_status(F.col("t_status")),
-        }
-    )
-    df = df.transform(money.with_price("r_total_amount", "stated"))
-    df = items.with_item_fields(df, F.col("t_items"))
-    df = df.withColumns(
-        {
-            "c_date": dates.fix_date(F.col("date_digits")),
-            "c_items": items.canonical_items(F.col("item_json")),
-        }
-    )
-    df = df.withColumns(
-        {
-            "bad_date": dates.is_impossible(F.col("c_date")),
-            "e_items": items.items_error(F.col("item_fields")),
-            "items_norm": items.item_lines(F.col("item_fields")),
-        }
-    )
-    df = df.withColumn(
-        "computed", items.computed_total(F.col("items_norm"), F.col("r_delivery_fee"))
+        },
+        {"c_date": dates.fix_date(F.col("date_digits"))},
+        {"bad_date": dates.is_impossible(F.col("c_date"))},
+    ]
+    price = money.price_layers(F.col("record_raw.total_amount"), "stated")
+    total = items.item_layers(
+        text.clean(F.col("record_raw.items")), F.col("record_raw.delivery_fee")
     )
-    df = df.withColumn(
+    df = add_layers(raw, fields, price, total).withColumn(
         "recomputed",
         F.col("e_items").isNull() & items.total_replaced(F.col("stated"), F.col("computed")),
     )
@@ -117,8 +107,8 @@ def _corrections() -> list[tuple[Column, Column]]:
             date_fixed, "order_date", stripped("t_order_date"), F.col("c_date"), "DATE_NORMALIZED"
         ),
         _correction(
-            F.col("stated_corrected") & stated.isNotNull(),
-            "total_amount", stripped("t_total_amount"), stated,
+            (F.col("stated_codes") != "") & stated.isNotNull(),
+            "total_amount", F.col("_stated_0"), stated,
             F.col("stated_codes"),
         ),
         _correction(
@@ -135,7 +125,7 @@ def _corrections() -> list[tuple[Column, Column]]:
         ),
         _correction(
             (stripped("t_status") != "")
-            & (F.col("c_status") != text.raw_text(F.col("r_status"))),
+            & (F.col("c_status") != text.raw_text(F.col("record_raw.status"))),
             "status", stripped("t_status"), F.col("c_status"), "STATUS_NORMALIZED",
         ),
         _correction(
@@ -153,15 +143,15 @@ def _cleaned_columns() -> list[Column]:
             text.email_valid(F.col("c_email")), F.col("c_email")
         ).otherwise(F.col("t_customer_email")),
         "customer_phone": F.when(
-            F.col("t_customer_phone") == "", text.raw_text(F.col("r_customer_phone"))
+            F.col("t_customer_phone") == "", text.raw_text(F.col("record_raw.customer_phone"))
         ).otherwise(F.col("c_phone")),
         "order_date": F.col("c_date"),
         "items": F.when(F.col("item_fields").isNotNull(), F.col("c_items")),
         "currency": F.col("c_currency"),
-        "delivery_fee": text.raw_text(F.col("r_delivery_fee")),
+        "delivery_fee": text.raw_text(F.col("record_raw.delivery_fee")),
         "total_amount": F.when(F.col("recomputed"), F.col("computed")).otherwise(F.col("stated")),
         "status": F.when(
-            F.col("t_status") == "", text.raw_text(F.col("r_status"))
+            F.col("t_status") == "", text.raw_text(F.col("record_raw.status"))
         ).otherwise(F.col("c_status")),
     }
     values |= {f: text.blank_to_null(F.col(f"t_{f}")) for f in _NULL_IF_BLANK}

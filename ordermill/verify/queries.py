@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import items as item_rules
 from ordermill.functions import rules
-from ordermill.functions.money import with_price
+from ordermill.functions.layers import add_layers
+from ordermill.functions.money import price_layers, with_price
 from ordermill.functions.text import clean
 from ordermill.operators import classify as C
 from ordermill.operators import run_accounting as A
@@ -209,26 +210,24 @@ def rule_date(spark, sf_dir):
     )
 
 
+def _with_items(spark, sf_dir, *more) -> DataFrame:
+    layers = item_rules.item_layers(clean(F.col("items")), F.col("delivery_fee"))
+    return add_layers(_records(spark, sf_dir), layers, *more)
+
+
 def rule_items_json(spark, sf_dir):
     known = F.col("item_fields").isNotNull()
-    df = item_rules.with_item_fields(_records(spark, sf_dir), clean(F.col("items")))
-    return df.select(
+    return _with_items(spark, sf_dir).select(
         F.col("items").alias("raw"),
-        F.when(known, item_rules.canonical_items(F.col("item_json"))).alias("items"),
-        item_rules.items_error(F.col("item_fields")).alias("error_code"),
+        F.when(known, F.col("c_items")).alias("items"),
+        F.col("e_items").alias("error_code"),
     )
 
 
 def rule_recompute_total(spark, sf_dir):
-    df = (
-        item_rules.with_item_fields(_records(spark, sf_dir), clean(F.col("items")))
-        .where(item_rules.items_error(F.col("item_fields")).isNull())
-        .transform(with_price("total_amount", "stated"))
-        .withColumn("lines", item_rules.item_lines(F.col("item_fields")))
-        .withColumn("computed", item_rules.computed_total(F.col("lines"), F.col("delivery_fee")))
-    )
+    df = _with_items(spark, sf_dir, price_layers(F.col("total_amount"), "stated"))
     replaced = item_rules.total_replaced(F.col("stated"), F.col("computed"))
-    return df.select(
+    return df.where(F.col("e_items").isNull()).select(
         "order_id",
         F.col("stated").cast("double").alias("stated"),
         F.col("computed").cast("double").alias("computed"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ordermill.constants import ITEM_QUANTITY_KEYS, ITEM_UNIT_PRICE_KEYS
 from ordermill.functions import dates, items, rules
+from ordermill.functions.layers import add_layers
 from ordermill.functions.money import with_price
 from ordermill.functions.text import clean
 
@@ -130,11 +131,9 @@ def test_items_and_total(spark):
     df = spark.createDataFrame(
         [(i, c[0], "10") for i, c in enumerate(ITEM_CASES)], "i int, x string, fee string"
     )
-    df = items.with_item_fields(df, clean(F.col("x")))
-    df = df.withColumn("lines", items.item_lines(F.col("item_fields")))
+    df = add_layers(df, items.item_layers(clean(F.col("x")), F.col("fee")))
     rows = df.select(
-        "i", items.items_error(F.col("item_fields")).alias("e"),
-        items.computed_total(F.col("lines"), F.col("fee")).cast("double").alias("t"),
+        "i", F.col("e_items").alias("e"), F.col("computed").cast("double").alias("t")
     ).orderBy("i").collect()
     expected = [(e, t) for _, e, t in ITEM_CASES]
     got = [(r["e"], None if r["e"] else r["t"]) for r in rows]
@@ -146,9 +145,8 @@ def test_items_and_total(spark):
 )
 def test_fee(spark, fee, expected):
     df = spark.createDataFrame([('[{"qty": 2, "price": 100}]', fee)], "x string, fee string")
-    df = items.with_item_fields(df, F.col("x"))
-    total = items.computed_total(items.item_lines(F.col("item_fields")), F.col("fee")).cast("double")
-    assert df.select(total).first()[0] == expected
+    df = add_layers(df, items.item_layers(F.col("x"), F.col("fee")))
+    assert df.select(F.col("computed").cast("double")).first()[0] == expected
 
 
 def test_canonical_items_ignore_key_order_and_number_form(spark):
@@ -194,8 +192,8 @@ def test_total_of_generated_items(spark, generated):
     df = spark.createDataFrame(
         [(i, json.dumps(g)) for i, g in enumerate(generated)], "i int, x string"
     )
-    df = items.with_item_fields(df, F.col("x"))
-    total = items.computed_total(items.item_lines(F.col("item_fields")), F.lit("")).cast("double")
+    df = add_layers(df, items.item_layers(F.col("x"), F.lit("")))
+    total = F.col("computed").cast("double")
     got = [r[0] for r in df.select("i", total.alias("t")).orderBy("i").select("t").collect()]
     for value, expected in zip(got, map(plain_total, generated)):
         assert (value is None) == (expected is None)

@@ -20,7 +20,7 @@ from ordermill.sinks.layers import split_rows
 from ordermill.sinks.layouts import layout_lookup, write_layouts
 from ordermill.sources.order_csv import raw_envelope, row_number_source, scan_orders, with_lineage
 from ordermill.streaming.directory import ingest_directory
-from ordermill.streaming.refresh import refresh_on_commit
+from ordermill.streaming.refresh import refresh_on_commit, report_on_commit
 
 
 def envelope(spark, rows, id_run):
@@ -216,6 +216,8 @@ def test_directory_stream_resumes(new_store, spark, tmp_path):
     assert sorted(r["id_run"] for r in store.run_metrics().select("id_run").collect()) == [
         "chunk-000000", "chunk-000001",
     ]
+    report_on_commit(store, None).awaitTermination()
+    assert store.periodic_reports().count() == 1
     incremental = view_rows(store, "daily_sales_summary")
     refresh_all(store, force_full=True)
     assert incremental == view_rows(store, "daily_sales_summary")
