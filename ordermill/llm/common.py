@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ordermill.session import fresh_dir
@@ -30,6 +33,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast object of any class; each task opens it once."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        if "opened" not in self.__dict__:
+            self.opened = pickle.loads(self.data.value)
+        return self.opened
+
+
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The UTF-8 bytes of a text column; null is empty."""
     values = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())

@@ -4,19 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import simhash
+from ordermill.llm import decontamination, line_dedup, packing, simhash
 from ordermill.llm.common import read_table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(documents, read_table(spark, sf_dir, "benchmark"))
+    items = F.concat_ws(",", F.array_sort("found.items"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(items, 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_simhash": op10_simhash}
+    return {
+        "op1_packing": op1_packing,
+        "op2_line_dedup": op2_line_dedup,
+        "op6_decontamination": op6_decontamination,
+        "op10_simhash": op10_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op6_decontamination": decontamination.ORACLE}
