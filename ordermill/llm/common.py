@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -14,7 +15,7 @@ from ordermill.session import fresh_dir
 BLANKS = " \t\n\x0b\x0c\r"
 
 #: Rows with very long texts must not pile up in one Arrow batch.
-BATCH_BYTES = "32m"
+BATCH_BYTES = "8m"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,3 +62,20 @@ def row_key(*columns: str) -> Column:
     """128 bits over the given columns, nulls told from empty: equal for repeated rows, which then get equal results."""
     parts = [F.struct(F.col(c).isNull(), F.col(c)) for c in columns]
     return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
+
+
+def in_blocks(texts: list[bytes], overlap: int, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Owners and parts of texts, about ``size`` bytes at once. A text longer than that comes in
+    several parts, each but the first led by the ``overlap`` bytes before it."""
+    owners, parts, held = [], [], 0
+    for owner, text in enumerate(texts):
+        for low in range(0, len(text) or 1, size):
+            part = text[max(low - overlap, 0) : low + size]
+            owners.append(owner)
+            parts.append(part)
+            held += len(part)
+            if held >= size:
+                yield owners, parts
+                owners, parts, held = [], [], 0
+    if parts:
+        yield owners, parts

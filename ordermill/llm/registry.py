@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import decontamination, line_dedup, packing, simhash
+from ordermill.llm import decontamination, language_id, line_dedup, packing, simhash
 from ordermill.llm.common import read_table
 
 
@@ -29,6 +29,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = language_id.identify_documents(documents)
+    return found.select(F.col("carried.doc_id"), "language", "probability", "accepted")
+
+
+def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = language_id.identify(pages, **language_id.page_columns(pages), carry=("page_id",))
+    return found.select(F.col("carried.page_id"), "language", "probability", "accepted")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +50,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_line_dedup": op2_line_dedup,
         "op6_decontamination": op6_decontamination,
+        "op9_language_id": op9_language_id,
+        "page_language": page_language,
         "op10_simhash": op10_simhash,
     }
 
