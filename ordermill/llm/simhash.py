@@ -153,7 +153,8 @@ def links(prints: DataFrame) -> DataFrame:
         & chain(3)
         & (F.bit_count(differ) <= BUDGET)
     )
-    return probes.join(index, near).select("x", "y")
+    # Exploded rows outgrow Spark's size estimate, so a broadcast must not be chosen by it.
+    return probes.hint("merge").join(index, near).select("x", "y")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
