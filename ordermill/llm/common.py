@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -64,18 +65,31 @@ def row_key(*columns: str) -> Column:
     return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
 
 
-def in_blocks(texts: list[bytes], overlap: int, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Owners and parts of texts, about ``size`` bytes at once. A text longer than that comes in
-    several parts, each but the first led by the ``overlap`` bytes before it."""
+def in_blocks(texts: list[bytes], lead: bytes, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Owners and parts of texts, about ``size`` bytes at once; a longer text comes in several parts.
+
+    Every part starts with ``len(lead)`` bytes of context: ``lead`` itself or the text's bytes before the part.
+    """
     owners, parts, held = [], [], 0
     for owner, text in enumerate(texts):
-        for low in range(0, len(text) or 1, size):
-            part = text[max(low - overlap, 0) : low + size]
+        text = lead + text
+        for low in range(0, len(text) - len(lead), size):
             owners.append(owner)
-            parts.append(part)
-            held += len(part)
+            parts.append(text[low : low + len(lead) + size])
+            held += len(parts[-1])
             if held >= size:
                 yield owners, parts
                 owners, parts, held = [], [], 0
     if parts:
         yield owners, parts
+
+
+def gram_codes(parts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte after each part's first ``order``: it and the ``order`` bytes before it as one number, and the part."""
+    buffer = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint64)
+    code = buffer.copy()
+    for k in range(1, order + 1):
+        code[k:] |= buffer[:-k] << np.uint64(8 * k)
+    sizes = np.array([len(p) - order for p in parts])
+    part = np.repeat(np.arange(len(parts)), sizes)
+    return code[np.arange(len(part)) + order * (part + 1)], part

@@ -21,11 +21,13 @@ Input columns named like the added ones are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordermill.llm.common import Shared, bounded_batches, in_blocks, row_key, text_bytes, written
+from ordermill.llm.common import Shared, bounded_batches, gram_codes, in_blocks, row_key, text_bytes, written
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -40,15 +42,14 @@ MIN_PROBABILITY = 0.5
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def trigram_buckets(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all byte trigrams around a letter, and the part each is from."""
-    clean = [p.translate(_LETTERS) for p in parts]
-    buffer = np.frombuffer(b"  " + b"  ".join(clean) + b"  ", dtype=np.uint8).astype(np.uint32)
-    owner = np.repeat(np.arange(len(parts)), [len(p) + 2 for p in parts])
-    middle = np.flatnonzero(buffer[1:-1] != 32) + 1
-    code = (buffer[middle - 1] << np.uint32(16)) | (buffer[middle] << np.uint32(8)) | buffer[middle + 1]
-    # Two blanks lead the first part, so the byte at position p belongs to owner[p - 2].
-    return (code * np.uint32(2654435761)) >> np.uint32(16), owner[middle - 2]
+def trigram_buckets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of all byte trigrams around a letter, and the text each is from, in ascending pieces."""
+    clean = [t.translate(_LETTERS) + b" " for t in texts]
+    for owners, parts in in_blocks(clean, b"  "):
+        code, part = gram_codes(parts, 2)
+        inner = (code >> np.uint64(8)) & np.uint64(255) != 32
+        code = code[inner].astype(np.uint32)
+        yield (code * np.uint32(2654435761)) >> np.uint32(16), np.array(owners)[part[inner]]
 
 
 def primary(declared: Column) -> Column:
@@ -62,18 +63,15 @@ def _trigram_counts(rows: DataFrame) -> DataFrame:
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs = batch.column(1).to_pylist()
-            for owners, parts in in_blocks(text_bytes(batch), 2):
-                buckets, part = trigram_buckets(parts)
-                of = np.array([langs[o] for o in owners], dtype=object)
-                for lang in set(of):
-                    mine = np.flatnonzero(of == lang)
-                    add = np.bincount(buckets[np.isin(part, mine)], minlength=BUCKETS)
-                    sums[lang] = sums.get(lang, 0) + add
+            langs, of = np.unique(batch.column(1).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            for buckets, owner in trigram_buckets(text_bytes(batch)):
+                for k in np.unique(of[owner]):
+                    add = np.bincount(buckets[of[owner] == k], minlength=BUCKETS)
+                    sums[langs[k]] = sums.get(langs[k], 0) + add
         for lang, n in sums.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
+                [pa.array([str(lang)] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
                 names=["lang", "bucket", "n"],
             )
 
@@ -104,13 +102,11 @@ def _text_evidence(rows: DataFrame, table: np.ndarray) -> DataFrame:
     def evidence(text: pa.Array) -> pa.Array:
         texts = text_bytes(pa.RecordBatch.from_arrays([text], names=["text"]))
         sums, grams = np.zeros((len(texts), width)), np.zeros(len(texts), dtype=np.int64)
-        for owners, parts in in_blocks(texts, 2):
-            buckets, part = trigram_buckets(parts)
+        for buckets, owner in trigram_buckets(texts):
             if len(buckets):
-                first = np.flatnonzero(np.diff(part, prepend=-1))
-                owner = np.array(owners)[part[first]]
-                np.add.at(sums, owner, np.add.reduceat(shared.value[buckets], first, axis=0, dtype=np.float64))
-                np.add.at(grams, owner, np.diff(first, append=len(part)))
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+                sums[owner[first]] += np.add.reduceat(shared.value[buckets], first, axis=0, dtype=np.float64)
+                grams[owner[first]] += np.diff(first, append=len(owner))
         flat = pa.ListArray.from_arrays(
             pa.array(np.arange(0, (len(texts) + 1) * width, width), pa.int32()), pa.array(sums.ravel() / REPEATS)
         )

@@ -69,7 +69,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN
 
     key = row_key("doc_id", "text")
     lines = written(docs.select(key.alias("key"), F.explode(key_hashes("text")).alias("line")), "lines")
+    # As a table of its own its size is known, and a very common line's rows can be split in the join.
     frequent = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("line")
+    frequent = written(frequent, "frequent-lines")
     # Equal rows offer the same lines: a set per key serves them all.
     marks = lines.join(frequent, "line").groupBy("key").agg(F.collect_set("line").alias("frequent"))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]

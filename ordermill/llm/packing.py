@@ -15,8 +15,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +28,14 @@ from pyspark.sql import DataFrame, functions as F
 from ordermill.llm.common import bounded_batches, text_bytes, written
 
 WINDOW = 2048
-OPEN = 256
+OPEN = 64
 WASTE = 32
 END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
 #: Leftover windows that one task merges: at most this times the window's size in ids.
 MERGE = 4096
-#: Encoded chunks a task remembers; when full, it starts anew.
-REMEMBER = 400_000
+#: Encoded words a task remembers; when full, it starts anew.
+REMEMBER = 600_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -43,10 +45,17 @@ PIECES = (
 #: A single blank between two others: the tokenizer's pattern always starts a token there and looks
 #: neither back nor further ahead, so chunks can be encoded apart.
 _CUT = re.compile(r"(?<=\S)(?=\s\S)")
+#: In texts with one of these, words are not just divided by single spaces and line ends.
+_ODD = ["\0", *(a + b for a in " \n" for b in " \n"), *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 
 
 class Encoder:
-    """Ids of whole texts as little-endian bytes, chunk by chunk with a bounded memory."""
+    """Ids of whole texts as little-endian bytes, word by word with a bounded memory of words.
+
+    Where all blanks are single spaces and line ends between words, a text is a sequence of words
+    with a space before them, or with a line end, which is a token of its own. Full stops and commas
+    at a word's end are tokens of their own after letters. Other texts are cut at single blanks.
+    """
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,18 +67,50 @@ class Encoder:
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        # The letters that stand for bytes in the vocabulary: printable ones for themselves, then from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.byte_letters = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
+
+    def _word(self, chunk: str) -> bytes:
+        """Ids of letters with at most a space before them: one token of the pattern, so straight to the merges."""
+        letters = chunk.encode().decode("latin-1").translate(self.byte_letters)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Remember the ids of chunks that are not known yet."""
+        known, others, joined = self.known, [], []
+        for c in chunks:
+            stem = c.rstrip(".,")
+            if stem.removeprefix(" ").isalpha():
+                if stem not in known:
+                    known[stem] = self._word(stem)
+                if len(stem) < len(c):
+                    joined.append((c, stem, c[len(stem) :]))
+                    if c[len(stem) :] not in known:
+                        others.append(c[len(stem) :])
+            else:
+                others.append(c)
+        for low in range(0, len(others), 10_000):
+            part = others[low : low + 10_000]
+            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            known.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, encoded))
+        known.update((c, known[stem] + known[end]) for c, stem, end in joined)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunked = [_CUT.split(t) for t in texts]
-        missing = {c for chunks in chunked for c in chunks} - self.known.keys()
+        chunked = []
+        for t in texts:
+            if not t or t[0].isspace() or t[-1].isspace() or any(odd in t for odd in _ODD):
+                chunked.append(_CUT.split(t))
+            else:
+                chunked.append(t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
+        missing: set[str] = set()
+        for chunks in chunked:
+            missing.update(filterfalse(self.known.__contains__, chunks))
         if len(self.known) + len(missing) > REMEMBER:
             self.known = {}
             missing = {c for chunks in chunked for c in chunks}
-        missing = list(missing)
-        for low in range(0, len(missing), 10_000):
-            part = missing[low : low + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((c, np.array(e.ids, dtype="<u4").tobytes()) for c, e in zip(part, encoded))
+        self._learn(missing)
         known = self.known.__getitem__
         return [b"".join(map(known, chunks)) for chunks in chunked]
 

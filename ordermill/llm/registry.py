@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordermill.llm import decontamination, language_id, line_dedup, packing, simhash
+import corpus_pipeline
+from ordermill.llm import decontamination, language_id, line_dedup, lm_scoring, packing, simhash
 from ordermill.llm.common import read_table
 
 
@@ -20,6 +21,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.contamination(documents, read_table(spark, sf_dir, "benchmark"))
@@ -49,12 +54,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_line_dedup": op2_line_dedup,
+        "op4_lm_scoring": op4_lm_scoring,
         "op6_decontamination": op6_decontamination,
         "op9_language_id": op9_language_id,
         "page_language": page_language,
         "op10_simhash": op10_simhash,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE, "op6_decontamination": decontamination.ORACLE}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return sql | {"op2_line_dedup": line_dedup.ORACLE, "op6_decontamination": decontamination.ORACLE}

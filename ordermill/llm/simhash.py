@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ordermill.llm.common import bounded_batches, text_bytes, written
+from ordermill.llm.common import bounded_batches, row_key, written
 from ordermill.llm.components import connected_components
 
 BUDGET = 4
@@ -69,17 +69,16 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs``; other columns of any name are not read."""
+    """(doc_id, key, fp) for every row of ``docs``, ``key`` of doc_id and text; other columns are not read."""
     bounded_batches(docs.sparkSession)
 
-    def per_batch(batches):
-        for batch in batches:
-            prints = [fingerprint(t) for t in text_bytes(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"]
-            )
+    @F.arrow_udf("long")
+    def printed(text: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t or b"") for t in text.cast(pa.large_binary()).to_pylist()], pa.int64())
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(per_batch, "doc_id long, fp long")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("key"), printed("text").alias("fp")
+    )
 
 
 def _signed(value: int) -> int:
@@ -157,12 +156,8 @@ def links(prints: DataFrame) -> DataFrame:
     return probes.hint("merge").join(index, near).select("x", "y")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``.
-
-    ``component_id`` is the smallest doc_id that links reach, a null id never being smallest; a
-    component of null ids only has a null one.
-    """
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, fp, component_id) for every row of ``docs``."""
     prints = written(fingerprints(docs), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = connected_components(links(nodes.select("fp")))
@@ -170,7 +165,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select(
+    labels = rooted.join(least, "root").select("fp", "component_id", "root")
+    return prints.join(labels, "fp").select("doc_id", "key", "fp", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs``.
+
+    ``component_id`` is the smallest doc_id that links reach, a null id never being smallest; a
+    component of null ids only has a null one.
+    """
+    return components(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest doc_id, null last.
+
+    Of several texts with that id, the one with the least key stays, and of equal rows one.
+    """
+    found = written(components(docs).select("key", "root", F.col("doc_id").isNull().alias("no_id"), "doc_id"), "components")
+    best = found.groupBy("root").agg(F.min(F.struct("no_id", "doc_id", "key"))["key"].alias("best"))
+    goes = written(found.join(best, "root").where("key <> best").select("key").distinct(), "near-copies")
+    again = written(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-rows")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*names).alias("row"), row_key("doc_id", "text").alias("key"))
+    keyed = keyed.join(goes, "key", "left_anti")
+    kept = keyed.join(again, "key", "left_anti").select("row.*")
+    if again.isEmpty():
+        return kept
+    one = keyed.join(again, "key").groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.union(one.select("row.*"))
