@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ordermill.llm import decontamination, language_id, line_dedup, lm_scoring, packing, simhash
+from ordermill.llm import decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity
 from ordermill.llm.common import read_table
 
 
@@ -25,6 +25,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.contamination(documents, read_table(spark, sf_dir, "benchmark"))
@@ -34,6 +38,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     found = language_id.identify_documents(documents)
@@ -55,7 +63,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_line_dedup": op2_line_dedup,
         "op4_lm_scoring": op4_lm_scoring,
+        "op5_quality": op5_quality,
         "op6_decontamination": op6_decontamination,
+        "op7_toxicity": op7_toxicity,
         "op9_language_id": op9_language_id,
         "page_language": page_language,
         "op10_simhash": op10_simhash,
