@@ -27,8 +27,8 @@ from ordermill.llm.common import Shared, bounded_batches
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 DIMENSIONS = 8
-SAMPLE = 6000
-EPOCHS = 12
+SAMPLE = 4000
+EPOCHS = 5
 RATE = 0.5
 SEED = 7
 THRESHOLD = 0.3
@@ -148,7 +148,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     @F.arrow_udf("double")
     def probability(text: pa.Array) -> pa.Array:
         bags = [words_of(t or b"") for t in text.cast(pa.large_binary()).to_pylist()]
-        missing = set().union(*(b.keys() - known.keys() for b in bags)) if bags else set()
+        missing = {w for b in bags for w in b if w not in known}
         if len(known) + len(missing) > REMEMBER:
             known.clear()
             missing = set().union(*bags)

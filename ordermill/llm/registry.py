@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ordermill.llm import decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity
+from ordermill.llm import decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity, warc
 from ordermill.llm.common import read_table
 
 
@@ -21,6 +21,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive(spark, read_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_line_dedup": op2_line_dedup,
+        "op3_warc": op3_warc,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_quality": op5_quality,
         "op6_decontamination": op6_decontamination,
@@ -75,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return sql | {"op2_line_dedup": line_dedup.ORACLE, "op6_decontamination": decontamination.ORACLE}
+    return sql | {"op2_line_dedup": line_dedup.ORACLE, "op3_warc": warc.ORACLE, "op6_decontamination": decontamination.ORACLE}

@@ -151,7 +151,7 @@ class Matcher:
         sums = np.zeros(_FEATURES)
         words = set(text.translate(_READ).split())
         known = self.known
-        new = words - known.keys()
+        new = [w for w in words if w not in known]
         if len(known) + len(new) > REMEMBER:
             known.clear()
             new = words
