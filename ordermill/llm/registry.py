@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ordermill.llm import decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity, warc
+from ordermill.llm import ann, decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity, warc
 from ordermill.llm.common import read_table
 
 
@@ -47,6 +47,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     found = language_id.identify_documents(documents)
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": op5_quality,
         "op6_decontamination": op6_decontamination,
         "op7_toxicity": op7_toxicity,
+        "op8_nearest": op8_nearest,
         "op9_language_id": op9_language_id,
         "page_language": page_language,
         "op10_simhash": op10_simhash,
