@@ -224,5 +224,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are rejected."""
     rejected = written(identify_documents(docs).where("not accepted").select("key").distinct(), "rejected")
     # Read from a table, the rejected keys have a known size: Spark broadcasts them only if they are few.
-    key = row_key(*[f"`{c}`" for c in docs.columns])
-    return docs.join(rejected, key == rejected["key"], "left_anti")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*names).alias("row"), row_key(*[f"`{c}`" for c in docs.columns]).alias("key"))
+    return keyed.join(rejected, "key", "left_anti").select("row.*")
