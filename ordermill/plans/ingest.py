@@ -21,12 +21,7 @@ from ordermill.plans.store import OrderStore
 from ordermill.sinks.files import delete_path, read_parquet
 from ordermill.sinks.layers import append_run
 from ordermill.sinks.order_upsert import remove_run, upsert_orders
-from ordermill.sources.order_csv import (
-    ROW_ORDER,
-    raw_envelope,
-    scan_orders,
-    with_lineage,
-)
+from ordermill.sources.order_csv import ROW_ORDER, raw_records
 
 _CONFLICTS = T.StructType(
     [T.StructField("file_source", T.StringType()), T.StructField("number_row_source", T.LongType())]
@@ -50,18 +45,37 @@ def ingest_files(
     column_map: dict[str, str] | None = None,
 ) -> RunResult:
     """Run the whole pipeline on CSV files."""
-    scan = scan_orders(store.spark, path, encoding=encoding, multi_line=multi_line)
-    envelope = raw_envelope(with_lineage(scan), id_run, column_map)
+    envelope = raw_records(store.spark, path, id_run, encoding, multi_line, column_map)
     if partitions > 0:
         envelope = envelope.repartition(partitions)
     return ingest(store, envelope, id_run, str(path))
 
 
+def _files(records: DataFrame) -> DataFrame:
+    return records.select("file_source").distinct()
+
+
+def prepare_run(store: OrderStore, envelope: DataFrame, id_run: str) -> None:
+    """Make way for a repeated run; refuse a run id that other files have used.
+
+    Only the files of the earlier attempt, all of them and no others, make a repetition. What it
+    left in quarantine goes, because the new attempt may quarantine nothing.
+    """
+    before = store.raw().where(F.col("id_run") == id_run)
+    if before.isEmpty():
+        return
+    old, new = _files(before), _files(envelope)
+    if not old.exceptAll(new).isEmpty() or not new.exceptAll(old).isEmpty():
+        raise ValueError(f"run id {id_run} was used for other files; every run needs an id of its own")
+    delete_path(store.spark, f"{store.path('orders_quarantine')}/id_run={id_run}")
+
+
 def ingest(
     store: OrderStore, envelope: DataFrame, id_run: str, file_name: str = ""
 ) -> RunResult:
     """Run the whole pipeline on raw records; repeating a run changes nothing further."""
     started = datetime.now(timezone.utc)
+    prepare_run(store, envelope, id_run)
     append_run(envelope, store.path("orders_raw"))
     raw = store.raw().where(F.col("id_run") == id_run)
 

@@ -21,6 +21,7 @@ RAW = _with_run(
     T.StructField("at_ingested", T.TimestampType()),
     T.StructField("engine_used", T.StringType()),
     T.StructField("record_raw", RECORD_RAW),
+    T.StructField("record_extra", T.MapType(T.StringType(), T.StringType())),
 )
 
 QUARANTINE = _with_run(
@@ -77,6 +78,7 @@ class OrderStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self.validated_table = validated_table(spark, f"{self.root}/orders_validated", buckets)
 
     def path(self, name: str) -> str:

@@ -11,7 +11,8 @@ def append_run(df: DataFrame, path: str) -> None:
     """Write one run's rows as that run's partition.
 
     Other runs are untouched. A run that is executed again after a failure replaces its own
-    partition, so a retry does not double the history.
+    partition, so a retry does not double the history. The caller refuses a run id that other files
+    have used (see ``prepare_run``).
     """
     (
         df.write.mode("overwrite")

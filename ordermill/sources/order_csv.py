@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,32 +19,55 @@ ROW_ORDER = ["file_source", "number_row_source"]
 # Rows of one input split have numbers inside one block of this many.
 ROW_BLOCK = 1 << 27
 
+# Header lines read at the same time.
+HEADER_READERS = 16
+
 _INDEX_IN_PARTITION = (1 << 33) - 1
 
 
-def header_columns(
-    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
-) -> list[str]:
-    """Column names of the header line; reads no data rows."""
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    return reader.option("encoding", encoding).option("inferSchema", False).csv(path).columns
+def _names(line: str) -> list[str]:
+    """Column names of a header line; blank and repeated ones get their position, as Spark names them."""
+    names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+    seen = [n.lower() for n in names]
+    return [
+        f"_c{i}" if not n else f"{n}{i}" if seen.count(n.lower()) > 1 else n for i, n in enumerate(names)
+    ]
 
 
-def scan_orders(
-    spark: SparkSession,
-    path: str | list[str],
-    columns: list[str] | None = None,
-    encoding: str = "UTF-8",
-    multi_line: bool = False,
-    partitions: int = 0,
-) -> DataFrame:
-    """Every field as text, named by the header, nothing inferred.
+def _header_line(spark: SparkSession, file: str, encoding: str) -> str | None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    stream = codec.createInputStream(stream) if codec else stream
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def files_by_header(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
+) -> list[tuple[list[str], list[str]]]:
+    """Column names and the files whose header line states them, in order of the first such file.
 
-    Quoted fields use doubled quotes. Embedded line breaks need ``multi_line``, which makes a
-    file unsplittable, so it is off by default. ``partitions`` repartitions only if positive.
+    Reads the first line of every file; a file without any line has no records and is left out.
     """
-    columns = columns or header_columns(spark, path, encoding)
-    df = (
+    files = sorted(spark.read.format("binaryFile").load(path).inputFiles())
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda f: _header_line(spark, f, encoding), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        if line is not None:
+            groups.setdefault(tuple(_names(line)), []).append(unquote(file))
+    return [(list(columns), found) for columns, found in groups.items()]
+
+
+def _scan(
+    spark: SparkSession, path: str | list[str], columns: list[str], encoding: str, multi_line: bool
+) -> DataFrame:
+    return (
         spark.read.schema(all_string(columns))
         .option("header", True)
         .option("quote", '"')
@@ -48,7 +76,24 @@ def scan_orders(
         .option("multiLine", multi_line)
         .csv(path)
     )
-    return df.repartition(partitions) if partitions > 0 else df
+
+
+def scan_orders(
+    spark: SparkSession,
+    path: str | list[str],
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Every field as text, named by each file's own header, nothing inferred.
+
+    Columns that some files lack are null in their rows. Quoted fields use doubled quotes. Embedded
+    line breaks need ``multi_line``, which makes a file unsplittable, so it is off by default.
+    """
+    groups = files_by_header(spark, path, encoding)
+    if len(groups) == 1:
+        return _scan(spark, path, groups[0][0], encoding, multi_line)
+    scans = [_scan(spark, files, columns, encoding, multi_line) for columns, files in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def row_number_source(block_start: Column) -> Column:
@@ -85,6 +130,15 @@ def record_raw(df: DataFrame, column_map: dict[str, str] | None = None) -> Colum
     )
 
 
+def record_extra(df: DataFrame, column_map: dict[str, str] | None = None) -> Column:
+    """What the record states in columns outside the map, by column name; null if there are none."""
+    known = {*(column_map or COLUMN_MAP).values(), "file_source", "file_block_start"}
+    pairs = [x for c in df.columns if c not in known for x in (F.lit(c), F.col(f"`{c}`"))]
+    if not pairs:
+        return F.lit(None).cast("map<string,string>")
+    return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+
+
 def with_lineage(scan: DataFrame) -> DataFrame:
     """Add the file and the split of every record; works on batch and streaming scans."""
     return scan.select(
@@ -105,11 +159,30 @@ def raw_envelope(
         F.current_timestamp().alias("at_ingested"),
         F.lit("spark").alias("engine_used"),
         record_raw(df, column_map).alias("record_raw"),
+        record_extra(df, column_map).alias("record_extra"),
     )
 
 
+def raw_records(
+    spark: SparkSession,
+    path: str | list[str],
+    id_run: str,
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+    column_map: dict[str, str] | None = None,
+) -> DataFrame:
+    """Raw-layer records of all files, each read by its own header."""
+    envelopes = [
+        raw_envelope(with_lineage(_scan(spark, files, columns, encoding, multi_line)), id_run, column_map)
+        for columns, files in files_by_header(spark, path, encoding)
+    ]
+    if not envelopes:
+        raise ValueError(f"no header line in {path}")
+    return reduce(DataFrame.union, envelopes)
+
+
 def preview(spark: SparkSession, path: str, rows: int = 5, encoding: str = "UTF-8") -> DataFrame:
     """The first rows of the first file, read from its beginning only, and the column count."""
-    scan = scan_orders(spark, path, encoding=encoding)
-    first = scan_orders(spark, min(scan.inputFiles()), scan.columns, encoding)
-    return first.limit(rows).withColumn("column_count", F.lit(len(scan.columns)).cast("bigint"))
+    columns, files = files_by_header(spark, path, encoding)[0]
+    first = _scan(spark, files[0], columns, encoding, False)
+    return first.limit(rows).withColumn("column_count", F.lit(len(columns)).cast("bigint"))

@@ -152,12 +152,14 @@ def dirty_orders(spark: SparkSession, sf_dir: str, delivery: int = 0) -> DataFra
     return base.select(k.alias("k"), "copy_no", *[c.alias(n) for n, c in columns.items()])
 
 
-def write_order_csv(orders: DataFrame, path: str, encoding: str = "UTF-8") -> str:
+def write_order_csv(
+    orders: DataFrame, path: str, encoding: str = "UTF-8", columns: list[str] = PHYSICAL_FIELDS
+) -> str:
     """Write records as CSV whose (file, row) order is the delivery order (k, copy_no)."""
     (
         orders.repartitionByRange("k", "copy_no")
         .sortWithinPartitions("k", "copy_no")
-        .select(*PHYSICAL_FIELDS)
+        .select(*columns)
         .write.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -192,6 +194,20 @@ def order_files(spark: SparkSession, sf_dir: str, delivery: int = 0) -> str:
     )
 
 
+def mixed_header_files(spark: SparkSession, sf_dir: str) -> str:
+    """Orders with even k by the usual header; the others with reversed columns and a column more."""
+    configure(spark)
+
+    def build() -> str:
+        path, orders = fresh_dir(spark, "orders-mixed"), dirty_orders(spark, sf_dir)
+        write_order_csv(orders.where("k % 2 = 0"), f"{path}/a")
+        odd = orders.where("k % 2 = 1").withColumn("coupon", F.concat(F.lit("C"), "k"))
+        write_order_csv(odd, f"{path}/b", columns=["coupon", *reversed(PHYSICAL_FIELDS)])
+        return f"{path}/*"
+
+    return once(spark, sf_dir, "csv-mixed", build)
+
+
 def windows_1256_files(spark: SparkSession, sf_dir: str) -> str:
     """The same records in windows-1256, which has no Arabic-Indic digits: those are Latin."""
     configure(spark)
@@ -238,7 +254,7 @@ def streamed_store(spark: SparkSession, sf_dir: str) -> OrderStore:
         inbox = fresh_dir(spark, "inbox")
         for delivery in (1, 2):
             write_order_csv(dirty_orders(spark, sf_dir, delivery), f"{inbox}/chunk_{delivery}")
-            ingest_directory(made, f"{inbox}/chunk_*", max_files=1000).awaitTermination()
+            ingest_directory(made, f"{inbox}/chunk_*", max_files=None).awaitTermination()
             refresh_on_commit(made, None).awaitTermination()
         return made
 

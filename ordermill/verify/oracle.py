@@ -503,6 +503,9 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "csv_scan": f"WITH {DIRTY} SELECT {_physical()} FROM dirty",
+        "csv_scan_mixed_headers": f"WITH {DIRTY} SELECT {_physical()}, CASE WHEN k % 2 = 1 THEN 'C' || k END AS coupon FROM dirty",
+        "raw_extra_columns": f"WITH {DIRTY} SELECT {_logical()}, CASE WHEN k % 2 = 1 THEN 'C' || k END AS coupon FROM dirty",
+        "run_id_reuse": f"WITH {DIRTY} SELECT count(*) AS raw_rows, true AS refused FROM dirty",
         "csv_scan_cp1256": f"WITH {DIRTY} SELECT {_physical(lambda c: 'nullif(' + latin(c) + chr(44) + repr('') + ')')} FROM dirty",
         "column_map": f"WITH {DIRTY} SELECT {_logical()} FROM dirty",
         "raw_envelope": f"WITH {DIRTY} SELECT 'run-1' AS id_run, 'spark' AS engine_used, "

@@ -24,6 +24,7 @@ from ordermill.operators.explain import explain_layouts
 from ordermill.operators.lookups import run_lookup
 from ordermill.operators.reports import items_normalized, run_report
 from ordermill.operators.sampling import prefix_sample, size_sample
+from ordermill.plans.ingest import ingest_files
 from ordermill.plans.jobs import latest_job_runs, periodic_report
 from ordermill.plans.views import read_view, refresh_view
 from ordermill.schema import CLEANED_FIELDS, PHYSICAL_FIELDS
@@ -110,6 +111,27 @@ def csv_scan(spark, sf_dir):
     return _scan(spark, sf_dir)
 
 
+def csv_scan_mixed_headers(spark, sf_dir):
+    """Files with different column orders and an extra column in one folder."""
+    return S.scan_orders(spark, inputs.mixed_header_files(spark, sf_dir)).select(*PHYSICAL_FIELDS, "coupon")
+
+
+def raw_extra_columns(spark, sf_dir):
+    raw = S.raw_records(spark, inputs.mixed_header_files(spark, sf_dir), "run-1")
+    return raw.select("record_raw.*", F.try_element_at("record_extra", F.lit("coupon")).alias("coupon"))
+
+
+def run_id_reuse(spark, sf_dir):
+    """Another delivery under a used run id is refused and leaves the raw layer as it was."""
+    made = inputs.store(spark, sf_dir)
+    try:
+        ingest_files(made, inputs.order_files(spark, sf_dir, 1), "run-1")
+        refused = False
+    except ValueError:
+        refused = True
+    return made.raw().agg(F.count("*").alias("raw_rows")).withColumn("refused", F.lit(refused))
+
+
 def csv_scan_cp1256(spark, sf_dir):
     path = inputs.windows_1256_files(spark, sf_dir)
     return S.scan_orders(spark, path, encoding="windows-1256")
@@ -447,6 +469,9 @@ def size_rows(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "csv_scan": csv_scan,
+        "csv_scan_mixed_headers": csv_scan_mixed_headers,
+        "raw_extra_columns": raw_extra_columns,
+        "run_id_reuse": run_id_reuse,
         "csv_scan_cp1256": csv_scan_cp1256,
         "column_map": column_map,
         "raw_envelope": raw_envelope,

@@ -12,22 +12,22 @@ from ordermill.operators.run_accounting import correction_rule_counts, error_cod
 
 CASES = [
     ({}, "valid", None, []),
-    ({"total_amount": "٢١٠", "order_date": "2025/01/31"}, "corrected", None, []),
+    ({"total_amount": "١٦٥", "order_date": "17.6.2024"}, "corrected", None, []),
     ({"order_id": ""}, "quarantined", "ID_ORDER_MISSING", ["ID_ORDER_MISSING"]),
     ({"customer_id": ""}, "quarantined", "ID_CUSTOMER_MISSING", ["ID_CUSTOMER_MISSING"]),
-    ({"items": "{not valid json"}, "quarantined", "JSON_ITEMS_CORRUPTED", ["JSON_ITEMS_CORRUPTED"]),
+    ({"items": "[{]"}, "quarantined", "JSON_ITEMS_CORRUPTED", ["JSON_ITEMS_CORRUPTED"]),
     ({"items": "[]"}, "quarantined", "ITEMS_EMPTY", ["ITEMS_EMPTY"]),
-    ({"order_date": "2025-13-45"}, "quarantined", "DATE_IMPOSSIBLE_INVALID", ["DATE_IMPOSSIBLE_INVALID"]),
-    ({"customer_id": "", "order_date": "2025-99-99"}, "quarantined", "ERRORS_CONFLICTING_MULTIPLE",
+    ({"order_date": "2024-02-30"}, "quarantined", "DATE_IMPOSSIBLE_INVALID", ["DATE_IMPOSSIBLE_INVALID"]),
+    ({"customer_id": "", "order_date": "1850-01-01"}, "quarantined", "ERRORS_CONFLICTING_MULTIPLE",
      ["ID_CUSTOMER_MISSING", "DATE_IMPOSSIBLE_INVALID"]),
     ({"items": "[]", "total_amount": "?"}, "quarantined", "ERRORS_CONFLICTING_MULTIPLE",
      ["ITEMS_EMPTY", "PRICE_UNKNOWN"]),
     ({"total_amount": "-5"}, "quarantined", "VALUE_NEGATIVE_AMBIGUOUS", ["VALUE_NEGATIVE_AMBIGUOUS"]),
     ({"total_amount": "?"}, "valid", None, []),
-    ({"total_amount": "999"}, "corrected", None, []),
-    ({"total_amount": "210.01"}, "valid", None, []),
+    ({"total_amount": "512"}, "corrected", None, []),
+    ({"total_amount": "165.01"}, "valid", None, []),
     ({"customer_email": "a@@b"}, "corrected", None, []),
-    ({"status": " confirmed "}, "corrected", None, []),
+    ({"status": " packed "}, "corrected", None, []),
 ]
 
 
@@ -49,9 +49,9 @@ def test_verdict(results, i):
 
 def test_recomputed_total_and_its_audit(results):
     row = results[11]
-    assert float(row["total_amount"]) == 210.0
+    assert float(row["total_amount"]) == 165.0
     assert [tuple(c) for c in row["corrections"]] == [
-        ("total_amount", "999.00", "210.00", "TOTAL_RECOMPUTED_FROM_ITEMS")
+        ("total_amount", "512.00", "165.00", "TOTAL_RECOMPUTED_FROM_ITEMS")
     ]
 
 
@@ -110,7 +110,7 @@ def test_conflicts_match_a_plain_loop_for_any_block_size(spark, block_rows):
         {
             "order_id": rng.choice(["HOT"] * 6 + ["A", "B", "C", ""]),
             "customer_id": rng.choice("XYZ"),
-            "total_amount": rng.choice(["210", "210", "-5"]),
+            "total_amount": rng.choice(["165", "165", "-5"]),
             "items": "[1]",  # no total can be computed from it, so the stated one stays
         }
         for _ in range(120)
@@ -133,7 +133,7 @@ def test_quarantine_and_counts(raw_of):
     classified = classify(raw_of({"order_id": ""}, {"order_id": "Y", "customer_id": "", "items": "["}, {},
                                  {"order_id": "Z", "currency": "yer"}))
     q = {r["quarantine_code"]: r for r in quarantined(classified).collect()}
-    assert q["ID_ORDER_MISSING"]["record_raw"]["customer_id"] == "CUST001"
+    assert q["ID_ORDER_MISSING"]["record_raw"]["customer_id"] == "C-318"
     counts = tally(classified)
     codes = {r["code"]: (r["orders_count"], r["mentions_count"]) for r in error_code_counts(counts).collect()}
     assert codes == {

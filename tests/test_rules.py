@@ -25,50 +25,50 @@ def outputs(spark, rule, inputs):
 
 CASES = {
     rules.arabic_numerals: [
-        ("٥٠٠٠", ("5000", True)), ("5000", ("5000", False)), (None, ("", False)),
+        ("٧٢٩", ("729", True)), ("88", ("88", False)), (None, ("", False)),
         (" 12 ", ("12", False)), ("٠١٢٣٤٥٦٧٨٩", ("0123456789", True)),
     ],
     rules.currency: [
-        ("لاير يمني", ("YER", True)), ("YER", ("YER", False)), ("yer", ("YER", True)),
+        ("ريال يمني", ("YER", True)), ("SAR", ("SAR", False)), ("yer", ("YER", True)),
         ("$", ("USD", True)), ("eur", ("EUR", True)), ("EUR", ("EUR", False)),
         ("gold", ("gold", False)), ("", (None, False)), (None, (None, False)),
         (" ريال سعودي ", ("SAR", True)), ("  USD ", ("USD", False)),
     ],
     rules.thousands_separator: [
-        ("125,000.00", ("125000.00", True)), ("5000", ("5000", False)),
+        ("9,876,543.2", ("9876543.2", True)), ("431", ("431", False)),
         ("a,b", ("a,b", False)), ("1,2,3", ("123", True)), (",", (",", False)),
     ],
     rules.price_in_words: [
-        ("خمسة آلاف", ("5000", True)), ("سعر غير معروف", ("سعر غير معروف", False)),
+        ("ثلاثة آلاف", ("3000", True)), ("بلا سعر", ("بلا سعر", False)),
         ("الفين وخمسمئة", ("2500", True)), (" مئة ", ("100", True)),
     ],
     rules.phone: [
-        ("967+ 77 123 4567", ("+967771234567", True)), ("+967771234567", ("+967771234567", False)),
+        ("966 50+555 0142", ("+966505550142", True)), ("+966505550142", ("+966505550142", False)),
         ("٧٧١", ("771", True)), ("++1+2", ("+12", True)), ("", ("", False)), ("  ", ("  ", False)),
         ("abc", ("", True)),
     ],
     rules.email: [
-        ("user@@mail..com", ("user@mail.com", True, True)),
-        ("user@mail.com", ("user@mail.com", False, True)),
-        ("us er@mail.com", ("user@mail.com", True, True)),
+        ("mona@@@shop...example", ("mona@shop.example", True, True)),
+        ("mona@shop.example", ("mona@shop.example", False, True)),
+        ("mo na@shop.example", ("mona@shop.example", True, True)),
         ("nobody", ("nobody", False, False)), ("a@@b", ("a@b", True, False)),
         ("", ("", False, False)),
     ],
     rules.date: [
-        ("2025/01/31", ("2025-01-31", True)), ("2025-01-31", ("2025-01-31", False)),
+        ("2024/06/17", ("2024-06-17", True)), ("2024-06-17", ("2024-06-17", False)),
         ("2025-02-24T21:29:00", ("2025-02-24", False)), ("2025-02-24 21:29", ("2025-02-24", False)),
-        ("٢٠٢٥-٠١-٣١", ("2025-01-31", True)), ("2025-13-45", ("2025-13-45", False)),
+        ("٢٠٢٤-٠٦-١٧", ("2024-06-17", True)), ("2024-00-77", ("2024-00-77", False)),
         ("02/03/2025", ("2025-03-02", True)), ("02/13/2025", ("2025-02-13", True)),
         ("13.02.2025", ("2025-02-13", True)), ("02.13.2025", (None, False)),
         ("2025.2.3", ("2025-02-03", True)), ("2025-1-5", ("2025-01-05", True)),
         ("31-04-2025", (None, False)), ("015/1/2025", (None, False)), ("1/2-2025", (None, False)),
-        ("2025-01-31T10:00:00Z", ("2025-01-31", True)),
-        ("2025-01-31T10:00:00+03:00", ("2025-01-31", True)),
-        ("2025-01-31T25:00:00+03:00", (None, False)),
+        ("2024-06-17T08:15:30Z", ("2024-06-17", True)),
+        ("2024-06-17T08:15:30-05:00", ("2024-06-17", True)),
+        ("2024-06-17T24:59:00+01:00", (None, False)),
         ("soon", (None, False)), ("", (None, False)), (None, (None, False)),
     ],
     rules.status: [
-        (" مؤكد ", ("مؤكد", True)), ("مؤكد", ("مؤكد", False)), ("other", ("other", False)),
+        (" ملغي ", ("ملغي", True)), ("ملغي", ("ملغي", False)), ("lost", ("lost", False)),
         ("", ("", False)),
     ],
 }
@@ -88,7 +88,7 @@ def test_clean_strips_every_unicode_space(spark):
 
 
 def test_impossible_dates(spark):
-    days = ["2025-13-45", None, "1999-12-31", "2000-01-01", "2100-12-31", "2101-01-01", "2025-02-29"]
+    days = ["2024-00-77", None, "1999-12-31", "2000-01-01", "2100-12-31", "2101-01-01", "2025-02-29"]
     assert [r[0] for r in outputs(spark, lambda c: [dates.is_impossible(c)], days)] == [
         True, True, True, False, False, True, True,
     ]
@@ -96,9 +96,9 @@ def test_impossible_dates(spark):
 
 def test_price(spark):
     cases = [
-        ("٥٠٠٠ لاير", 5000.0, "ARABIC_NUMERALS+CURRENCY_TEXT_STRIPPED"),
-        ("210", 210.0, ""), ("غير معروف تماما", None, ""), (None, None, ""), ("  ", None, ""),
-        ("خمسة آلاف", 5000.0, "PRICE_IN_WORDS"), ("1,250.50", 1250.5, "THOUSANDS_SEPARATOR"),
+        ("٧٢٩ ريال", 729.0, "ARABIC_NUMERALS+CURRENCY_TEXT_STRIPPED"),
+        ("88.25", 88.25, ""), ("بلا سعر", None, ""), (None, None, ""), ("  ", None, ""),
+        ("ثلاثة آلاف", 3000.0, "PRICE_IN_WORDS"), ("1,250.50", 1250.5, "THOUSANDS_SEPARATOR"),
         ("USD 1,000", 1000.0, "CURRENCY_TEXT_STRIPPED+THOUSANDS_SEPARATOR"),
         ("100 ريال يمني", None, "CURRENCY_TEXT_STRIPPED"), ("-5", -5.0, ""), ("1e3", 1000.0, ""),
         ("1e400", None, ""), ("nan", None, ""), ("5d", None, ""), ("1_000", None, ""),
@@ -111,7 +111,7 @@ def test_price(spark):
 
 
 ITEM_CASES = [
-    ('[{"quantity": 2, "unit_price": 100}]', None, 210.0),
+    ('[{"count": 4, "item_price": 2.25}]', None, 19.0),
     ("{broken", "JSON_ITEMS_CORRUPTED", None), ("[]", "ITEMS_EMPTY", None),
     ("", "JSON_ITEMS_CORRUPTED", None), (None, "JSON_ITEMS_CORRUPTED", None),
     ('{"a": 1}', "JSON_ITEMS_CORRUPTED", None), ("[1] x", "JSON_ITEMS_CORRUPTED", None),

@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import raw_frame
@@ -12,13 +13,13 @@ from ordermill.operators.reports import run_report, sales_by_period, top_product
 from ordermill.operators.lookups import run_lookup
 from ordermill.operators.sampling import header_bytes, prefix_while, size_sample
 from ordermill.plans import jobs
-from ordermill.plans.ingest import ingest, rollback
+from ordermill.plans.ingest import ingest, ingest_files, rollback
 from ordermill.plans.views import read_view, refresh_all, view_control
 from ordermill.schema import BUSINESS_FIELDS, PHYSICAL_FIELDS
 from ordermill.sinks.keyed_table import KeyedTable
 from ordermill.sinks.layers import split_rows
 from ordermill.sinks.layouts import layout_lookup, write_layouts
-from ordermill.sources.order_csv import raw_envelope, row_number_source, scan_orders, with_lineage
+from ordermill.sources.order_csv import raw_envelope, raw_records, row_number_source, scan_orders, with_lineage
 from ordermill.streaming.directory import ingest_directory
 from ordermill.streaming.refresh import refresh_on_commit, report_on_commit
 
@@ -112,7 +113,7 @@ def test_every_report_and_lookup_runs(two_runs):
     for name in ("sales_by_city", "top_products", "top_customers", "sales_by_period",
                  "orders_status_distribution"):
         assert run_report(validated, name).count() > 0
-    assert ids(run_lookup(validated, "orders_by_customer", {"customer_id": "CUST001"}, 5))
+    assert ids(run_lookup(validated, "orders_by_customer", {"customer_id": "C-318"}, 5))
     assert run_lookup(validated, "orders_by_payment", {}, 100).count() == 36
     with pytest.raises(ValueError):
         run_lookup(validated, "orders_by_status", {}, 0)
@@ -122,7 +123,7 @@ def test_layouts_answer_like_the_table(two_runs, tmp_path):
     validated = two_runs.validated()
     paths = write_layouts(validated, str(tmp_path / "layouts"), files=3)
     for name, params in (("orders_by_status", {"status": "confirmed"}),
-                         ("orders_by_customer", {"customer_id": "CUST001"})):
+                         ("orders_by_customer", {"customer_id": "C-318"})):
         assert (
             layout_lookup(validated, paths, name, params).collect()
             == run_lookup(validated, name, params).collect()
@@ -291,6 +292,44 @@ def test_bom_quotes_and_embedded_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("A", 'x,"y"'), ("B", "two\nlines")]
 
 
+def test_each_file_is_read_by_its_own_header(spark, new_store, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("order_id,city,total_amount\nA1,Aden,5\nA2,Taiz,6\n")
+    (tmp_path / "in" / "b.csv").write_text("coupon,total_amount,order_id\nX9,7,B1\n,8,B2\n")
+    (tmp_path / "in" / "c.csv").write_text("")
+    raw = raw_records(spark, str(tmp_path / "in"), "r")
+    rows = {r["record_raw"]["order_id"]: r for r in raw.collect()}
+    got = {k: (r["record_raw"]["city"], r["record_raw"]["total_amount"], r["record_extra"]) for k, r in rows.items()}
+    assert got == {
+        "A1": ("Aden", "5", None), "A2": ("Taiz", "6", None), "B1": (None, "7", {"coupon": "X9"}), "B2": (None, "8", {}),
+    }
+    assert len({(r["file_source"], r["number_row_source"]) for r in rows.values()}) == 4
+
+    store = new_store()
+    ingest_files(store, str(tmp_path / "in"), "r")
+    with pytest.raises(ValueError):
+        ingest_files(store, str(tmp_path / "in" / "a.csv"), "r")
+    assert store.raw().count() == 4
+    ingest_files(store, str(tmp_path / "in"), "r")
+    assert store.raw().count() == 4 and store.quarantine().count() == 4
+
+
+def test_failed_refresh_runs_again_without_a_new_commit(new_store, spark, monkeypatch):
+    store = new_store()
+    ingest(store, envelope(spark, FIRST, "r1"), "r1")
+
+    def fail(_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patched:
+        patched.setitem(jobs.JOBS, "refresh_materialized_views", jobs.Job(fail, "broken"))
+        with pytest.raises(StreamingQueryException):
+            refresh_on_commit(store, None).awaitTermination()
+    refresh_on_commit(store, None).awaitTermination()
+    assert view_rows(store, "daily_sales_summary")
+    assert [r["status"] for r in store.job_runs().orderBy("started_at").collect()] == ["failure", "success"]
+
+
 def test_missing_columns_become_null(spark, tmp_path):
     path = tmp_path / "short.csv"
     path.write_text("order_id,delivery_cost\nA,5\n")
