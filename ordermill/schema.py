@@ -6,9 +6,10 @@ from pyspark.sql import types as T
 
 from ordermill.constants import COLUMN_MAP
 
-MONEY = T.DecimalType(18, 2)
-# One item line's quantity or revenue; sums over it stay exact and order-independent.
-LINE_NUMBER = T.DecimalType(28, 6)
+# As wide as decimals are: exact sums in any order, and room for every amount below 10^36.
+MONEY = T.DecimalType(38, 2)
+# One item line's quantity or revenue.
+LINE_NUMBER = T.DecimalType(38, 6)
 
 LOGICAL_FIELDS = list(COLUMN_MAP)
 PHYSICAL_FIELDS = list(COLUMN_MAP.values())

@@ -49,7 +49,7 @@ def number(x: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"try_cast({x} AS DECIMAL(18,2))"
+    return f"try_cast({x} AS DECIMAL(38,2))"
 
 
 # --- the derived order records --------------------------------------------------------------
@@ -417,8 +417,8 @@ def _percent(part: str, total: str, digits: int) -> str:
 
 _LINES = """,
 order_lines AS (
-  SELECT l.product, cast(l.qty AS DECIMAL(28,6)) AS units,
-         cast(l.qty * coalesce(l.unit_price, 0) AS DECIMAL(28,6)) AS revenue, v.order_id,
+  SELECT l.product, cast(l.qty AS DECIMAL(38,6)) AS units,
+         cast(l.qty * coalesce(l.unit_price, 0) AS DECIMAL(38,6)) AS revenue, v.order_id,
          cast(l.qty AS DOUBLE) AS qty, cast(l.unit_price AS DOUBLE) AS unit_price
   FROM validated v JOIN item_lines l ON v.run = l.run AND v.k = l.k AND v.copy_no = l.copy_no
 )"""
@@ -470,6 +470,18 @@ _CLUSTERED = " UNION ALL ".join(
     for name in _LOOKUP_FILTERS if name != "orders_by_payment"
 )
 
+# The compared lookups and the columns that their layouts are sorted by.
+_LAYOUTS = {
+    "orders_by_status": "status,order_date",
+    "orders_by_customer": "customer_id,order_date",
+    "high_value_orders_by_city": "city,total_amount",
+}
+_EXPLAINED = " UNION ALL ".join(
+    f"SELECT '{name}' AS query, '{layout}' AS layout, count(*) AS rows_returned, true AS examines_no_more "
+    f"FROM ({_lookup(name, 'order_id')})"
+    for name, columns in _LAYOUTS.items() for layout in ("none", columns)
+)
+
 _ROLLED_BACK = """
 FROM (SELECT * FROM validated WHERE last_run_id <> 'run-2')"""
 
@@ -569,6 +581,7 @@ def oracle_sql() -> dict[str, str]:
         "classified_sample": f"""WITH {CLASSIFIED} SELECT nullif(order_id, '') AS order_id_raw, code AS quarantine_code
             FROM (SELECT * FROM classified WHERE verdict = 'quarantined' ORDER BY k, copy_no LIMIT 10)""",
         **{n: f"WITH {VALIDATED} {_lookup(n, _FLAT)}" for n in _LOOKUP_FILTERS},
+        "explain_layout": f"WITH {VALIDATED} {_EXPLAINED}",
         "clustered_lookup": f"WITH {VALIDATED} {_CLUSTERED}",
         "sales_by_city": f"WITH {VALIDATED} {_CITY.format(limit=20)}",
         "top_products": f"WITH {VALIDATED + _LINES} {_TOP_PRODUCTS}",

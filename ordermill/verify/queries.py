@@ -342,14 +342,18 @@ def clustered_lookup(spark, sf_dir):
 
 
 def explain_layout(spark, sf_dir):
-    """Files and rows each compared lookup reads, from the table and from its layout."""
+    """Rows each compared lookup returns from the table and from its layout, and whether it examines no more there."""
     validated, paths = _validated(spark, sf_dir), _layouts(spark, sf_dir)
-    return explain_layouts(
+    found = explain_layouts(
         spark,
         lambda name, params: run_lookup(validated, name, params),
         lambda name, params: layout_lookup(validated, paths, name, params),
         LOOKUP_PARAMS,
     )
+    table = found.where("layout = 'none'").select("query", F.col("rows_examined").alias("before"))
+    return found.join(table, "query").select(
+        "query", "layout", "rows_returned", (F.col("rows_examined") <= F.col("before")).alias("examines_no_more")
+    )
 
 
 # --- reports ------------------------------------------------------------------------------

@@ -101,7 +101,7 @@ def test_price(spark):
         ("ثلاثة آلاف", 3000.0, "PRICE_IN_WORDS"), ("1,250.50", 1250.5, "THOUSANDS_SEPARATOR"),
         ("USD 1,000", 1000.0, "CURRENCY_TEXT_STRIPPED+THOUSANDS_SEPARATOR"),
         ("100 ريال يمني", None, "CURRENCY_TEXT_STRIPPED"), ("-5", -5.0, ""), ("1e3", 1000.0, ""),
-        ("1e400", None, ""), ("nan", None, ""), ("5d", None, ""), ("1_000", None, ""),
+        ("20000000000000000", 2e16, ""), ("1e400", None, ""), ("nan", None, ""), ("5d", None, ""), ("1_000", None, ""),
     ]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, x string")
     rows = df.transform(with_price("x")).orderBy("i").collect()
