@@ -88,10 +88,11 @@ class KeyedTable:
             row["committed_at"], live,
         )
 
-    def read(self, snapshot: Snapshot | None = None) -> DataFrame:
-        """All rows of a committed state."""
+    def read(self, snapshot: Snapshot | None = None, buckets: set[int] | None = None) -> DataFrame:
+        """All rows of a committed state, or those of some buckets; other buckets' files are not opened."""
         snapshot = snapshot or self.snapshot()
-        return self._pieces(snapshot.live).select(*self.schema.names)
+        live = [(v, b) for v, b in snapshot.live if buckets is None or b in buckets]
+        return self._pieces(live).select(*self.schema.names)
 
     def _pieces(self, live) -> DataFrame:
         data = f"{self.root}/data"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ordermill.operators.duplicates import last_wins
 from ordermill.schema import BUSINESS_FIELDS, ITEM, MONEY, VALIDATED
+from ordermill.sinks.files import delete_path
 from ordermill.sinks.keyed_table import (
     DELETED,
     INSERTED,
@@ -36,15 +37,15 @@ def validated_table(spark: SparkSession, root: str, buckets: int | None = None)
 
 
 def order_changes(
-    current: DataFrame | None, accepted: DataFrame, id_run: str, now: datetime
+    current: DataFrame | None, incoming: DataFrame, id_run: str, now: datetime
 ) -> DataFrame:
-    """Compare accepted rows with the stored ones: inserted, updated or unchanged.
+    """Compare incoming rows, one for each order, with the stored ones: inserted, updated or unchanged.
 
     ``current`` is None for an empty table. Only stored rows whose id arrives take part in the
-    comparison; the semi join is cheap for a small delivery, whose ids the adaptive planner
-    broadcasts by measured size.
+    comparison. ``incoming`` is read from a table, so its size is known when the join is planned: the
+    ids of a small delivery are broadcast and the stored rows are not shuffled.
     """
-    incoming = last_wins(accepted).select(*BUSINESS_FIELDS, "items_norm")
+    incoming = incoming.select(*BUSINESS_FIELDS, "items_norm")
     stamp = F.lit(now).cast("timestamp")
     if current is None:
         return incoming.select(
@@ -57,7 +58,7 @@ def order_changes(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in BEFORE],
             F.lit(INSERTED).alias("action"),
         )
-    ids = accepted.select("order_id").distinct()
+    ids = incoming.select("order_id")
     stored = current.join(ids, "order_id", "left_semi").alias("stored")
     incoming = incoming.alias("incoming")
     joined = incoming.join(
@@ -91,11 +92,26 @@ def order_changes(
 def upsert_orders(
     table: KeyedTable, accepted: DataFrame, id_run: str, now: datetime
 ) -> tuple[Snapshot, int]:
-    """Apply accepted rows; returns the resulting state and the staged change-set version."""
+    """Apply accepted rows; returns the resulting state and the staged change-set version.
+
+    The last row of each order is written once with its bucket; of the stored table only the buckets
+    that these rows fall into are read.
+    """
     base = table.snapshot()
-    current = table.read(base) if base.live else None
-    version = table.stage(order_changes(current, accepted, id_run, now), base)
-    return table.commit(base), version
+    path = f"{table.root}/incoming"
+    incoming = last_wins(accepted).select(*BUSINESS_FIELDS, "items_norm").withColumn(
+        "bucket", table.bucket(F.col("order_id"), base.buckets)
+    )
+    incoming.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    incoming = table.spark.read.schema(incoming.schema).parquet(path)
+    current = None
+    if base.live:
+        touched = {row["bucket"] for row in incoming.select("bucket").distinct().collect()}
+        current = table.read(base, touched)
+    version = table.stage(order_changes(current, incoming, id_run, now), base)
+    state = table.commit(base)
+    delete_path(table.spark, path)
+    return state, version
 
 
 def remove_run(table: KeyedTable, id_run: str) -> Snapshot:

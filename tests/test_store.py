@@ -85,6 +85,19 @@ def test_earlier_versions_stay_readable(two_runs):
     assert table.read(table.snapshot(1)).count() == 30
 
 
+def test_a_small_delivery_reads_its_buckets_only(spark, new_store, monkeypatch):
+    store = new_store(buckets=8)
+    ingest(store, envelope(spark, FIRST, "r1"), "r1")
+    table, read = store.validated_table, []
+    pieces = KeyedTable._pieces
+    monkeypatch.setattr(KeyedTable, "_pieces", lambda self, live: read.append({b for _, b in live}) or pieces(self, live))
+    ingest(store, envelope(spark, [order(3, city="Elsewhere")], "r2"), "r2")
+    own = spark.range(1).select(table.bucket(F.lit("O003"), 8)).first()[0]
+    assert read and all(buckets <= {own} for buckets in read)
+    monkeypatch.undo()
+    assert actions(store, 2) == {"updated": 1} and store.validated().count() == 30
+
+
 def test_unchanged_delivery_writes_nothing(spark, two_runs):
     before = two_runs.validated_table.snapshot()
     result = ingest(two_runs, envelope(spark, SECOND, "r3"), "r3")
