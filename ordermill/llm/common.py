@@ -16,7 +16,7 @@ from ordermill.session import fresh_dir
 BLANKS = " \t\n\x0b\x0c\r"
 
 #: Rows with very long texts must not pile up in one Arrow batch.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +65,7 @@ def row_key(*columns: str) -> Column:
     return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
 
 
-def in_blocks(texts: list[bytes], lead: bytes, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+def in_blocks(texts: list[bytes], lead: bytes, size: int = 1 << 18) -> Iterator[tuple[list[int], list[bytes]]]:
     """Owners and parts of texts, about ``size`` bytes at once; a longer text comes in several parts.
 
     Every part starts with ``len(lead)`` bytes of context: ``lead`` itself or the text's bytes before the part.

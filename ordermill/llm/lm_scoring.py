@@ -48,7 +48,7 @@ _BEFORE = b" " * ORDER
 def _strings(words: list[list[bytes]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """Owners of parts, codes of all strings of ORDER + 1 bytes, and their parts, of texts given as words."""
     texts = [b" ".join([*w, _END]) for w in words]
-    for owners, parts in in_blocks(texts, _BEFORE):
+    for owners, parts in in_blocks(texts, _BEFORE, 1 << 20):
         yield owners, *gram_codes(parts, ORDER)
 
 

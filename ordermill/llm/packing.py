@@ -35,7 +35,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Leftover windows that one task merges: at most this times the window's size in ids.
 MERGE = 4096
 #: Encoded words a task remembers; when full, it starts anew.
-REMEMBER = 600_000
+REMEMBER = 500_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -196,8 +196,8 @@ def pack(
             ids_of = batch.column(0).to_pylist()
             texts = [t.decode("utf-8", "replace") for t in text_bytes(batch)]
             rows = []
-            for low in range(0, len(texts), 256):
-                for doc_id, ids in zip(ids_of[low : low + 256], encoder.encode(texts[low : low + 256])):
+            for low in range(0, len(texts), 128):
+                for doc_id, ids in zip(ids_of[low : low + 128], encoder.encode(texts[low : low + 128])):
                     ids += end
                     total = len(ids) // 4
                     first = 0
