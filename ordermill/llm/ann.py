@@ -8,6 +8,9 @@ queue holds the branches passed by, nearest centre first. The number of leaves v
 until the calibration queries (at most ``CALIBRATION``), whose neighbours are found exactly over all
 classes, have recall ``TARGET``; with all leaves the search is exact.
 
+The first ``FIRST`` leaves of a query give a bound, the score of the last neighbour found there; the other
+leaves hand on only what reaches it.
+
 A leaf's classes and the queries that visit it are cut into blocks of at most about ``BLOCK`` rows, so no task
 holds a whole leaf, however large or sought after. Scores are inner products of the original
 vectors in double precision; ties go to the smaller id.
@@ -33,7 +36,8 @@ LEAF = 256
 BRANCHES = 16
 ROUNDS = 8
 CALIBRATION = 256
-TARGET = 0.97
+TARGET = 0.95
+FIRST = 8
 BLOCK = 2048
 SEED = 11
 
@@ -140,6 +144,21 @@ def _best(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) ->
     return np.concatenate(numbers), np.concatenate(chosen), np.concatenate(scores)
 
 
+def _reaching(queries: np.ndarray, bounds: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
+    """Like ``_best``, but all that reach the queries' bounds; queries without a bound (nan) get their k best."""
+    open_ = np.flatnonzero(np.isnan(bounds))
+    at, chosen, scores = _best(queries[open_], ids, vectors, k) if len(open_) else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    slack = bounds - 1e-9 * np.maximum(1.0, np.abs(bounds))
+    row, column = np.nonzero(queries @ vectors.T >= slack[:, None])
+    exact = (vectors[column] * queries[row]).sum(axis=1)
+    keep = exact >= bounds[row]
+    return (
+        np.concatenate([open_[at], row[keep]]),
+        np.concatenate([chosen, ids[column[keep]]]),
+        np.concatenate([scores, exact[keep]]),
+    )
+
+
 def _valid(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     vector = F.col(embedding).cast("array<double>")
     rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), vector.alias("v"))
@@ -225,30 +244,38 @@ def search(
     def route(v: pa.Array) -> pa.Array:
         return pa.array([shared.value.visits(p, visits) for p in _directions(_matrix(v, width))], pa.list_(pa.int64()))
 
-    routed = written(asking.select("class", "v", F.explode(route("v")).alias("leaf")), "ann-routed")
+    routed = asking.select("class", "v", F.posexplode(route("v")).alias("visit", "leaf"))
+    routed = written(routed, "ann-routed")
 
     def blocks(table: DataFrame, name: str) -> DataFrame:
         counts = table.groupBy("leaf").agg(F.count("*").alias("n"))
         return counts.select("leaf", F.ceil(F.col("n") / BLOCK).cast("long").alias(name))
 
-    grid = written(blocks(placed, "rows").join(blocks(routed, "asks"), "leaf"), "ann-grid")
-    left = placed.join(grid, "leaf").select(
-        "leaf", F.pmod(F.xxhash64("class"), "rows").alias("r"), F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("q"), "class", "v"
-    )
-    right = routed.join(grid, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), F.pmod(F.xxhash64("class"), "asks").alias("q"), "class", "v"
-    )
-
     def compare(candidates: pa.Table, asked: pa.Table) -> pa.Table:
         if not len(candidates) or not len(asked):
             return pa.table({"query": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         vectors, ids = _matrix(candidates["v"], width), candidates["class"].to_numpy()
-        at, chosen, scores = _best(_matrix(asked["v"], width), ids, vectors, k + 1)
+        bounds = asked["bound"].to_numpy(zero_copy_only=False).astype(float)
+        at, chosen, scores = _reaching(_matrix(asked["v"], width), bounds, ids, vectors, k + 1)
         return pa.table({"query": asked["class"].to_numpy()[at], "class": chosen, "score": scores})
 
-    found = left.groupBy("leaf", "r", "q").cogroup(right.groupBy("leaf", "r", "q"))
-    found = found.applyInArrow(compare, "query long, class long, score double")
-    best = _top(found, "query", k + 1, [F.desc("score"), F.col("class")]).select("query", "class", "score")
+    def compared(visiting: DataFrame) -> DataFrame:
+        grid = written(blocks(placed, "rows").join(blocks(visiting, "asks"), "leaf"), "ann-grid")
+        left = placed.join(grid, "leaf").select(
+            "leaf", F.pmod(F.xxhash64("class"), "rows").alias("r"), F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("q"), "class", "v"
+        )
+        right = visiting.join(grid, "leaf").select(
+            "leaf", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), F.pmod(F.xxhash64("class"), "asks").alias("q"), "class", "v", "bound"
+        )
+        found = left.groupBy("leaf", "r", "q").cogroup(right.groupBy("leaf", "r", "q"))
+        found = found.applyInArrow(compare, "query long, class long, score double")
+        return _top(found, "query", k + 1, [F.desc("score"), F.col("class")]).select("query", "class", "score")
+
+    near = written(compared(routed.where(F.col("visit") < FIRST).withColumn("bound", F.lit(None).cast("double"))), "ann-near")
+    bounds = near.groupBy("query").agg(F.min("score").alias("bound"), F.count("*").alias("n"))
+    bounds = written(bounds.where(F.col("n") > k).select(F.col("query").alias("class"), "bound"), "ann-bounds")
+    far = compared(routed.where(F.col("visit") >= FIRST).join(bounds, "class", "left"))
+    best = _top(near.union(far), "query", k + 1, [F.desc("score"), F.col("class")]).select("query", "class", "score")
     members = best.join(classes.select("class", "members"), "class").select("query", "score", F.explode("members").alias("vec_id"))
     members = _top(members, "query", k + 1, [F.desc("score"), F.col("vec_id")])
     lists = members.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("found"))
