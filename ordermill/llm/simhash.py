@@ -191,7 +191,8 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     again = written(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-rows")
     names = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(F.struct(*names).alias("row"), row_key("doc_id", "text").alias("key"))
-    keyed = keyed.join(goes, "key", "left_anti")
+    # The same plan at every size: near copies are a share of all rows and soon too many to broadcast.
+    keyed = keyed.join(goes.hint("merge"), "key", "left_anti")
     kept = keyed.join(again, "key", "left_anti").select("row.*")
     if again.isEmpty():
         return kept
