@@ -2,7 +2,7 @@
 
 Archives are gzip files with one member for each record. Tasks write them through ``pyarrow.fs``, which
 reaches the folder by its address (file, s3, gs, hdfs); each attempt writes a file of its own name, and
-only those that a finished attempt reports are in the manifest, a table next to them.
+only those that a finished attempt reports are in the manifest, a table next to them, with their records counted.
 
 The reader deals byte ranges to tasks. A task looks for gzip's magic number from the range's start,
 takes a place for a member's start only if the header decodes and the content begins like a WARC record, and owns
@@ -82,7 +82,7 @@ def with_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes ``with_revisits`` rows as archives under ``folder``; the manifest (path, bytes)."""
+    """Writes ``with_revisits`` rows as archives under ``folder``; the manifest (path, bytes, records)."""
     bounded_batches(pages.sparkSession)
 
     def write(batches):
@@ -111,9 +111,11 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                     out.write(data)
                     written_bytes += len(data)
         if row:
-            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name.rsplit('/', 1)[1]}"]), pa.array([written_bytes])], names=["path", "bytes"])
+            columns = [pa.array([f"{folder}/{name.rsplit('/', 1)[1]}"]), pa.array([written_bytes]), pa.array([row])]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "bytes", "records"])
 
-    return written(pages.select("page_id", "url", "payload", "holder").mapInArrow(write, "path string, bytes long"), "warc-manifest")
+    rows = pages.select("page_id", "url", "payload", "holder")
+    return written(rows.mapInArrow(write, "path string, bytes long, records long"), "warc-manifest")
 
 
 class _Source:
@@ -123,26 +125,23 @@ class _Source:
         self.file, self.size = file, size
         self.start, self.held = 0, b""
 
-    def read(self, at: int, n: int = CHUNK) -> bytes:
-        if not self.start <= at < self.start + len(self.held):
+    def read(self, at: int, least: int = 1) -> bytes:
+        """What is held from ``at`` on: at least ``least`` bytes, fewer only at the file's end."""
+        if not self.start <= at or self.start + len(self.held) < min(at + least, self.size):
             self.file.seek(at)
-            self.start, self.held = at, self.file.read(min(max(n, CHUNK), self.size - at))
-        return self.held[at - self.start : at - self.start + n]
+            self.start, self.held = at, self.file.read(min(max(least, CHUNK), self.size - at))
+        return self.held[at - self.start :]
 
     def find(self, mark: bytes, at: int, stop: int) -> int:
         """The first place of ``mark`` that starts in [at, stop), or -1."""
         while at < stop:
-            data = self.read(at)
-            if not data:
-                return -1
+            data = self.read(at, len(mark))
             found = data.find(mark)
             if found >= 0:
                 return at + found if at + found < stop else -1
-            if at + len(data) >= self.size:
+            if len(data) < len(mark) or at + len(data) >= self.size:
                 return -1
-            at += max(len(data) - len(mark) + 1, 1)
-            if at < self.start + len(self.held) and len(self.held) - (at - self.start) < len(mark):
-                self.held = b""
+            at += len(data) - len(mark) + 1
         return -1
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -298,6 +299,45 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.archive(spark, frame.where("false")).count() == 0
 
 
+def _places(data, size):
+    found = []
+    for start in range(0, len(data), size):
+        source = warc._Source(pa.BufferReader(data), len(data))
+        found += [at for at, _, _ in warc.records_in(source, start, min(start + size, len(data)))]
+    return found
+
+
+def _archive_of(blocks):
+    members = [warc.record("response", [], block) for block in blocks]
+    return b"".join(members), [sum(map(len, members[:i])) for i in range(len(members))]
+
+
+@pytest.mark.parametrize("left", range(5))
+def test_warc_record_at_the_end_of_a_chunk(left):
+    noise = np.random.default_rng(1).bytes(warc.CHUNK)
+    n = warc.CHUNK - left - len(warc.record("response", [], noise)) + len(noise)
+    while (short := warc.CHUNK - left - len(warc.record("response", [], noise[:n]))) != 0:
+        n += short
+    data, places = _archive_of([noise[:n], b"second", b"third"])
+    assert places[1] == warc.CHUNK - left and _places(data, len(data)) == places
+
+
+def test_warc_chunks_of_any_size(monkeypatch):
+    random = np.random.default_rng(2)
+    data, places = _archive_of([random.bytes(int(n)) for n in random.integers(0, 200, 60)])
+    for chunk in range(1, 65):
+        monkeypatch.setattr(warc, "CHUNK", chunk)
+        assert _places(data, len(data)) == places and _places(data, 37) == places, chunk
+
+
+def test_warc_manifest_counts_what_is_read(spark, tmp_path):
+    pages = spark.range(3000).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(cast(id AS string), 512), 9) AS html")
+    manifest = warc.write_archives(warc.with_revisits(pages.coalesce(1)), f"file://{tmp_path}/w")
+    expected = {r["path"]: r["records"] for r in manifest.collect()}
+    assert sum(expected.values()) == 3000
+    assert {r["path"]: r["count"] for r in warc.read_archives(manifest).groupBy("path").count().collect()} == expected
+
+
 def _brute_neighbours(rows, queries, k):
     rows = sorted({(i, tuple(v)) for i, v in rows})
     out = {}
