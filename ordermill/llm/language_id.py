@@ -2,9 +2,10 @@
 
 Four kinds of evidence are added as logarithms, for every language and for "und", undetermined:
 
-* the text: byte trigrams under a smoothed multinomial of each language, counted over all rows that
-  declare it (overlapping trigrams repeat each other, so a third of their log-likelihood counts);
-  "und" has the uniform distribution;
+* the text: byte trigrams under a multinomial of each language, counted over all rows that declare
+  it and smoothed by the mean of the corpus's distribution and the uniform one, so that languages with
+  few rows stay near it (overlapping trigrams repeat each other, so a third of their log-likelihood
+  counts); "und" has the uniform distribution;
 * the declared language (markup or metadata), through how often texts of each language declare it;
 * the address suffix, through how often texts of each language carry it;
 * the host: its own language counts, smoothed by its domain's, which are smoothed by the corpus's.
@@ -13,6 +14,9 @@ The last three come from grouped sums over all rows, where a row counts for the
 alone suggests. Hosts, declared values and suffixes are joined back by key; rows travel there
 without their texts, and hot keys are left to the adaptive planner's skew handling.
 
+Every declared value of the form of an ISO 639 code (two or three letters, but for those that name no
+language) is a language, however few rows declare it. Other values are evidence only.
+
 A row is accepted if its best language is not "und" and has at least half of the probability. Rows with
 null text or without letters have no text evidence and are "und". Null evidence of another kind is
 neutral. Repeated rows get equal results. Without any declared language all rows are "und".
@@ -32,8 +36,10 @@ from ordermill.llm.common import Shared, bounded_batches, gram_codes, in_blocks,
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 REPEATS = 3
-#: Rows that must declare a language before it is one.
-SUPPORT = 20
+#: Languages looked at together in a text's trigrams, and counted together in a task.
+ABREAST = 16
+#: Codes of ISO 639 for undetermined, several, uncoded and no language.
+NO_LANGUAGE = ("und", "mul", "mis", "zxx")
 #: Pseudo-counts of the level above, for hosts, domains, declared values and suffixes.
 STRENGTH = 10.0
 UNDETERMINED = 1e-4
@@ -57,8 +63,17 @@ def primary(declared: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(declared.cast("string"), r"^\s*([A-Za-z]{2,8})", 1)), F.lit(""))
 
 
-def _trigram_counts(rows: DataFrame) -> DataFrame:
-    """(lang, bucket, n) over all rows that declare a language."""
+def _trigram_counts(rows: DataFrame, langs: list[str]) -> DataFrame:
+    """(lang, bucket, n) over all rows that declare one of ``langs``; ``lang`` is its number."""
+    column = {lang: i for i, lang in enumerate(langs)}
+
+    def table(sums):
+        for lang, n in sums.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), column[lang]), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
+                names=["lang", "bucket", "n"],
+            )
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -66,31 +81,37 @@ def _trigram_counts(rows: DataFrame) -> DataFrame:
             langs, of = np.unique(batch.column(1).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
             for buckets, owner in trigram_buckets(text_bytes(batch)):
                 for k in np.unique(of[owner]):
+                    if langs[k] not in sums and len(sums) == ABREAST:
+                        yield from table(sums)
+                        sums = {}
                     add = np.bincount(buckets[of[owner] == k], minlength=BUCKETS)
                     sums[langs[k]] = sums.get(langs[k], 0) + add
-        for lang, n in sums.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([str(lang)] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
-                names=["lang", "bucket", "n"],
-            )
+        yield from table(sums)
 
-    counted = rows.where("declared is not null").select("text", "declared")
-    counted = counted.mapInArrow(count, "lang string, bucket int, n long")
+    counted = rows.where("is_language").select("text", "declared")
+    counted = counted.mapInArrow(count, "lang int, bucket int, n long")
     return counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def _model(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and log-probabilities, buckets by languages with "und" last."""
-    declared = rows.groupBy("declared").agg(F.count("*").alias("n")).where(f"declared is not null and n >= {SUPPORT}")
-    langs = sorted(r["declared"] for r in declared.collect())
-    table = np.full((BUCKETS, len(langs) + 1), SMOOTHING)
+    rows = rows.withColumn("is_language", F.length("declared").between(2, 3) & ~F.col("declared").isin(*NO_LANGUAGE))
+    langs = sorted(r["declared"] for r in rows.where("is_language").select("declared").distinct().collect())
+    table = np.full((BUCKETS, len(langs) + 1), -np.log(BUCKETS), dtype=np.float32)
     if langs:
-        counts = _trigram_counts(rows.where(F.col("declared").isin(langs))).toArrow()
-        column = {lang: i for i, lang in enumerate(langs)}
-        at = [column[x] for x in counts["lang"].to_pylist()]
-        table[counts["bucket"].to_numpy(), at] += counts["n"].to_numpy()
-    return langs, np.log(table / table.sum(axis=0)).astype(np.float32)
+        counts = _trigram_counts(rows, langs).toArrow()
+        of, buckets, n = (counts[c].to_numpy() for c in ("lang", "bucket", "n"))
+        # Half of the pseudo-counts are spread like the corpus's trigrams, half evenly.
+        corpus = np.bincount(buckets, n, BUCKETS)
+        pseudo = SMOOTHING / 2 * (1 + BUCKETS * (corpus / corpus.sum() if len(n) else 1 / BUCKETS))
+        order = np.argsort(of, kind="stable")
+        ends = np.searchsorted(of[order], np.arange(len(langs) + 1))
+        for i in range(len(langs)):
+            at = order[ends[i] : ends[i + 1]]
+            own = pseudo.copy()
+            own[buckets[at]] += n[at]
+            table[:, i] = np.log(own / own.sum())
+    return langs, table
 
 
 def _text_evidence(rows: DataFrame, table: np.ndarray) -> DataFrame:
@@ -105,7 +126,9 @@ def _text_evidence(rows: DataFrame, table: np.ndarray) -> DataFrame:
         for buckets, owner in trigram_buckets(texts):
             if len(buckets):
                 first = np.flatnonzero(np.diff(owner, prepend=-1))
-                sums[owner[first]] += np.add.reduceat(shared.value[buckets], first, axis=0, dtype=np.float64)
+                for low in range(0, width, ABREAST):
+                    part = shared.value[:, low : low + ABREAST][buckets]
+                    sums[owner[first], low : low + ABREAST] += np.add.reduceat(part, first, axis=0, dtype=np.float64)
                 grams[owner[first]] += np.diff(first, append=len(owner))
         flat = pa.ListArray.from_arrays(
             pa.array(np.arange(0, (len(texts) + 1) * width, width), pa.int32()), pa.array(sums.ravel() / REPEATS)
@@ -117,13 +140,14 @@ def _text_evidence(rows: DataFrame, table: np.ndarray) -> DataFrame:
     )
 
 
-def _log_shares(counts: DataFrame, key: str, langs: list[str], above: Column, name: str) -> DataFrame:
-    """log((count + STRENGTH * share above) / (total + STRENGTH)) for each language of each key."""
-    total = sum((F.col(f"n{i}") for i in range(len(langs))), F.lit(0))
-    shares = [
-        F.log((F.col(f"n{i}") + STRENGTH * above[i]) / (total + STRENGTH)) for i in range(len(langs))
-    ]
-    return counts.select(key, F.array(*shares, F.lit(float(np.log(UNDETERMINED)))).alias(name))
+def _log_shares(counts: DataFrame, key: str, above: Column, name: str) -> DataFrame:
+    """log((count + STRENGTH * share above) / (total + STRENGTH)) for each language of each key, and "und"."""
+    total = F.aggregate(F.map_values("counts"), F.lit(0).cast("long"), lambda s, n: s + n)
+    rows = counts.select("*", total.alias("total"))
+    shares = F.transform(
+        above, lambda share, i: F.log((F.coalesce(F.col("counts")[i], F.lit(0)) + STRENGTH * share) / (F.col("total") + STRENGTH))
+    )
+    return rows.select(key, F.concat(shares, F.array(F.lit(float(np.log(UNDETERMINED))))).alias(name))
 
 
 def identify(
@@ -158,28 +182,29 @@ def identify(
     scored = written(scored.withColumn("suggested", F.when(F.col("grams") > 0, best)), "text-evidence")
 
     known = scored.where(F.col("suggested") < len(langs))
-    sums = [F.count(F.when(F.col("suggested") == i, 1)).alias(f"n{i}") for i in range(len(langs))]
-    corpus = known.agg(*sums).first()
-    base = [(corpus[f"n{i}"] + 1) / (sum(corpus) + len(langs)) for i in range(len(langs))]
-    flat = [F.lit(x) for x in base]
-
-    def per(key: str) -> DataFrame:
-        return known.where(F.col(key).isNotNull()).groupBy(key).agg(*sums)
-
-    domains = _log_shares(per("domain"), "domain", langs, flat, "domain_prior")
-    hosts = known.where(F.col("host").isNotNull()).groupBy("host").agg(*sums, F.min("domain").alias("domain"))
-    hosts = hosts.join(domains, "domain", "left")
-    above = [F.coalesce(F.exp(F.get("domain_prior", F.lit(i))), flat[i]) for i in range(len(langs))]
-    hosts = _log_shares(hosts, "host", langs, above, "prior")
+    corpus = {r["suggested"]: r["count"] for r in known.groupBy("suggested").count().collect()}
+    base = [(corpus.get(i, 0) + 1) / (sum(corpus.values()) + len(langs)) for i in range(len(langs))]
+    flat = F.array(*map(F.lit, base))
+
+    def per(key: str, *others: Column) -> DataFrame:
+        counts = known.where(F.col(key).isNotNull()).groupBy(key, "suggested").agg(F.count("*").alias("n"), *others)
+        entries = F.collect_list(F.struct("suggested", "n"))
+        return counts.groupBy(key).agg(F.map_from_entries(entries).alias("counts"), *others)
+
+    domains = _log_shares(per("domain"), "domain", flat, "domain_prior")
+    hosts = per("host", F.min("domain").alias("domain")).join(domains, "domain", "left")
+    above = F.coalesce(F.transform(F.slice("domain_prior", 1, len(langs)), F.exp), flat)
+    hosts = _log_shares(hosts, "host", above, "prior")
     out = scored.join(hosts, "host", "left")
-    corpus_prior = F.array(*[F.log(x) for x in flat], F.lit(float(np.log(UNDETERMINED))))
+    logs = F.array(*[F.lit(float(np.log(x))) for x in base])
+    corpus_prior = F.concat(logs, F.array(F.lit(float(np.log(UNDETERMINED)))))
     total = F.zip_with("likelihood", F.coalesce("prior", corpus_prior), lambda a, b: a + b)
     for key in ("declared", "suffix"):
         # How often a text of language i shows this value, against how often any text does.
-        ratio = _log_shares(per(key), key, langs, flat, "share").select(
+        ratio = _log_shares(per(key), key, flat, "share").select(
             key,
             F.concat(
-                F.transform(F.slice("share", 1, len(langs)), lambda s, i: s - F.log(F.get(F.array(*flat), i))),
+                F.transform(F.slice("share", 1, len(langs)), lambda s, i: s - F.get(logs, i)),
                 F.array(F.lit(0.0)),
             ).alias(f"{key}_evidence"),
         )

@@ -392,6 +392,37 @@ def test_language_id(spark, docs, nothing):
     assert language_id.identify_documents(docs).count() == docs.count()
 
 
+def test_languages_of_few_rows(spark):
+    words = {
+        "en": "the of and to in that with from this have", "fi": "mutta kanssa olivat joka ovat heidän kuin siitä",
+        "ceb": "ang nga sa mga usa kini niya adunay", "de": "der die und das nicht ein mit von",
+    }
+    many = {"en": 300, "de": 19, "fi": 3, "ceb": 1}
+    rows = [
+        (f"{lang}{i}", " ".join(np.random.default_rng(i).choice(words[lang].split(), 40)), lang, f"src-{lang}")
+        for lang, n in many.items() for i in range(n)
+    ]
+    # No declared language, an English text under a rare code, values that name no language.
+    rows += [("fi-", words["fi"] * 4, None, None), ("en-fi", words["en"] * 4, "fi", "src-en"), ("en-und", words["en"] * 4, "und", "src-en")]
+    rows += [("en-word", words["en"] * 4, "english", "src-en")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    found = {r["doc_id"]: (r["language"], r["accepted"]) for r in language_id.identify_documents(frame).select("carried.doc_id", "language", "accepted").collect()}
+    wrong = {i: found[i] for i, *_ in rows if found[i] != (i.rstrip("0123456789").split("-")[0], True)}
+    assert not wrong
+    alone = frame.where("doc_id like 'fi%' or doc_id like 'ceb%'")
+    assert language_id.keep_identified(alone).count() == alone.count() == 5
+
+
+def test_pages_of_the_smallest_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    columns = language_id.page_columns(pages)
+    found = language_id.identify(pages, **columns, carry=("page_id",)).select("carried.page_id", "language", "accepted")
+    declared = pages.select("page_id", language_id.primary(columns["declared"]).alias("declared"))
+    both = found.join(declared, "page_id").collect()
+    assert {r["language"] for r in both} >= {"en", "de", "fr", "es"}
+    assert sum(r["language"] == r["declared"] for r in both) >= 0.9 * len(both)
+
+
 def k0(lang):
     return {"en": 0, "de": 100, "fr": 200}[lang]
 
