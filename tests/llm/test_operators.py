@@ -365,6 +365,20 @@ def test_nearest_is_exact_for_all_leaves(spark):
     assert ann.search(frame.where("vec_id = 20"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_reaches_the_calibrated_recall(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 16)
+    vectors = np.random.default_rng(7).normal(size=(4000, 16))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    # All 200 queries are calibration queries.
+    result = ann.search(frame, F.col("vec_id") % 20 == 0).toPandas().groupby("query_id")["vec_id"].agg(set)
+    hits = 0
+    for q, got in result.items():
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(got & set(np.argsort(-scores)[:20].tolist()))
+    assert len(result) == 200 and hits >= 0.97 * 20 * 200, hits / 4000
+
+
 def test_nearest_recall(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     data = table.select("vec_id", "embedding").toPandas()
