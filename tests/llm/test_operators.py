@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ordermill.llm import (
-    ann, decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity, warc,
+    ann, decontamination, labelled, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity, warc,
 )
 from ordermill.llm.common import in_blocks
 
@@ -251,6 +251,18 @@ def test_classifiers(spark, docs, nothing, labels, module):
     assert again == {(r["doc_id"], r["score"]) for r in rows}
 
 
+def test_labelled_rows_are_bounded(spark):
+    ids = [i for i in range(100) if _bucket(i, labelled.FOLDS)]
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"other text {n}") for n in range(500)] + [(ids[1], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    found = labelled.sample(docs, labels, "quality", len(ids)).collect()
+    assert len(found) == len(ids) and Counter(r["label"] for r in found) == Counter(i % 2 for i in ids)
+    assert {r["text"] for r in found} >= {f"text {i}" for i in ids[2:]}
+    again = labelled.sample(docs.repartition(3, "text"), labels, "quality", len(ids)).collect()
+    assert Counter(again) == Counter(found)
+
+
 def test_toxicity_grammar():
     match = toxicity.Matcher(dict(toxicity._SEEDS), {b"gru": (toxicity.INSULT, 2.0), b"grum": (toxicity.INSULT, 2.0)})
 
