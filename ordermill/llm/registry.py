@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from ordermill.llm import ann, decontamination, language_id, line_dedup, lm_scoring, packing, quality, simhash, toxicity, warc
+from ordermill.llm import (
+    ann, centroids, decontamination, language_id, lexical, line_dedup, lm_scoring, packing, quality, quality_rules, simhash, toxicity, warc,
+)
 from ordermill.llm.common import read_table
 
 
@@ -67,6 +69,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings")).drop("compared")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -80,10 +94,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": op9_language_id,
         "page_language": page_language,
         "op10_simhash": op10_simhash,
+        "op11_quality_rules": op11_quality_rules,
+        "op12_centroids": op12_centroids,
+        "op13_lexical": op13_lexical,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return sql | {"op2_line_dedup": line_dedup.ORACLE, "op3_warc": warc.ORACLE, "op6_decontamination": decontamination.ORACLE}
+    return sql | {
+        "op2_line_dedup": line_dedup.ORACLE,
+        "op3_warc": warc.ORACLE,
+        "op6_decontamination": decontamination.ORACLE,
+        "op11_quality_rules": quality_rules.ORACLE,
+        "op12_centroids": centroids.ORACLE,
+        "op13_lexical": lexical.ORACLE,
+    }
