@@ -6,8 +6,9 @@ product. Documents are dealt into blocks by their two strongest terms, at most a
 a tree whose nodes hold, for each term, the greatest value below them; the product of two nodes is a bound for every
 pair below. The pairs of roots are a join on terms with a grouped sum. For each item block its ``SEEDS`` most promising
 document blocks are searched first; they give every item a kth score that its best results cannot fall below. All
-other pairs of blocks whose bound reaches the weakest of those scores are then searched from the roots down, best
-bound first; a pair of nodes goes unvisited when its bound is below the weakest kth score of the node's items. Equal
+other pairs of blocks whose bound reaches the weakest of those scores are then searched from the roots down; a pair of
+nodes goes unvisited, with all items and documents below, when its bound is below the weakest kth score of the node's
+items. Each item is compared with the leaves that remain, best bound first, until a bound is below its own kth score. Equal
 bounds are visited, since equal scores go by id. Nothing else is left out, so the result is exact.
 
 Terms are the maximal runs of ASCII letters and digits and all characters beyond ASCII, A-Z lower-cased. Counts
@@ -22,7 +23,6 @@ ids of documents come last among equals. Empty tables give an empty result. Only
 
 from __future__ import annotations
 
-import heapq
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,11 +39,12 @@ DOC_POSTINGS = 1 << 17
 ITEM_POSTINGS = 1 << 12
 SEEDS = 4
 BITS = 1 << 23
-LEAF_DOCS = 64
-LEAF_ITEMS = 16
+LEAF_DOCS = 4
 FAN = 8
+#: Leaves of documents that an item is compared with at once, most promising first.
+LEAVES = 32
 #: Numbers in the table of a tree's maxima, and words whose bit a task remembers.
-TABLE = 1 << 22
+TABLE = 1 << 23
 REMEMBER = 300_000
 EXACT = 1 << 53
 
@@ -62,14 +63,18 @@ def _bit(term: bytes) -> int:
 
 
 class Block:
-    """Sparse vectors in the order of their strongest terms, and a tree of coordinate maxima over them."""
+    """Sparse vectors in the order of their strongest terms, and a tree of coordinate maxima over them.
 
-    def __init__(self, lists: pa.Array, values: pa.Array, terms: np.ndarray, leaf: int):
-        """``terms``: the sorted terms that count; other coordinates are left out."""
+    Node n covers the vectors from ``low[n]`` up to the next node of its level; its children are the nodes from
+    ``first[n]`` to before ``last[n]``. The leaves come first, each its own child, the root last.
+    """
+
+    def __init__(self, lists: pa.Array, values: pa.Array, terms: np.ndarray, leaf: int, others: int = 1):
+        """``terms``: the sorted terms that count, other coordinates are left out; ``others``: vectors on the other side."""
         sizes = pc.list_value_length(lists).to_numpy()
         flat = lists.flatten().to_numpy()
         self.n, ends = len(sizes), np.cumsum(sizes)
-        lead = np.stack([np.where(sizes > i, flat[np.minimum(ends - sizes + i, len(flat) - 1)], -1) for i in (1, 0)])
+        lead = [np.where(sizes > i, flat[np.minimum(ends - sizes + i, len(flat) - 1)], -1) for i in (1, 0)]
         self.order = np.lexsort(lead)
         place = np.empty(self.n, np.int64)
         place[self.order] = np.arange(self.n)
@@ -77,32 +82,40 @@ class Block:
         known = terms[column] == flat
         row, column, value = place[np.repeat(np.arange(self.n), sizes)][known], column[known], values.flatten().to_numpy()[known]
         by = np.argsort(row, kind="stable")
-        self.row, self.column, self.value = row[by], column[by], value[by]
-        leaf = max(leaf, -(-self.n // max(1, TABLE // len(terms) // 2)))
-        self.low = list(range(0, self.n, leaf))
-        self.high = [min(low + leaf, self.n) for low in self.low]
-        level = np.zeros((len(self.low), len(terms)), np.int64)
-        np.maximum.at(level, (self.row // leaf, self.column), self.value)
-        self.leaves, self.children, tables = len(self.low), [()] * len(self.low), [level]
-        first = 0
+        row, self.column, self.value = row[by], column[by], value[by]
+        self.start = np.searchsorted(row, np.arange(self.n + 1))
+        leaf = max(leaf, -(-self.n // max(1, TABLE // (2 * max(len(terms), others)))))
+        low = np.arange(0, self.n, leaf)
+        level = np.zeros((len(low), len(terms)), np.int64)
+        np.maximum.at(level, (row // leaf, self.column), self.value)
+        self.leaves = len(low)
+        lows, firsts, lasts, tables, before = [low], [np.arange(len(low))], [np.arange(1, len(low) + 1)], [level], 0
         while len(level) > 1:
-            groups = [range(low, min(low + FAN, len(level))) for low in range(0, len(level), FAN)]
-            self.children += [tuple(first + i for i in g) for g in groups]
-            self.low += [self.low[first + g[0]] for g in groups]
-            self.high += [self.high[first + g[-1]] for g in groups]
-            first += len(level)
-            level = np.maximum.reduceat(level, [g[0] for g in groups])
+            heads = np.arange(0, len(level), FAN)
+            firsts.append(before + heads)
+            lasts.append(before + np.append(heads[1:], len(level)))
+            before += len(level)
+            low, level = low[heads], np.maximum.reduceat(level, heads)
+            lows.append(low)
             tables.append(level)
+        self.levels = [len(t) for t in tables]
+        self.low, self.first, self.last = np.concatenate(lows), np.concatenate(firsts), np.concatenate(lasts)
         self.maxima = np.concatenate(tables)
-        self.root = len(self.low) - 1
 
-    def dense(self, leaf: int, local: np.ndarray, width: int) -> np.ndarray:
-        """The leaf's vectors over some columns; ``local`` numbers them, with -1 for the others."""
-        low, high = np.searchsorted(self.row, (self.low[leaf], self.high[leaf]))
-        at = local[self.column[low:high]]
-        out = np.zeros((self.high[leaf] - self.low[leaf], width), np.int64)
-        out[self.row[low:high][at >= 0] - self.low[leaf], at[at >= 0]] = self.value[low:high][at >= 0]
-        return out
+    def weakest(self, values: np.ndarray) -> np.ndarray:
+        """The least value of the vectors below each node."""
+        starts = np.cumsum([0, *self.levels])
+        return np.concatenate([np.minimum.reduceat(values, self.low[a:b]) for a, b in zip(starts[:-1], starts[1:])])
+
+    def members(self, leaves: np.ndarray) -> np.ndarray:
+        ends = np.append(self.low[1 : self.leaves], self.n)
+        return _ranges(self.low[leaves], ends[leaves] - self.low[leaves])[0]
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of numbers one after the other, and the run of each."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    return starts[run] + np.arange(len(run)) - (np.cumsum(sizes) - sizes)[run], run
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -112,58 +125,52 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-class Best:
-    """The best k of one item so far: scores and places, best first, equal scores by place."""
-
-    def __init__(self, k: int):
-        self.k, self.scores, self.places = k, np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def add(self, scores: np.ndarray, places: np.ndarray) -> int:
-        """Take what belongs to the best; returns the kth score, 0 while there are fewer."""
-        scores, places = np.concatenate([self.scores, scores]), np.concatenate([self.places, places])
-        order = np.lexsort((places, -scores))[: self.k]
-        self.scores, self.places = scores[order], places[order]
-        return int(self.scores[-1]) if len(order) == self.k else 0
-
-
-def search_blocks(docs: Block, items: Block, precedence: np.ndarray, least: np.ndarray, k: int) -> tuple[list[Best], int]:
-    """The best documents of every item, both in block order, and the number of leaf pairs that were scored.
+def search_blocks(
+    docs: Block, items: Block, precedence: np.ndarray, least: np.ndarray, k: int
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """Scores and precedence of every item's best documents, in block order, and the number of products computed.
 
     ``precedence`` ranks the documents among equal scores; only scores of at least ``least``, an item each, are wanted.
+    A leaf of ``items`` is one item.
     """
     least = np.maximum(least, 1)
-    best = [Best(k) for _ in range(items.n)]
     bounds = _product(items.maxima, docs.maxima)
-    leaves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    queue, scored = [(-int(bounds[items.root, docs.root]), items.root, docs.root)], 0
-    while queue:
-        bound, i, d = heapq.heappop(queue)
-        if -bound < least[items.low[i] : items.high[i]].min():
-            continue
-        if i < items.leaves and d < docs.leaves:
-            if i not in leaves:
-                columns = np.flatnonzero(items.maxima[i])
-                local = np.full(items.maxima.shape[1], -1)
-                local[columns] = np.arange(len(columns))
-                leaves[i] = local, items.dense(i, local, len(columns))
-            local, weights = leaves[i]
-            scores = _product(weights, docs.dense(d, local, weights.shape[1]))
-            scored += 1
-            places = precedence[docs.low[d] : docs.high[d]]
-            for n, row in enumerate(scores, items.low[i]):
-                reach = np.flatnonzero(row >= least[n])
-                if len(reach):
-                    least[n] = max(least[n], best[n].add(row[reach], places[reach]))
-            continue
-        wide = items.high[i] - items.low[i] > docs.high[d] - docs.low[d]
-        if items.children[i] and (wide or not docs.children[d]):
-            pairs = [(c, d) for c in items.children[i]]
-        else:
-            pairs = [(i, c) for c in docs.children[d]]
-        for a, b in pairs:
-            if bounds[a, b] >= least[items.low[a] : items.high[a]].min():
-                heapq.heappush(queue, (-int(bounds[a, b]), a, b))
-    return best, scored
+    weakest = items.weakest(least)
+    i, d = np.array([len(items.low) - 1]), np.array([len(docs.low) - 1])
+    while len(i):
+        reach = bounds[i, d] >= weakest[i]
+        i, d = i[reach], d[reach]
+        if not len(i) or max(i.max() - items.leaves, d.max() - docs.leaves) < 0:
+            break
+        down = docs.last[d] - docs.first[d]
+        at, pair = _ranges(np.zeros(len(i), np.int64), (items.last[i] - items.first[i]) * down)
+        i, d = items.first[i][pair] + at // down[pair], docs.first[d][pair] + at % down[pair]
+    by = np.lexsort((-bounds[i, d], i))
+    d, places = d[by], np.searchsorted(i[by], np.arange(items.n + 1))
+    best, products = [], 0
+    for item in range(items.n):
+        weights = np.zeros(items.maxima.shape[1], np.int64)
+        own = slice(items.start[item], items.start[item + 1])
+        weights[items.column[own]] = items.value[own]
+        scores, ranks = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for low in range(places[item], places[item + 1], LEAVES):
+            leaves = d[low : min(low + LEAVES, places[item + 1])]
+            leaves = leaves[bounds[item, leaves] >= least[item]]
+            if not len(leaves):
+                break
+            rows = docs.members(leaves)
+            at, row = _ranges(docs.start[rows], docs.start[rows + 1] - docs.start[rows])
+            sums = np.zeros(len(rows), np.int64)
+            np.add.at(sums, row, weights[docs.column[at]] * docs.value[at])
+            products += len(rows)
+            reach = sums >= least[item]
+            scores, ranks = np.concatenate([scores, sums[reach]]), np.concatenate([ranks, precedence[rows[reach]]])
+            order = np.lexsort((ranks, -scores))[:k]
+            scores, ranks = scores[order], ranks[order]
+            if len(scores) == k:
+                least[item] = max(least[item], scores[-1])
+        best.append((scores, ranks))
+    return best, products
 
 
 def _pair(docs: pa.Table, items: pa.Table, k: int) -> pa.Table:
@@ -171,20 +178,20 @@ def _pair(docs: pa.Table, items: pa.Table, k: int) -> pa.Table:
     docs, items = docs.combine_chunks(), items.combine_chunks()
     one = lambda table, name: table[name].chunk(0) if table[name].num_chunks else table[name].combine_chunks()
     terms = np.unique(one(items, "terms").flatten().to_numpy())
-    right = Block(one(items, "terms"), one(items, "weights"), terms, LEAF_ITEMS)
-    left = Block(one(docs, "terms"), one(docs, "impacts"), terms, LEAF_DOCS)
+    right = Block(one(items, "terms"), one(items, "weights"), terms, 1)
+    left = Block(one(docs, "terms"), one(docs, "impacts"), terms, LEAF_DOCS, right.n)
     by_id = pc.sort_indices(docs, [("doc_id", "ascending"), ("doc", "ascending")], null_placement="at_end").to_numpy()
     precedence = np.empty(left.n, np.int64)
     precedence[by_id] = np.arange(left.n)
     least = items["least"].to_numpy()[right.order]
     best, _ = search_blocks(left, right, precedence[left.order], least, k)
     keys = items["item"].to_numpy()[right.order]
-    rows = by_id[np.concatenate([b.places for b in best])]
+    rows = by_id[np.concatenate([ranks for _, ranks in best])]
     return pa.table({
-        "item": np.repeat(keys, [len(b.places) for b in best]),
+        "item": np.repeat(keys, [len(scores) for scores, _ in best]),
         "doc": docs["doc"].take(rows),
         "doc_id": docs["doc_id"].take(rows),
-        "score": np.concatenate([b.scores for b in best]),
+        "score": np.concatenate([scores for scores, _ in best]),
     })
 
 
