@@ -49,8 +49,8 @@ class Neighbours:
         """Number and squared distance of every point's nearest centroid, and how many distances were computed."""
         n, k = len(points), len(self.centroids)
         rows = np.arange(n)
-        middle = points.mean(axis=0)
-        start = int(((self.centroids - middle) ** 2).sum(axis=1).argmin()) if n else 0
+        middle = points.mean(axis=0) if n else 0
+        start = int(((self.centroids - middle) ** 2).sum(axis=1).argmin())
         current = np.full(n, start)
         least = self._squares(points, current)
         marked = np.zeros((n, k), dtype=bool)
