@@ -32,7 +32,7 @@ _CONFLICTS = T.StructType(
 class RunResult:
     id_run: str
     version: int
-    change_set: int
+    change_set: str
 
 
 def ingest_files(

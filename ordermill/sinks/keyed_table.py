@@ -1,54 +1,107 @@
 """A Parquet table with one row per key and an atomic keyed upsert.
 
-Plain Parquet has no ``MERGE``. Rows live in hash buckets of the key. A change set is written
-once, as the change feed; then the new rows go to a new version folder, together with the
-untouched rows of exactly those buckets in which something was updated or deleted. Buckets that
-only gain rows keep their old files. The version becomes visible with one small commit file that
-lists the live (version, bucket) folders, so readers see the old state or the new one, and a run
-that dies before its commit is simply run again. One writer at a time is assumed.
+Plain Parquet has no ``MERGE``. Rows live in hash buckets of the key, each bucket in a few pieces
+(files). A change set is written once, as the change feed; then the new rows go to new pieces,
+together with the untouched rows of exactly those buckets in which something was updated or deleted.
+Buckets that only gain rows keep their pieces. A manifest lists the live pieces, and one small commit
+file that appears at once makes a version visible: readers see the old state or the new one, earlier
+versions stay readable, and a run that dies before its commit is simply run again.
+
+Small deliveries leave small pieces. A commit that finds more than ``PIECES`` in a bucket merges the
+smallest, and of the larger ones those no larger than the merged ones together, so a row is moved a
+logarithmic number of times. When buckets hold more than ``bucket_bytes`` on average, their number
+doubles: a piece keeps the number it was written under, serves both halves, and is split when it is
+next rewritten.
+
+Writers may work side by side. Each prepares its pieces under names of its own and commits the next
+version; of several that try the same version one succeeds. The others look at what was committed
+meanwhile: if no key of their change set was changed and all pieces that they replace are still live,
+they commit on top; else ``Conflict`` is raised, and ``retried`` computes the change set anew.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import NamedTuple, TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.sinks.files import read_parquet
+from ordermill.sinks.files import create_file, delete_path, read_parquet
 
 # Change sets up to this many keys are broadcast (at most some tens of MB); larger ones shuffle.
 BROADCAST_KEYS = 500_000
+# Pieces of one bucket; more are merged.
+PIECES = 8
+BUCKET_BYTES = 1 << 30
+ATTEMPTS = 20
 
 INSERTED, UPDATED, DELETED, UNCHANGED = "inserted", "updated", "deleted", "unchanged"
 
-_PIECE = T.StructType(
-    [T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())]
-)
 COMMIT = T.StructType(
     [
+        T.StructField("version", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("source_version", T.LongType()),
         T.StructField("affected", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
-        T.StructField("live", T.ArrayType(_PIECE)),
-        T.StructField("version", T.LongType()),
+        T.StructField("change_set", T.StringType()),
+        T.StructField("manifest", T.StringType()),
+        T.StructField("tag", T.StringType()),
     ]
 )
 
+Made = TypeVar("Made")
+
+
+class Conflict(RuntimeError):
+    """Another writer changed what this one built on."""
+
+
+def retried(action: Callable[[], Made], attempts: int = ATTEMPTS) -> Made:
+    """Run an action that reads a table and commits to it, again after each conflict."""
+    for left in range(attempts - 1, -1, -1):
+        try:
+            return action()
+        except Conflict:
+            if not left:
+                raise
+
+
+class Piece(NamedTuple):
+    """A file with the rows whose key falls into ``bucket`` of ``buckets``."""
+
+    bucket: int
+    buckets: int
+    path: str
+    size: int
+
+    def serves(self, bucket: int) -> bool:
+        """Does it hold rows of a bucket of the table, of which there are at least as many?"""
+        return bucket % self.buckets == self.bucket
+
+
+_MANIFEST = "bucket int, buckets int, path string, size long"
+
 
 @dataclass(frozen=True)
 class Snapshot:
-    """One committed state: which folders hold the rows."""
+    """One committed state."""
 
     version: int
     buckets: int
-    source_version: int | None
-    affected: int
-    committed_at: datetime | None
-    live: tuple[tuple[int, int], ...]
+    source_version: int | None = None
+    affected: int = 0
+    committed_at: datetime | None = None
+    change_set: str | None = None
+    manifest: str | None = None
+    tag: str | None = None
 
 
 class KeyedTable:
@@ -60,6 +113,7 @@ class KeyedTable:
         schema: T.StructType,
         feed_schema: T.StructType | None = None,
         buckets: int | None = None,
+        bucket_bytes: int = BUCKET_BYTES,
     ):
         """``buckets`` counts only at creation; the default is the session's shuffle width.
 
@@ -70,66 +124,92 @@ class KeyedTable:
         self.key = key
         self.schema = schema
         self.feed_schema = feed_schema or T.StructType([])
+        self.bucket_bytes = bucket_bytes
         self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Manifests never change once written.
+        self._manifests: dict[str, list[Piece]] = {}
 
     # --- reading ---------------------------------------------------------------------------
 
+    def commits(self) -> DataFrame:
+        """One row per committed version."""
+        return read_parquet(self.spark, [f"{self.root}/commits"], COMMIT, kind="json")
+
     def snapshot(self, version: int | None = None) -> Snapshot:
         """The latest committed state, or an earlier one."""
-        commits = read_parquet(self.spark, [f"{self.root}/commits"], COMMIT)
-        if version is None:
-            version = commits.agg(F.max("version")).first()[0]
-        row = commits.where(F.col("version") == version).first() if version else None
-        if row is None:
-            return Snapshot(0, self._buckets, None, 0, None, ())
-        live = tuple((piece["version"], piece["bucket"]) for piece in row["live"])
-        return Snapshot(
-            row["version"], row["buckets"], row["source_version"], row["affected"],
-            row["committed_at"], live,
+        rows = self.commits()
+        row = (
+            rows.agg(F.max_by(F.struct(*COMMIT.names), "version").alias("last")).first()["last"]
+            if version is None
+            else rows.where(F.col("version") == version).first()
         )
+        return Snapshot(**row.asDict()) if row else Snapshot(0, self._buckets)
+
+    def tagged(self, tag: str) -> Snapshot | None:
+        """The latest commit that carries a tag."""
+        rows = self.commits().where(F.col("tag") == tag)
+        row = rows.agg(F.max_by(F.struct(*COMMIT.names), "version").alias("last")).first()["last"]
+        return Snapshot(**row.asDict()) if row else None
+
+    def pieces(self, snapshot: Snapshot) -> list[Piece]:
+        """The live files of a state; as many as Spark lists itself when it reads them."""
+        name = snapshot.manifest
+        if name is None:
+            return []
+        if name not in self._manifests:
+            rows = read_parquet(self.spark, [f"{self.root}/manifests/{name}"], T.StructType.fromDDL(_MANIFEST))
+            self._manifests[name] = sorted(Piece(*row) for row in rows.collect())
+        return self._manifests[name]
 
     def read(self, snapshot: Snapshot | None = None, buckets: set[int] | None = None) -> DataFrame:
         """All rows of a committed state, or those of some buckets; other buckets' files are not opened."""
         snapshot = snapshot or self.snapshot()
-        live = [(v, b) for v, b in snapshot.live if buckets is None or b in buckets]
-        return self._pieces(live).select(*self.schema.names)
-
-    def _pieces(self, live) -> DataFrame:
-        data = f"{self.root}/data"
-        schema = T.StructType(self.schema.fields + _PIECE.fields)
-        paths = [f"{data}/version={v}/bucket={b}" for v, b in live]
-        return read_parquet(self.spark, paths, schema, base=data)
+        live = self.pieces(snapshot)
+        if buckets is not None:
+            wanted = {n: {b % n for b in buckets} for n in {piece.buckets for piece in live}}
+            live = [piece for piece in live if piece.bucket in wanted[piece.buckets]]
+        rows = self._rows(live)
+        if buckets is None or all(piece.buckets == snapshot.buckets for piece in live):
+            return rows
+        # A piece from before the number of buckets grew holds rows of other buckets too.
+        return rows.where(self.bucket(F.col(self.key), snapshot.buckets).isin(*buckets))
+
+    def _rows(self, pieces: list[Piece]) -> DataFrame:
+        paths = [f"{self.root}/data/{piece.path}" for piece in pieces]
+        return read_parquet(self.spark, paths, self.schema).select(*self.schema.names)
 
     def changes(self, after: int, upto: int) -> DataFrame:
-        """Effective changes of the versions in ``(after, upto]``, oldest state included."""
-        return self._feed().where(
-            (F.col("version") > after) & (F.col("version") <= upto)
-            & (F.col("action") != UNCHANGED)
-        )
-
-    def actions(self, version: int) -> DataFrame:
+        """Effective changes of the versions in ``(after, upto]`` with their ``version``."""
+        wanted = self.commits().where((F.col("version") > after) & (F.col("version") <= upto))
+        versions = [(r["change_set"], r["version"]) for r in wanted.select("change_set", "version").collect()]
+        feed = self._sets([name for name, _ in versions]).where(F.col("action") != UNCHANGED)
+        numbers = self.spark.createDataFrame(versions, "change_set string, version long")
+        return feed.join(F.broadcast(numbers), "change_set")
+
+    def actions(self, change_set: str) -> DataFrame:
         """Every key of one change set with what happened to it, unchanged ones included."""
-        return self._feed().where(F.col("version") == version).select(self.key, "action")
+        return self._sets([change_set]).select(self.key, "action")
 
-    def _feed(self) -> DataFrame:
+    def _sets(self, names: list[str]) -> DataFrame:
         fields = self.schema.fields + self.feed_schema.fields + [
             T.StructField("action", T.StringType()),
             T.StructField("bucket", T.IntegerType()),
-            T.StructField("version", T.LongType()),
+            T.StructField("change_set", T.StringType()),
         ]
-        return read_parquet(self.spark, [f"{self.root}/changes"], T.StructType(fields))
+        base = f"{self.root}/changes"
+        return read_parquet(self.spark, [f"{base}/change_set={n}" for n in names], T.StructType(fields), base)
 
     # --- writing ---------------------------------------------------------------------------
 
     def bucket(self, key: Column, buckets: int) -> Column:
         return F.pmod(F.hash(key), F.lit(buckets))
 
-    def stage(self, changes: DataFrame, base: Snapshot) -> int:
-        """Write a change set: rows of the table schema plus ``action`` (and feed columns).
+    def stage(self, changes: DataFrame, base: Snapshot) -> str:
+        """Write a change set: rows of the table schema plus ``action`` (and feed columns); returns its name.
 
         The bare key is enough for a deleted or unchanged row.
         """
-        version = base.version + 1
+        change_set = uuid.uuid4().hex
         names = self.schema.names + self.feed_schema.names
         effective = F.col("action").isin(INSERTED, UPDATED)
         columns = [
@@ -141,25 +221,26 @@ class KeyedTable:
             changes.select(
                 *columns, "action", self.bucket(F.col(self.key), base.buckets).alias("bucket")
             )
-            .write.mode("overwrite")
-            .parquet(f"{self.root}/changes/version={version}")
+            .write.parquet(f"{self.root}/changes/change_set={change_set}")
         )
-        return version
+        return change_set
 
     def commit(
         self,
         base: Snapshot,
+        change_set: str,
         source_version: int | None = None,
         rebuild: bool = False,
         always: bool = False,
+        tag: str | None = None,
     ) -> Snapshot:
-        """Turn the staged change set into the next version.
+        """Turn a staged change set into the next version, or raise ``Conflict``.
 
         A change set without effect leaves the table as it is, unless ``always`` asks for a
-        commit to move ``source_version``. ``rebuild`` replaces every bucket.
+        commit to move ``source_version``; such a commit tolerates no other one since ``base``, nor
+        does ``rebuild``, which replaces every bucket.
         """
-        version = base.version + 1
-        staged = self._feed().where(F.col("version") == version)
+        staged = self._sets([change_set])
         touched = (
             staged.where(F.col("action") != UNCHANGED)
             .groupBy("bucket")
@@ -171,72 +252,119 @@ class KeyedTable:
         )
         if not touched and not rebuild and not always:
             return base
+        attempt = uuid.uuid4().hex
         replaced = {r["bucket"] for r in touched if r["n_rewrite"]}
-        kept = [(v, b) for v, b in base.live if b not in replaced and not rebuild]
-        added: list[tuple[int, int]] = []
+        live = self.pieces(base)
+        old = [p for p in live if rebuild or any(p.serves(b) for b in replaced)] if replaced or rebuild else []
+        added: list[Piece] = []
         if touched:
-            self._write_new_rows(staged, version)
-            rewritten = [(v, b) for v, b in base.live if b in replaced and not rebuild]
-            if rewritten:
-                n_keys = sum(r["n_rewrite"] for r in touched)
-                self._write_survivors(staged, version, rewritten, n_keys)
-            added = self._written_buckets(version)
-        result = Snapshot(
-            version, base.buckets, source_version, sum(r["n"] for r in touched),
-            datetime.now(timezone.utc), tuple(kept + added),
-        )
-        self._publish(result)
-        return result
-
-    def _version_path(self, version: int) -> str:
-        return f"{self.root}/data/version={version}"
-
-    def _write_new_rows(self, staged: DataFrame, version: int) -> None:
+            self._write_new_rows(staged, attempt)
+            added = self._written(attempt, base.buckets)
+        merged = [] if rebuild else self._to_merge([p for p in live if p not in set(old)], added, base.buckets)
+        if (old or merged) and not rebuild:
+            n_keys = sum(r["n_rewrite"] for r in touched)
+            self._write_survivors(staged, attempt, old + merged, n_keys, base.buckets, bool(merged))
+            added = self._written(attempt, base.buckets)
+        gone, latest = set(old + merged), base
+        while True:
+            pieces = [p for p in self.pieces(latest) if p not in gone] + added
+            result = Snapshot(
+                latest.version + 1, self._grown(pieces, latest.buckets), source_version,
+                sum(r["n"] for r in touched), datetime.now(timezone.utc).replace(tzinfo=None),
+                change_set, self._write_manifest(pieces), tag,
+            )
+            if self._publish(result):
+                return result
+            delete_path(self.spark, f"{self.root}/manifests/{result.manifest}")
+            latest = self.snapshot()
+            if rebuild or always or not gone <= set(self.pieces(latest)) or self._overlaps(change_set, base, latest):
+                delete_path(self.spark, f"{self.root}/data/{attempt}")
+                delete_path(self.spark, f"{self.root}/changes/change_set={change_set}")
+                raise Conflict(f"version {latest.version} of {self.root} changed what version {base.version} held")
+
+    def _overlaps(self, change_set: str, base: Snapshot, latest: Snapshot) -> bool:
+        """Did a version since ``base`` change a key of the change set, unchanged ones included?"""
+        others = self.changes(base.version, latest.version).select(self.key)
+        return not self._sets([change_set]).join(others, self.key, "left_semi").isEmpty()
+
+    def _to_merge(self, kept: list[Piece], added: list[Piece], buckets: int) -> list[Piece]:
+        """Pieces to write together, so that no bucket that gains rows keeps more than ``PIECES``."""
+        serving: dict[int, list[Piece]] = defaultdict(list)
+        gaining = {piece.bucket for piece in added}
+        by_number: dict[int, dict[int, list[Piece]]] = defaultdict(lambda: defaultdict(list))
+        for piece in kept:
+            by_number[piece.buckets][piece.bucket].append(piece)
+        for bucket in gaining:
+            for number, pieces in by_number.items():
+                serving[bucket] += pieces[bucket % number]
+        chosen: set[Piece] = set()
+        for bucket, pieces in serving.items():
+            surplus = len(pieces) + sum(piece.bucket == bucket for piece in added) - PIECES if len(pieces) >= PIECES else 0
+            if surplus > 0:
+                total = 0
+                for n, piece in enumerate(sorted(pieces, key=lambda p: (p.size, p.path))):
+                    # Merging one piece more than the surplus makes room for the merged one.
+                    if n > surplus and piece.size > total:
+                        break
+                    total += piece.size
+                    chosen.add(piece)
+        return sorted(chosen)
+
+    def _grown(self, pieces: list[Piece], buckets: int) -> int:
+        while sum(piece.size for piece in pieces) > buckets * self.bucket_bytes:
+            buckets *= 2
+        return buckets
+
+    def _write_new_rows(self, staged: DataFrame, attempt: str) -> None:
         (
             staged.where(F.col("action").isin(INSERTED, UPDATED))
             .select(*self.schema.names, "bucket")
             .repartition("bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("bucket")
-            .parquet(self._version_path(version))
+            .write.partitionBy("bucket")
+            .parquet(f"{self.root}/data/{attempt}")
         )
 
     def _write_survivors(
-        self, staged: DataFrame, version: int, rewritten: list[tuple[int, int]], n_keys: int
+        self, staged: DataFrame, attempt: str, pieces: list[Piece], n_keys: int, buckets: int, merge: bool
     ) -> None:
-        """Copy the untouched rows of the rewritten buckets.
+        """Copy the untouched rows of the rewritten pieces.
 
-        With a bounded change set the rows never leave the task that reads their bucket file.
+        With a bounded change set and nothing to merge, the rows never leave the task that reads them.
         """
         keys = staged.where(F.col("action").isin(UPDATED, DELETED)).select(self.key)
-        rows = self._pieces(rewritten).select(*self.schema.names, "bucket")
+        rows = self._rows(pieces).withColumn("bucket", self.bucket(F.col(self.key), buckets))
         if n_keys <= BROADCAST_KEYS:
             survivors = rows.join(F.broadcast(keys), self.key, "left_anti")
         else:
-            survivors = rows.join(keys, self.key, "left_anti").repartition("bucket")
+            survivors = rows.join(keys, self.key, "left_anti")
+        if merge or n_keys > BROADCAST_KEYS:
+            survivors = survivors.repartition("bucket")
         (
             survivors.select(*self.schema.names, "bucket")
             .write.mode("append")
             .partitionBy("bucket")
-            .parquet(self._version_path(version))
+            .parquet(f"{self.root}/data/{attempt}")
         )
 
-    def _written_buckets(self, version: int) -> list[tuple[int, int]]:
+    def _written(self, attempt: str, buckets: int) -> list[Piece]:
+        """The files of an attempt that hold rows."""
         schema = T.StructType([T.StructField("bucket", T.IntegerType())])
-        rows = (
-            read_parquet(self.spark, [self._version_path(version)], schema).distinct().collect()
-        )
-        return [(version, r["bucket"]) for r in rows]
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/data/{attempt}")
+        files = rows.select("bucket", "_metadata.file_path", "_metadata.file_size").distinct().collect()
+        return [
+            Piece(r["bucket"], buckets, r["file_path"].rsplit("/data/", 1)[1], r["file_size"]) for r in files
+        ]
 
-    def _publish(self, snapshot: Snapshot) -> None:
-        row = (
-            snapshot.buckets, snapshot.source_version, snapshot.affected,
-            snapshot.committed_at, list(snapshot.live),
-        )
-        (
-            self.spark.createDataFrame([row], T.StructType(COMMIT.fields[:-1]))
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{self.root}/commits/version={snapshot.version}")
+    def _write_manifest(self, pieces: list[Piece]) -> str:
+        name = uuid.uuid4().hex
+        rows = self.spark.createDataFrame(sorted(pieces), _MANIFEST).coalesce(1)
+        rows.write.parquet(f"{self.root}/manifests/{name}")
+        return name
+
+    def _publish(self, snapshot: Snapshot) -> bool:
+        """Let the commit file appear; False if another writer has taken the version."""
+        row = {name: getattr(snapshot, name) for name in COMMIT.names}
+        row["committed_at"] = row["committed_at"].isoformat() + "Z"
+        return create_file(
+            self.spark, f"{self.root}/commits/{snapshot.version:012d}.json", json.dumps(row) + "\n"
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -19,6 +20,7 @@ from ordermill.sinks.keyed_table import (
     UPDATED,
     KeyedTable,
     Snapshot,
+    retried,
 )
 
 # What a changed order contributed before: enough to correct every view without a rescan.
@@ -91,36 +93,43 @@ def order_changes(
 
 def upsert_orders(
     table: KeyedTable, accepted: DataFrame, id_run: str, now: datetime
-) -> tuple[Snapshot, int]:
-    """Apply accepted rows; returns the resulting state and the staged change-set version.
+) -> tuple[Snapshot, str]:
+    """Apply accepted rows; returns the resulting state and the name of the staged change set.
 
     The last row of each order is written once with its bucket; of the stored table only the buckets
-    that these rows fall into are read.
+    that these rows fall into are read. If another run commits the same orders meanwhile, the written
+    rows are compared anew.
     """
-    base = table.snapshot()
-    path = f"{table.root}/incoming"
-    incoming = last_wins(accepted).select(*BUSINESS_FIELDS, "items_norm").withColumn(
-        "bucket", table.bucket(F.col("order_id"), base.buckets)
-    )
-    incoming.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    path = f"{table.root}/incoming/{uuid.uuid4().hex}"
+    incoming = last_wins(accepted).select(*BUSINESS_FIELDS, "items_norm")
+    incoming.write.parquet(path)
     incoming = table.spark.read.schema(incoming.schema).parquet(path)
-    current = None
-    if base.live:
-        touched = {row["bucket"] for row in incoming.select("bucket").distinct().collect()}
-        current = table.read(base, touched)
-    version = table.stage(order_changes(current, incoming, id_run, now), base)
-    state = table.commit(base)
-    delete_path(table.spark, path)
-    return state, version
+
+    def attempt() -> tuple[Snapshot, str]:
+        base, current = table.snapshot(), None
+        if base.version:
+            bucket = table.bucket(F.col("order_id"), base.buckets)
+            touched = {row[0] for row in incoming.select(bucket).distinct().collect()}
+            current = table.read(base, touched)
+        change_set = table.stage(order_changes(current, incoming, id_run, now), base)
+        return table.commit(base, change_set, tag=id_run), change_set
+
+    try:
+        return retried(attempt)
+    finally:
+        delete_path(table.spark, path)
 
 
 def remove_run(table: KeyedTable, id_run: str) -> Snapshot:
     """Delete the orders a run wrote last, whether it inserted or updated them."""
-    base = table.snapshot()
-    gone = table.read(base).where(F.col("last_run_id") == id_run)
-    changes = gone.withColumns(
-        {old: F.col(name) for old, name in _BEFORE_OF.items()}
-        | {"action": F.lit(DELETED)}
-    )
-    table.stage(changes, base)
-    return table.commit(base)
+
+    def attempt() -> Snapshot:
+        base = table.snapshot()
+        gone = table.read(base).where(F.col("last_run_id") == id_run)
+        changes = gone.withColumns(
+            {old: F.col(name) for old, name in _BEFORE_OF.items()}
+            | {"action": F.lit(DELETED)}
+        )
+        return table.commit(base, table.stage(changes, base))
+
+    return retried(attempt)

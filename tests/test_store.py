@@ -45,7 +45,10 @@ def ids(df):
 
 
 def actions(store, version):
-    rows = store.validated_table.actions(version).groupBy("action").count().collect()
+    """Of a version, or of a change set by name."""
+    table = store.validated_table
+    name = version if isinstance(version, str) else table.snapshot(version).change_set
+    rows = table.actions(name).groupBy("action").count().collect()
     return {r["action"]: r["count"] for r in rows}
 
 
@@ -89,8 +92,8 @@ def test_a_small_delivery_reads_its_buckets_only(spark, new_store, monkeypatch):
     store = new_store(buckets=8)
     ingest(store, envelope(spark, FIRST, "r1"), "r1")
     table, read = store.validated_table, []
-    pieces = KeyedTable._pieces
-    monkeypatch.setattr(KeyedTable, "_pieces", lambda self, live: read.append({b for _, b in live}) or pieces(self, live))
+    rows = KeyedTable._rows
+    monkeypatch.setattr(KeyedTable, "_rows", lambda self, live: read.append({p.bucket for p in live}) or rows(self, live))
     ingest(store, envelope(spark, [order(3, city="Elsewhere")], "r2"), "r2")
     own = spark.range(1).select(table.bucket(F.lit("O003"), 8)).first()[0]
     assert read and all(buckets <= {own} for buckets in read)
