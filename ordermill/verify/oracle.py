@@ -616,10 +616,16 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'top_products', product, revenue FROM ({_TOP_PRODUCTS})
             UNION ALL SELECT 'orders_status_distribution', status, percentage FROM ({_STATUS})""",
         "latest_job_runs": """
-            SELECT event_type AS job_name, max(ts) AS started_at,
-                   CASE WHEN max_by(value, ts) > 50 THEN 'failure' ELSE 'success' END AS status,
-                   cast(max_by(event_id, ts) AS VARCHAR) AS result
-            FROM events GROUP BY event_type""",
+            SELECT event_type AS job_name, date_trunc('hour', cast(ts AS TIMESTAMP)) AS started_at,
+                   cast(ts AS TIMESTAMP) AS finished_at,
+                   cast(epoch_us(cast(ts AS TIMESTAMP)) - epoch_us(date_trunc('hour', cast(ts AS TIMESTAMP))) AS DOUBLE)
+                     AS duration_seconds,
+                   CASE WHEN value > 50 THEN 'failure' ELSE 'success' END AS status,
+                   CASE WHEN value > 50 THEN 'value ' || cast(cast(trunc(value) AS BIGINT) AS VARCHAR) END AS error,
+                   cast(event_id AS VARCHAR) AS result
+            FROM events
+            QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC,
+              CASE WHEN value > 50 THEN 0 ELSE 1 END DESC, error DESC NULLS LAST, cast(event_id AS VARCHAR) DESC) = 1""",
         "run_metrics": f"WITH {VALIDATED + _COUNTS} SELECT * FROM counts",
         "run_checks": f"""WITH {VALIDATED + _COUNTS}
             SELECT count_valid + count_corrected + count_quarantine AS consistency_expected_total,

@@ -27,7 +27,7 @@ from ordermill.operators.sampling import prefix_sample, size_sample
 from ordermill.plans.ingest import ingest_files
 from ordermill.plans.jobs import latest_job_runs, periodic_report
 from ordermill.plans.views import read_view, refresh_view
-from ordermill.schema import CLEANED_FIELDS, PHYSICAL_FIELDS
+from ordermill.schema import CLEANED_FIELDS, JOB_RUNS, PHYSICAL_FIELDS
 from ordermill.session import configure, fresh_dir
 from ordermill.sinks.layers import split_rows
 from ordermill.sinks.layouts import layout_lookup, write_layouts
@@ -182,7 +182,8 @@ def upsert_merge(spark, sf_dir):
 
 
 def upsert_actions(spark, sf_dir):
-    return inputs.two_delivery_store(spark, sf_dir).validated_table.actions(2)
+    table = inputs.two_delivery_store(spark, sf_dir).validated_table
+    return table.actions(table.snapshot(2).change_set)
 
 
 def split_files(spark, sf_dir):
@@ -407,17 +408,28 @@ def periodic_report_rows(spark, sf_dir):
 
 
 def latest_runs(spark, sf_dir):
-    """Latest run per job over a job history taken from the events table."""
+    """Latest run per job over a job history taken from the events table.
+
+    A job starts at the full hour of its event, so that several start together and the one that ended
+    last has to be found.
+    """
     configure(spark)
-    started = F.col("ts").cast("timestamp")
+    ended = F.col("ts").cast("timestamp")
+    started = F.date_trunc("hour", ended)
+    failed = F.col("value") > 50
     history = inputs.table(spark, sf_dir, "events").select(
         F.col("event_type").alias("job_name"),
         started.alias("started_at"),
-        F.when(F.col("value") > 50, "failure").otherwise("success").alias("status"),
+        ended.alias("finished_at"),
+        (F.unix_micros(ended) - F.unix_micros(started)).cast("double").alias("duration_seconds"),
+        F.when(failed, "failure").otherwise("success").alias("status"),
+        F.when(failed, F.concat(F.lit("value "), F.col("value").cast("long").cast("string"))).alias("error"),
         F.col("event_id").cast("string").alias("result"),
     )
+    assert history.columns == JOB_RUNS.names
     return latest_job_runs(history).select(
-        "job_name", F.col("started_at").cast("timestamp_ntz").alias("started_at"), "status", "result"
+        "job_name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started_at", "finished_at")],
+        "duration_seconds", "status", "error", "result",
     )
 
 
