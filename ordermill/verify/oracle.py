@@ -477,14 +477,17 @@ _LAYOUTS = {
     "high_value_orders_by_city": "city,total_amount",
 }
 _EXPLAINED = " UNION ALL ".join(
-    f"SELECT '{name}' AS query, '{layout}' AS layout, count(*) AS rows_returned, true AS examines_no_more "
-    f"FROM ({_lookup(name, 'order_id')})"
+    f"SELECT '{name}' AS query, '{layout}' AS layout, count(*) AS rows_matching, "
+    f"least(count(*), 10) AS rows_returned, true AS in_no_more_files "
+    f"FROM validated WHERE {_LOOKUP_FILTERS[name][0]}"
     for name, columns in _LAYOUTS.items() for layout in ("none", columns)
 )
 
 _ROLLED_BACK = """
 FROM (SELECT * FROM validated WHERE last_run_id <> 'run-2')"""
 
+_KEPT_ROWS = "FROM (SELECT * FROM validated WHERE last_run_id <> 'run-2') "
+
 _COUNTS = """,
 counts AS (
   SELECT (SELECT count(*) FROM dirty) AS read_rows, (SELECT count(*) FROM dirty) AS loaded_raw,
@@ -583,6 +586,7 @@ def oracle_sql() -> dict[str, str]:
         **{n: f"WITH {VALIDATED} {_lookup(n, _FLAT)}" for n in _LOOKUP_FILTERS},
         "explain_layout": f"WITH {VALIDATED} {_EXPLAINED}",
         "clustered_lookup": f"WITH {VALIDATED} {_CLUSTERED}",
+        "layout_top_up": f"WITH {MERGED} {_CLUSTERED.replace('FROM validated ', _KEPT_ROWS)}",
         "sales_by_city": f"WITH {VALIDATED} {_CITY.format(limit=20)}",
         "top_products": f"WITH {VALIDATED + _LINES} {_TOP_PRODUCTS}",
         "top_customers": f"""WITH {VALIDATED}

@@ -30,7 +30,7 @@ from ordermill.plans.views import read_view, refresh_view
 from ordermill.schema import CLEANED_FIELDS, JOB_RUNS, PHYSICAL_FIELDS
 from ordermill.session import configure, fresh_dir
 from ordermill.sinks.layers import split_rows
-from ordermill.sinks.layouts import layout_lookup, write_layouts
+from ordermill.sinks.layouts import StaleLayout, layout_lookup, write_layouts
 from ordermill.sources import order_csv as S
 from ordermill.verify import inputs
 from ordermill.verify.inputs import once
@@ -320,21 +320,22 @@ def _lookup_query(name: str) -> Query:
 
 
 def _layouts(spark, sf_dir):
-    return once(
-        spark, sf_dir, "layouts",
-        lambda: write_layouts(_validated(spark, sf_dir), fresh_dir(spark, "layouts")),
-    )
+    """Layouts of the stored orders, with as many files as the table has."""
 
+    def build():
+        made = inputs.store(spark, sf_dir).validated_table
+        return write_layouts(made, fresh_dir(spark, "layouts"), len(made.pieces(made.snapshot())))
 
-def clustered_lookup(spark, sf_dir):
-    """The lookups that have a layout, answered from it."""
-    validated, paths = _validated(spark, sf_dir), _layouts(spark, sf_dir)
+    return once(spark, sf_dir, "layouts", build)
+
+
+def _layout_answers(table, made, **how) -> DataFrame:
     parts = [
-        layout_lookup(validated, paths, name, LOOKUP_PARAMS[name]).select(
+        layout_lookup(table, made, name, LOOKUP_PARAMS[name], **how).select(
             F.lit(name).alias("lookup"), "order_id", "order_date",
             F.col("total_amount").cast("double").alias("total_amount"),
         )
-        for name in paths
+        for name in made
     ]
     df = parts[0]
     for part in parts[1:]:
@@ -342,18 +343,42 @@ def clustered_lookup(spark, sf_dir):
     return df
 
 
+def clustered_lookup(spark, sf_dir):
+    """The lookups that have a layout, answered from it."""
+    return _layout_answers(inputs.store(spark, sf_dir).validated_table, _layouts(spark, sf_dir))
+
+
+def layout_top_up(spark, sf_dir):
+    """Layouts built after the first run, topped up after the second and again after its rollback."""
+
+    def build():
+        table = inputs.two_delivery_store(spark, sf_dir).validated_table
+        made = write_layouts(table, fresh_dir(spark, "layouts-two"), source=table.snapshot(1))
+        for layout in made.values():
+            layout.top_up(table.snapshot(2))
+        return table, made
+
+    table, made = once(spark, sf_dir, "layouts-two", build)
+    try:
+        layout_lookup(table, made, "orders_by_status")
+        refused = False
+    except StaleLayout:
+        refused = True
+    answers = _layout_answers(table, made, top_up=True)
+    return answers if refused else answers.where("false")
+
+
 def explain_layout(spark, sf_dir):
-    """Rows each compared lookup returns from the table and from its layout, and whether it examines no more there."""
-    validated, paths = _validated(spark, sf_dir), _layouts(spark, sf_dir)
-    found = explain_layouts(
-        spark,
-        lambda name, params: run_lookup(validated, name, params),
-        lambda name, params: layout_lookup(validated, paths, name, params),
-        LOOKUP_PARAMS,
-    )
-    table = found.where("layout = 'none'").select("query", F.col("rows_examined").alias("before"))
+    """Matches and returned rows of each compared lookup, and whether its layout has them in no more files.
+
+    A range of sorted rows may lie across one border between files, hence the one more.
+    """
+    validated, made = _validated(spark, sf_dir), _layouts(spark, sf_dir)
+    found = explain_layouts(spark, validated, lambda name: made[name].rows(), LOOKUP_PARAMS)
+    table = found.where("layout = 'none'").select("query", F.col("files_matching").alias("before"))
     return found.join(table, "query").select(
-        "query", "layout", "rows_returned", (F.col("rows_examined") <= F.col("before")).alias("examines_no_more")
+        "query", "layout", "rows_matching", "rows_returned",
+        (F.col("files_matching") <= F.col("before") + 1).alias("in_no_more_files"),
     )
 
 
@@ -518,6 +543,7 @@ def queries() -> dict[str, Query]:
         **{name: _lookup_query(name) for name in LOOKUP_PARAMS},
         "explain_layout": explain_layout,
         "clustered_lookup": clustered_lookup,
+        "layout_top_up": layout_top_up,
         "sales_by_city": _report_query("sales_by_city"),
         "top_products": _report_query("top_products"),
         "top_customers": _report_query("top_customers"),

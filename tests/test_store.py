@@ -18,6 +18,7 @@ from ordermill.plans.views import read_view, refresh_all, view_control
 from ordermill.schema import BUSINESS_FIELDS, PHYSICAL_FIELDS
 from ordermill.sinks.keyed_table import KeyedTable
 from ordermill.sinks.layers import split_rows
+from ordermill.sinks import layouts
 from ordermill.sinks.layouts import layout_lookup, write_layouts
 from ordermill.sources.order_csv import raw_envelope, raw_records, row_number_source, scan_orders, with_lineage
 from ordermill.streaming.directory import ingest_directory
@@ -137,15 +138,43 @@ def test_every_report_and_lookup_runs(two_runs):
 
 def test_layouts_answer_like_the_table(two_runs, tmp_path):
     validated = two_runs.validated()
-    paths = write_layouts(validated, str(tmp_path / "layouts"), files=3)
+    made = write_layouts(two_runs.validated_table, str(tmp_path / "layouts"), files=3)
     for name, params in (("orders_by_status", {"status": "confirmed"}),
                          ("orders_by_customer", {"customer_id": "C-318"})):
         assert (
-            layout_lookup(validated, paths, name, params).collect()
+            layout_lookup(two_runs.validated_table, made, name, params).collect()
             == run_lookup(validated, name, params).collect()
         )
 
 
+def test_layouts_follow_the_table(spark, new_store, tmp_path, monkeypatch):
+    monkeypatch.setattr(layouts, "RUNS", 2)
+    store = new_store()
+    table, root = store.validated_table, str(tmp_path / "layouts")
+    ingest(store, envelope(spark, FIRST, "r0"), "r0")
+    made = {"orders_by_customer": layouts.layouts(table, root, 2)["orders_by_customer"]}
+    made["orders_by_customer"].build()
+
+    def answers(**how):
+        params = {"customer_id": "C-318"}
+        from_layout = layout_lookup(table, made, "orders_by_customer", params, 100, **how).collect()
+        assert from_layout == run_lookup(store.validated(), "orders_by_customer", params, 100).collect()
+        return {r["order_id"]: r["city"] for r in from_layout}
+
+    answers()
+    runs = []
+    for n in range(1, 5):
+        ingest(store, envelope(spark, [order(i, city=f"moved {n}") for i in range(n, n + 2 + 20 * (n == 4))], f"r{n}"), f"r{n}")
+        with pytest.raises(layouts.StaleLayout):
+            answers()
+        assert answers(top_up=True)["O002"] == f"moved {min(n, 2)}"
+        runs.append(len(made["orders_by_customer"].state().runs))
+    # The third run is merged with the second; what the fourth brings is a share of the table, so all are merged.
+    assert runs == [2, 2, 2, 1]
+    rollback(store, "r4")
+    assert "O010" not in answers(top_up=True) and answers()["O001"] == "moved 1"
+
+
 def test_rollback_and_refresh(new_store, spark):
     store = new_store()
     ingest(store, envelope(spark, FIRST + [{"order_id": ""}], "r1"), "r1")
