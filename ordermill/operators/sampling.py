@@ -1,18 +1,25 @@
-"""Prefix samples in file order, by rows or by bytes.
+"""Prefix samples in file order, by rows or by bytes, and exact row numbers.
 
-The position of a row in the whole source is found from one subtotal per input split, so no
-task ever sorts or scans more than one split's rows.
+The position of a row in the whole source is found from one subtotal per input split, summed up
+within each file and over the files, so no task ever sorts or scans more than one split's rows, one
+file's subtotals or one number a file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.constants import SAMPLE_ROWS
 from ordermill.sources.order_csv import ROW_BLOCK, ROW_ORDER
 
 
+# A small sample of many files first looks at this much of them.
+WIDENING_BYTES = 64 << 20
+
+
 def csv_line_bytes(columns: list[str]) -> Column:
     """Bytes of a record as an unquoted line: fields, commas and the line break."""
     return sum(
@@ -38,13 +45,7 @@ def prefix_while(
         "block", F.expr(f"number_row_source div {block_rows}")
     )
     totals = rows.groupBy(*block).agg(F.sum("weight").alias("block_weight"))
-    everything_before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *block,
-        "block_weight",
-        F.coalesce(F.sum("block_weight").over(everything_before), F.lit(0)).alias("start"),
-    ).where(F.col("start") < target)
-    placed = rows.join(starts, block)
+    placed = rows.join(block_starts(totals).where(F.col("start") < target), block)
     whole = placed.where(F.col("start") + F.col("block_weight") <= target)
     before_row = (
         Window.partitionBy(*block)
@@ -59,6 +60,60 @@ def prefix_while(
     return whole.select(*df.columns).unionByName(crossed.select(*df.columns))
 
 
+def block_starts(totals: DataFrame) -> DataFrame:
+    """``totals`` (file_source, block, block_weight) with ``start``, the weight of all blocks before.
+
+    Two levels: blocks within their file, in parallel, and whole files, one number each.
+    """
+    in_file = Window.partitionBy("file_source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole_files = totals.groupBy("file_source").agg(F.sum("block_weight").alias("file_weight"))
+    files_before = Window.orderBy("file_source").rowsBetween(Window.unboundedPreceding, -1)
+    files = whole_files.select(
+        "file_source", F.coalesce(F.sum("file_weight").over(files_before), F.lit(0)).alias("file_start")
+    )
+    return totals.withColumn("in_file", F.coalesce(F.sum("block_weight").over(in_file), F.lit(0))).join(
+        files, "file_source"
+    ).select("file_source", "block", "block_weight", (F.col("file_start") + F.col("in_file")).alias("start"))
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """``df`` with ``position``, the exact number of its rows that come before in file order.
+
+    The input is a numbered scan (see ``numbered``). Numbers of one split have no gaps, so the least
+    one and the count of each split place all its rows.
+    """
+    block = ["file_source", "block"]
+    rows = df.withColumn("block", F.col("file_block_start"))
+    totals = rows.groupBy(*block).agg(
+        F.count(F.lit(1)).alias("block_weight"), F.min("number_row_source").alias("least")
+    )
+    starts = block_starts(totals.select(*block, "block_weight")).join(totals.select(*block, "least"), block)
+    return rows.join(starts.select(*block, "start", "least"), block).select(
+        *df.columns, (F.col("start") + F.col("number_row_source") - F.col("least")).alias("position")
+    )
+
+
+def widening_sample(
+    spark: SparkSession, path: str | list[str], rows: int, scan: Callable[[list[str]], DataFrame],
+    first_bytes: int = WIDENING_BYTES,
+) -> tuple[DataFrame, int]:
+    """The first ``rows`` records of many files, and how many of the files were opened.
+
+    Starts with the leading files of the first bytes, known from the listing, and takes four times as
+    many bytes until they hold enough rows or are all. ``scan`` reads files with the row order columns.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    seen = listed.withColumn("before", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    total, wanted = listed.count(), first_bytes
+    while True:
+        files = [r["path"] for r in seen.where(F.col("before") < wanted).orderBy("path").collect()]
+        lines = scan(files)
+        if len(files) == total or lines.limit(rows).count() == rows:
+            return prefix_sample(lines, rows), len(files)
+        wanted *= 4
+
+
 def prefix_sample(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """The first ``rows`` records; the input carries the row order columns."""
     assert set(ROW_ORDER) <= set(df.columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,7 +76,8 @@ def ingest(
     """Run the whole pipeline on raw records; repeating a run changes nothing further."""
     started = datetime.now(timezone.utc)
     prepare_run(store, envelope, id_run)
-    append_run(envelope, store.path("orders_raw"))
+    read = Observation("read")
+    append_run(envelope.observe(read, F.count(F.lit(1)).alias("rows")), store.path("orders_raw"))
     raw = store.raw().where(F.col("id_run") == id_run)
 
     staging = store.path(f"staging/{id_run}")
@@ -98,9 +99,10 @@ def ingest(
         store.validated_table, accepted(classified), id_run, now
     )
     metrics = metrics_row(
+        read.get["rows"],
         raw,
         classified,
-        store.validated_table.actions(change_set),
+        store.validated_table.actions(_effective(store, id_run, change_set)),
         id_run=id_run,
         file_name=file_name,
         started=started,
@@ -111,6 +113,26 @@ def ingest(
     return RunResult(id_run, snapshot.version, change_set)
 
 
+def _effective(store: OrderStore, id_run: str, change_set: str) -> str:
+    """The change set whose actions count for a run.
+
+    A run that died after its commit, before its metrics, finds all its rows unchanged when it is run
+    again; what it did is in the change set it committed.
+    """
+    if store.run_metrics().where(F.col("id_run") == id_run).isEmpty():
+        committed = store.validated_table.tagged(id_run)
+        if committed is not None:
+            return committed.change_set
+    return change_set
+
+
+def discard(store: OrderStore, id_run: str) -> None:
+    """Forget a run that failed before its commit: its raw and quarantine records and its staging."""
+    for layer in ("orders_raw", "orders_quarantine"):
+        delete_path(store.spark, f"{store.path(layer)}/id_run={id_run}")
+    delete_path(store.spark, store.path(f"staging/{id_run}"))
+
+
 def rollback(store: OrderStore, id_run: str) -> None:
     """Remove a failed run: the orders it wrote last and its quarantine records."""
     remove_run(store.validated_table, id_run)

@@ -62,6 +62,19 @@ RUN_METRICS = _with_run(
     T.StructField("idempotent_run", T.BooleanType()),
 )
 
+# What became of files that could not be ingested; the latest row of a path is its state.
+FILE_LEDGER = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modified_at", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("id_run", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("recorded_at", T.TimestampType()),
+    ]
+)
+
 PERIODIC_REPORTS = T.StructType(
     [
         T.StructField("generated_at", T.TimestampType()),
@@ -102,5 +115,8 @@ class OrderStore:
     def job_runs(self) -> DataFrame:
         return self._read("job_runs", JOB_RUNS)
 
+    def file_ledger(self) -> DataFrame:
+        return self._read("file_ledger", FILE_LEDGER)
+
     def periodic_reports(self) -> DataFrame:
         return self._read("periodic_reports", PERIODIC_REPORTS)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ordermill.constants import SPLIT_ROWS
+from ordermill.operators.sampling import with_position
+from ordermill.sources.order_csv import ROW_ORDER
 
 
 def append_run(df: DataFrame, path: str) -> None:
@@ -27,16 +30,26 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def split_rows(df: DataFrame, path: str, rows: int = SPLIT_ROWS) -> None:
-    """CSV files of at most ``rows`` records, each with the header."""
+    """CSV files of exactly ``rows`` records in source order, each with the header; the last may have fewer.
+
+    The input is a numbered scan; its lineage is not written. Folder ``chunk=n`` holds file n. Every
+    row's place in the whole source is exact, so the rows of a file, and of no more than some files,
+    meet in one task.
+    """
     if rows < 1:
         raise ValueError("rows must be at least 1")
+    columns = [c for c in df.columns if c not in (*ROW_ORDER, "file_block_start")]
+    numbered = with_position(df).withColumn("chunk", F.expr(f"position div {rows}"))
     (
-        df.write.option("header", True)
+        numbered.repartition("chunk")
+        .sortWithinPartitions("chunk", "position")
+        .select(*columns, "chunk")
+        .write.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", rows)
+        .partitionBy("chunk")
         .mode("errorifexists")
         .csv(path)
     )

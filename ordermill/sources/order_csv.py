@@ -148,6 +148,11 @@ def with_lineage(scan: DataFrame) -> DataFrame:
     )
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """A scan with lineage and the row order columns; must directly follow the scan."""
+    return lines.withColumn("number_row_source", row_number_source(F.col("file_block_start")))
+
+
 def raw_envelope(
     df: DataFrame, id_run: str, column_map: dict[str, str] | None = None
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from ordermill.plans.store import OrderStore
 from ordermill.plans.views import refresh_all
 from ordermill.schema import PHYSICAL_FIELDS
 from ordermill.session import configure, fresh_dir
+from ordermill.sinks.files import create_file
 from ordermill.streaming.directory import ingest_directory
 from ordermill.streaming.refresh import refresh_on_commit
 
@@ -247,6 +248,22 @@ def two_delivery_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     return once(spark, sf_dir, "store-two", build)
 
 
+def store_beside_bad_file(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """The two deliveries arriving in a watched directory with a file between them that is not what it says."""
+    def build() -> OrderStore:
+        made, inbox = OrderStore(spark, fresh_dir(spark, "store-bad")), fresh_dir(spark, "inbox-bad")
+        for delivery in (1, 0, 2):
+            if delivery:
+                write_order_csv(dirty_orders(spark, sf_dir, delivery), f"{inbox}/chunk_{delivery}")
+            else:
+                # No gzip stream, whatever its name says.
+                create_file(spark, f"{inbox}/chunk_bad/orders.csv.gz", "order_id,city\n1,Aden\n")
+            ingest_directory(made, f"{inbox}/chunk_*", max_files=None).awaitTermination()
+        return made
+
+    return once(spark, sf_dir, "store-bad", build)
+
+
 def streamed_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     """The two deliveries arriving in a watched directory, views refreshed by the commit stream."""
     def build() -> OrderStore:

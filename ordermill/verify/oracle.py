@@ -528,6 +528,8 @@ def oracle_sql() -> dict[str, str]:
         "preview": f"WITH {DIRTY} SELECT {_physical()}, {len(PHYSICAL_FIELDS)}::BIGINT AS column_count "
                    f"FROM (SELECT * FROM dirty ORDER BY k, copy_no LIMIT 5)",
         "stream_dir_ingest": f"WITH {MERGED} SELECT {streamed} FROM validated",
+        "stream_bad_file": f"WITH {MERGED} SELECT {_FLAT}, replace(replace(last_run_id, 'run-1', 'chunk-000000'), "
+                           "'run-2', 'chunk-000002') AS last_run_id, 1::BIGINT AS failures FROM validated",
         "quarantine": f"""WITH {CLASSIFIED}
             SELECT 'run-1' AS id_run, nullif(order_id, '') AS order_id_raw, codes_text AS codes_error,
                    reason AS details_error, code AS quarantine_code,
@@ -536,7 +538,10 @@ def oracle_sql() -> dict[str, str]:
             FROM classified WHERE verdict = 'quarantined'""",
         "upsert_merge": f"WITH {MERGED} SELECT {tracked} FROM validated",
         "upsert_actions": f"WITH {MERGED} SELECT order_id, action FROM compared_runs",
-        "split_rows": f"WITH {DIRTY} SELECT {_physical()}, true AS within_limit FROM dirty",
+        "split_rows": f"WITH {DIRTY} SELECT {_physical()}, true AS one_file, "
+                      "(row_number() OVER (ORDER BY k, copy_no) - 1) // 500 AS chunk FROM dirty",
+        "small_sample": f"WITH {DIRTY} SELECT {_physical()}, true AS few_files "
+                        "FROM (SELECT * FROM dirty ORDER BY k, copy_no LIMIT 200)",
         "rule_arabic_digits": _pair("total_amount", "p1", "p1 <> p0"),
         "rule_currency": _pair("currency", "c_currency", "coalesce(c_currency <> t_currency, false)"),
         "rule_thousands": _pair(

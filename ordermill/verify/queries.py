@@ -23,7 +23,7 @@ from ordermill.operators.duplicates import conflicting_rows, last_wins
 from ordermill.operators.explain import explain_layouts
 from ordermill.operators.lookups import run_lookup
 from ordermill.operators.reports import items_normalized, run_report
-from ordermill.operators.sampling import prefix_sample, size_sample
+from ordermill.operators.sampling import prefix_sample, size_sample, widening_sample
 from ordermill.plans.ingest import ingest_files
 from ordermill.plans.jobs import latest_job_runs, periodic_report
 from ordermill.plans.views import read_view, refresh_view
@@ -158,6 +158,13 @@ def stream_dir_ingest(spark, sf_dir):
     return flat(made.validated(), "last_run_id", "first_seen_run_id")
 
 
+def stream_bad_file(spark, sf_dir):
+    """Orders stored from a directory whose second file cannot be read, and the recorded failures."""
+    made = inputs.store_beside_bad_file(spark, sf_dir)
+    failures = made.file_ledger().agg(F.count_if(F.col("status") == "failed").alias("n")).scalar()
+    return flat(made.validated(), "last_run_id").withColumn("failures", failures)
+
+
 # --- sinks --------------------------------------------------------------------------------
 
 def quarantine(spark, sf_dir):
@@ -187,17 +194,17 @@ def upsert_actions(spark, sf_dir):
 
 
 def split_files(spark, sf_dir):
-    """Re-read of the split files: all records, and whether every file kept the bound."""
+    """Re-read of the split files: all records, each with the number of its file, one file a number."""
     def build():
         path = fresh_dir(spark, "split")
-        split_rows(_scan(spark, sf_dir), path, SPLIT)
+        split_rows(S.numbered(S.with_lineage(_scan(spark, sf_dir))), path, SPLIT)
         return path
 
     lines = S.with_lineage(S.scan_orders(spark, once(spark, sf_dir, "split", build)))
-    largest = (
-        lines.groupBy("file_source").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-    ).scalar()
-    return lines.select(*PHYSICAL_FIELDS, (largest <= SPLIT).alias("within_limit"))
+    files = lines.groupBy("chunk").agg(F.count_distinct("file_source").alias("n")).agg(F.max("n").alias("n"))
+    return lines.select(
+        *PHYSICAL_FIELDS, F.col("chunk").cast("bigint").alias("chunk"), (files.scalar() == 1).alias("one_file")
+    )
 
 
 # --- rules --------------------------------------------------------------------------------
@@ -490,17 +497,26 @@ def rollback_run(spark, sf_dir):
 
 
 def _placed_scan(spark, sf_dir):
-    lines = S.with_lineage(_scan(spark, sf_dir))
-    return lines.select(
-        *PHYSICAL_FIELDS, "file_source",
-        S.row_number_source(F.col("file_block_start")).alias("number_row_source"),
-    )
+    return S.numbered(S.with_lineage(_scan(spark, sf_dir))).drop("file_block_start")
 
 
 def prefix_rows(spark, sf_dir):
     return prefix_sample(_placed_scan(spark, sf_dir), SAMPLE).select(*PHYSICAL_FIELDS)
 
 
+def small_sample(spark, sf_dir):
+    """The same rows as the prefix sample, from some of the split files, with the number of files opened."""
+    path = fresh_dir(spark, "sample-files")
+    split_rows(S.numbered(S.with_lineage(_scan(spark, sf_dir))), path, 100)
+    files = spark.read.format("binaryFile").load(path).count()
+
+    def scan(found: list[str]) -> DataFrame:
+        return S.numbered(S.with_lineage(S.scan_orders(spark, found)))
+
+    sample, opened = widening_sample(spark, path, 200, scan, 10_000)
+    return sample.select(*PHYSICAL_FIELDS, F.lit(opened < files).alias("few_files"))
+
+
 def size_rows(spark, sf_dir):
     return size_sample(_placed_scan(spark, sf_dir), PHYSICAL_FIELDS, SAMPLE_MB).select(
         *PHYSICAL_FIELDS
@@ -518,6 +534,7 @@ def queries() -> dict[str, Query]:
         "raw_envelope": raw_envelope,
         "preview": preview,
         "stream_dir_ingest": stream_dir_ingest,
+        "stream_bad_file": stream_bad_file,
         "quarantine": quarantine,
         "upsert_merge": upsert_merge,
         "upsert_actions": upsert_actions,
@@ -570,5 +587,6 @@ def queries() -> dict[str, Query]:
         "reconcile_counts": reconcile_counts,
         "rollback_run": rollback_run,
         "prefix_sample": prefix_rows,
+        "small_sample": small_sample,
         "size_sample": size_rows,
     }

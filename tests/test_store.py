@@ -1,6 +1,8 @@
 """Upsert, views, jobs, streams and sampling on small stores."""
 
+import csv
 import glob
+import gzip
 import os
 import random
 
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from conftest import raw_frame
 from ordermill.operators.reports import run_report, sales_by_period, top_products
 from ordermill.operators.lookups import run_lookup
-from ordermill.operators.sampling import header_bytes, prefix_while, size_sample
-from ordermill.plans import jobs
+from ordermill.operators.sampling import header_bytes, prefix_while, size_sample, widening_sample
+from ordermill.plans import ingest as ingest_module, jobs
 from ordermill.plans.ingest import ingest, ingest_files, rollback
 from ordermill.plans.views import read_view, refresh_all, view_control
 from ordermill.schema import BUSINESS_FIELDS, PHYSICAL_FIELDS
@@ -20,8 +22,8 @@ from ordermill.sinks.keyed_table import KeyedTable
 from ordermill.sinks.layers import split_rows
 from ordermill.sinks import layouts
 from ordermill.sinks.layouts import layout_lookup, write_layouts
-from ordermill.sources.order_csv import raw_envelope, raw_records, row_number_source, scan_orders, with_lineage
-from ordermill.streaming.directory import ingest_directory
+from ordermill.sources.order_csv import numbered, raw_envelope, raw_records, row_number_source, scan_orders, with_lineage
+from ordermill.streaming.directory import failed_files, ingest_directory
 from ordermill.streaming.refresh import refresh_on_commit, report_on_commit
 
 
@@ -269,6 +271,70 @@ def test_directory_stream_resumes(new_store, spark, tmp_path):
     assert incremental == view_rows(store, "daily_sales_summary")
 
 
+def test_a_bad_file_is_recorded_and_the_others_go_on(new_store, spark, tmp_path):
+    store, inbox = new_store(), tmp_path / "inbox"
+    inbox.mkdir()
+    header = ",".join(PHYSICAL_FIELDS)
+
+    def line(i):
+        return ",".join(f"B{i}" if f == "order_id" else "2025-01-05" if f == "order_date" else "" for f in PHYSICAL_FIELDS)
+
+    bad = inbox / "a.csv.gz"
+    bad.write_text("no gzip stream")
+    for n, name in enumerate(("b", "c")):
+        (inbox / f"{name}.csv").write_text(f"{header}\n{line(n)}\n")
+    ingest_directory(store, str(inbox), max_files=None).awaitTermination()
+    assert store.raw().count() == 2 and store.run_metrics().count() == 2
+    failed = failed_files(store).collect()
+    assert [os.path.basename(r["path"]) for r in failed] == ["a.csv.gz"] and failed[0]["error"]
+    # Unchanged it is left alone, repaired it is taken up, and new files still arrive.
+    (inbox / "d.csv").write_text(f"{header}\n{line(7)}\n")
+    ingest_directory(store, str(inbox)).awaitTermination()
+    assert store.raw().count() == 3 and store.file_ledger().count() == 1
+    bad.write_bytes(gzip.compress(f"{header}\n{line(8)}\n{line(9)}\n".encode()))
+    ingest_directory(store, str(inbox)).awaitTermination()
+    assert store.raw().count() == 5 and failed_files(store).isEmpty()
+    assert sorted(r["record_raw"]["order_id"] for r in store.raw().collect()) == ["B0", "B1", "B7", "B8", "B9"]
+    assert [r["status"] for r in store.file_ledger().orderBy("recorded_at").collect()] == ["failed", "ingested"]
+
+
+def test_a_lost_row_fails_the_consistency_check(new_store, spark, monkeypatch):
+    store = new_store()
+    ingest(store, envelope(spark, FIRST, "r1"), "r1")
+    kept = ingest_module.append_run
+
+    def lossy(df, path):
+        kept(df.where("record_raw.order_id <> 'O003'") if path.endswith("orders_raw") else df, path)
+
+    monkeypatch.setattr(ingest_module, "append_run", lossy)
+    ingest(store, envelope(spark, FIRST, "r2"), "r2")
+    rows = {r["id_run"]: (r["read_rows"], r["loaded_raw"], r["consistency_check_passed"]) for r in store.run_metrics().collect()}
+    assert rows == {"r1": (30, 30, True), "r2": (30, 29, False)}
+
+
+def test_a_rerun_after_the_commit_records_what_was_done(new_store, spark, monkeypatch):
+    store = new_store()
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest_module, "metrics_row", die)
+        with pytest.raises(RuntimeError):
+            ingest(store, envelope(spark, FIRST, "r1"), "r1")
+    ingest(store, envelope(spark, FIRST, "r1"), "r1")
+    row = store.run_metrics().first()
+    assert row["count_inserted"] == 30 and not row["idempotent_run"] and row["upsert_applied"]
+    ingest(store, envelope(spark, FIRST, "r1"), "r1")
+    assert store.run_metrics().first()["idempotent_run"]
+
+
+def test_an_empty_run_is_recorded(new_store, spark):
+    store = new_store()
+    ingest(store, envelope(spark, FIRST, "r1").where("false"), "r1")
+    assert store.run_metrics().first()["read_rows"] == 0
+
+
 def test_row_numbers_follow_the_file_across_splits(spark, tmp_path):
     path = str(tmp_path / "csv")
     write_csv(spark, [order(i, customer_name=str(i)) for i in range(3000)], path)
@@ -314,18 +380,44 @@ def test_size_sample_keeps_the_crossing_row(spark, tmp_path):
     assert total >= 8000 > total - max(sizes)
 
 
-def test_split_repeats_the_header_and_keeps_the_bound(spark, tmp_path):
-    path, out = str(tmp_path / "csv"), str(tmp_path / "split")
-    write_csv(spark, [order(i) for i in range(95)], path)
-    split_rows(scan_orders(spark, path), out, 20)
-    files = glob.glob(os.path.join(out, "*.csv"))
-    counts = []
-    for name in files:
-        with open(name, encoding="utf-8") as f:
-            lines = f.read().splitlines()
-        assert lines[0] == ",".join(PHYSICAL_FIELDS)
-        counts.append(len(lines) - 1)
-    assert sum(counts) == 95 and max(counts) <= 20
+@pytest.mark.parametrize("split_bytes", ["3000", "128m"])
+def test_split_files_are_exact_and_in_order(spark, tmp_path, split_bytes):
+    for n in range(3):
+        write_csv(spark, [order(i, customer_name=str(i)) for i in range(40 * n, 40 * n + 35 + n)], str(tmp_path / f"csv_{n}"))
+    names = [str(i) for n in range(3) for i in range(40 * n, 40 * n + 35 + n)]
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        lines = numbered(with_lineage(scan_orders(spark, str(tmp_path / "csv_*"))))
+        split_rows(lines, str(tmp_path / "split"), 20)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    found = []
+    for chunk in range(6):
+        (file,) = glob.glob(str(tmp_path / "split" / f"chunk={chunk}" / "*.csv"))
+        with open(file, encoding="utf-8") as f:
+            records = list(csv.DictReader(f))
+        assert list(records[0]) == PHYSICAL_FIELDS
+        assert len(records) == (20 if chunk < 5 else len(names) - 100)
+        found += [r["customer_name"] for r in records]
+    assert found == names
+
+
+def test_a_small_sample_opens_few_files(spark, tmp_path):
+    for n in range(6):
+        write_csv(spark, [order(i, customer_name=f"{n}-{i}") for i in range(20)], str(tmp_path / f"csv_{n}"))
+    read = []
+
+    def scan(files):
+        read.append(len(files))
+        return numbered(with_lineage(scan_orders(spark, files)))
+
+    sample, opened = widening_sample(spark, str(tmp_path / "csv_*"), 30, scan, 1)
+    assert [r["customer_name"] for r in sample.orderBy("file_source", "number_row_source").collect()] == [
+        f"{n}-{i}" for n in range(2) for i in range(20)][:30]
+    assert opened < 6 and read == sorted(read)
+    sample, opened = widening_sample(spark, str(tmp_path / "csv_*"), 1000, scan, 1)
+    assert opened == 6 and sample.count() == 120
 
 
 def test_bom_quotes_and_embedded_line_breaks(spark, tmp_path):
