@@ -83,7 +83,10 @@ def apply_rules(raw: DataFrame) -> DataFrame:
 def _errors() -> list[tuple[Column, Column]]:
     """Row-level error codes in reporting order."""
     no_items = F.col("e_items").isNotNull()
-    price_error = F.when(F.col("stated").isNull() & no_items, F.lit("PRICE_UNKNOWN")).when(
+    # A readable amount that no money value can hold must not be stored as if none had been stated.
+    written = F.abs(money.to_double(F.col("_stated_4")))
+    too_large = F.col("stated").isNull() & (written < float("inf"))
+    price_error = F.when((F.col("stated").isNull() & no_items) | too_large, F.lit("PRICE_UNKNOWN")).when(
         F.col("stated") < 0, F.lit("VALUE_NEGATIVE_AMBIGUOUS")
     )
     return [

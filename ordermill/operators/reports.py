@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ordermill.constants import UNKNOWN_CITY
 from ordermill.functions.items import line_price, line_revenue, line_units
 from ordermill.operators.run_accounting import percent, rounded_quotient
+from ordermill.schema import MONEY
 
 Params = dict[str, object]
 
@@ -24,7 +25,7 @@ def business_rows(validated: DataFrame) -> DataFrame:
 
 def money_sum(column: str) -> Column:
     """Exact sum; zero where every amount is missing."""
-    return F.coalesce(F.sum(column), F.lit(0).cast("decimal(28,2)"))
+    return F.coalesce(F.sum(column), F.lit(0).cast(MONEY))
 
 
 def money_double(amount: Column) -> Column:

@@ -78,9 +78,9 @@ FILE_LEDGER = T.StructType(
 PERIODIC_REPORTS = T.StructType(
     [
         T.StructField("generated_at", T.TimestampType()),
-        T.StructField("sales_by_city", T.StringType()),
-        T.StructField("top_products", T.StringType()),
-        T.StructField("orders_status_distribution", T.StringType()),
+        T.StructField("section", T.StringType()),
+        T.StructField("place", T.LongType()),
+        T.StructField("entry", T.StringType()),
     ]
 )
 

@@ -22,6 +22,9 @@ def read_parquet(
     reader = spark.read.schema(schema)
     if base:
         reader = reader.option("basePath", base)
+    if len(paths) == 1:
+        target, system = _hadoop(spark, paths[0])
+        paths = paths if system.exists(target) else []
     if not paths:
         return spark.createDataFrame([], schema)
     try:

@@ -621,9 +621,10 @@ def oracle_sql() -> dict[str, str]:
         "mv_top_products_incremental": f"WITH {MERGED + _LINES} {_PRODUCTS}",
         "stream_mv_refresh": f"WITH {MERGED} {_DAILY}",
         "periodic_report": f"""WITH {VALIDATED + _LINES}
-            SELECT 'sales_by_city' AS section, city AS key, total_sales AS value FROM ({_CITY.format(limit=10)})
-            UNION ALL SELECT 'top_products', product, revenue FROM ({_TOP_PRODUCTS})
-            UNION ALL SELECT 'orders_status_distribution', status, percentage FROM ({_STATUS})""",
+            SELECT 'sales_by_city' AS section, row_number() OVER () AS rank, city AS key, total_sales AS value
+            FROM ({_CITY.format(limit=10)})
+            UNION ALL SELECT 'top_products', row_number() OVER (), product, revenue FROM ({_TOP_PRODUCTS})
+            UNION ALL SELECT 'orders_status_distribution', NULL, status, percentage FROM ({_STATUS})""",
         "latest_job_runs": """
             SELECT event_type AS job_name, date_trunc('hour', cast(ts AS TIMESTAMP)) AS started_at,
                    cast(ts AS TIMESTAMP) AS finished_at,

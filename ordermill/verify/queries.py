@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions import items as item_rules
@@ -419,24 +419,19 @@ def _view_query(name: str, store_of: Callable, refresh: bool) -> Query:
 # --- jobs and run bookkeeping ---------------------------------------------------------------
 
 def periodic_report_rows(spark, sf_dir):
-    """The stored report record, one row per entry of its sections."""
+    """The entries of the periodic report, and the rank of those of its limited sections."""
     report = periodic_report(_validated(spark, sf_dir))
-    sections = {
-        "sales_by_city": ("city", "total_sales"),
-        "top_products": ("product", "revenue"),
-        "orders_status_distribution": ("status", "percentage"),
-    }
-
-    def entries(name: str, key: str, value: str) -> Column:
-        return F.transform(
-            F.from_json(name, f"array<struct<{key}:string,{value}:double>>"),
-            lambda e: F.struct(
-                F.lit(name).alias("section"), e[key].alias("key"), e[value].alias("value")
-            ),
-        )
-
-    parsed = [entries(name, *fields) for name, fields in sections.items()]
-    return report.select(F.explode(F.concat(*parsed)).alias("e")).select("e.*")
+    kept = F.from_json(
+        "entry", "city string, total_sales double, product string, revenue double, status string, percentage double"
+    )
+    limited = report.where("section <> 'orders_status_distribution'")
+    order = Window.partitionBy("section").orderBy("place")
+    ranked = limited.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    rest = report.where("section = 'orders_status_distribution'").withColumn("rank", F.lit(None).cast("bigint"))
+    return ranked.union(rest).withColumn("e", kept).select(
+        "section", "rank", F.coalesce("e.city", "e.product", "e.status").alias("key"),
+        F.coalesce("e.total_sales", "e.revenue", "e.percentage").alias("value"),
+    )
 
 
 def latest_runs(spark, sf_dir):

@@ -5,6 +5,7 @@ import glob
 import gzip
 import os
 import random
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -24,7 +25,7 @@ from ordermill.sinks import layouts
 from ordermill.sinks.layouts import layout_lookup, write_layouts
 from ordermill.sources.order_csv import numbered, raw_envelope, raw_records, row_number_source, scan_orders, with_lineage
 from ordermill.streaming.directory import failed_files, ingest_directory
-from ordermill.streaming.refresh import refresh_on_commit, report_on_commit
+from ordermill.streaming.refresh import is_due, refresh_on_commit, report_by_clock, report_on_commit
 
 
 def envelope(spark, rows, id_run):
@@ -224,7 +225,9 @@ def test_jobs_are_recorded_also_when_they_fail(new_store, spark, monkeypatch):
     store = new_store()
     ingest(store, envelope(spark, FIRST, "r1"), "r1")
     assert jobs.run_job(store, "generate_periodic_report")["status"] == "success"
-    assert store.periodic_reports().count() == 1
+    report = store.periodic_reports()
+    assert report.select("generated_at").distinct().count() == 1
+    assert {r["section"] for r in report.collect()} == set(jobs.SECTIONS)
 
     def fail(_):
         raise KeyError("gone")
@@ -265,7 +268,7 @@ def test_directory_stream_resumes(new_store, spark, tmp_path):
         "chunk-000000", "chunk-000001",
     ]
     report_on_commit(store, None).awaitTermination()
-    assert store.periodic_reports().count() == 1
+    assert store.periodic_reports().select("generated_at").distinct().count() == 1
     incremental = view_rows(store, "daily_sales_summary")
     refresh_all(store, force_full=True)
     assert incremental == view_rows(store, "daily_sales_summary")
@@ -451,6 +454,45 @@ def test_each_file_is_read_by_its_own_header(spark, new_store, tmp_path):
     assert store.raw().count() == 4 and store.quarantine().count() == 4
 
 
+def test_reports_by_the_clock_need_no_commit(new_store, spark):
+    store = new_store()
+    ingest(store, envelope(spark, FIRST, "r1"), "r1")
+    query = report_by_clock(store, "8 seconds")
+    try:
+        until = time.time() + 100
+        while store.job_runs().count() < 2 and time.time() < until:
+            time.sleep(2)
+    finally:
+        query.stop()
+    starts = [r["started_at"] for r in store.job_runs().orderBy("started_at").collect()]
+    assert len(starts) >= 2 and (starts[1] - starts[0]).total_seconds() >= 4
+    assert store.periodic_reports().select("generated_at").distinct().count() >= 2
+    assert not is_due(store, "generate_periodic_report", "1 hour") and is_due(store, "refresh_materialized_views", "1 hour")
+
+
+def test_a_report_of_many_statuses_is_as_many_rows(spark):
+    validated = spark.range(300_000).select(
+        F.concat(F.lit("s"), "id").alias("status"), F.lit("valid").alias("quality_status"), F.lit("c").alias("city"),
+        F.lit(1).cast("decimal(38,2)").alias("total_amount"),
+        F.lit(None).cast("array<struct<product:string,qty:double,unit_price:double>>").alias("items_norm"),
+        F.col("id").cast("string").alias("order_id"),
+    )
+    report = jobs.periodic_report(validated)
+    assert report.where("section = 'orders_status_distribution'").count() == 300_000
+
+
+def test_very_large_amounts(spark, new_store):
+    store = new_store()
+    no_price = '[{"sku": "P1", "qty": 1}]'
+    rows = [order(1, total_amount="1" + "0" * 27, items=no_price), order(2, total_amount="2" + "0" * 36, items=no_price), order(3)]
+    ingest(store, envelope(spark, rows, "r1"), "r1")
+    refresh_all(store)
+    assert ids(store.validated()) == ["O001", "O003"]
+    assert [(r["order_id_raw"], r["quarantine_code"]) for r in store.quarantine().collect()] == [("O002", "PRICE_UNKNOWN")]
+    assert sum(r["total_sales"] for r in read_view(store, "daily_sales_summary").collect()) == pytest.approx(1e27)
+    assert sum(r["total_sales"] for r in sales_by_period(store.validated(), "month").collect()) == pytest.approx(1e27)
+
+
 def test_failed_refresh_runs_again_without_a_new_commit(new_store, spark, monkeypatch):
     store = new_store()
     ingest(store, envelope(spark, FIRST, "r1"), "r1")
