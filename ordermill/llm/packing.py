@@ -18,7 +18,6 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -66,53 +65,52 @@ class Encoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = Known(self)
         # The letters that stand for bytes in the vocabulary: printable ones for themselves, then from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         self.byte_letters = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
+        self.space = chr(self.byte_letters[32])
 
     def _word(self, chunk: str) -> bytes:
         """Ids of letters with at most a space before them: one token of the pattern, so straight to the merges."""
-        letters = chunk.encode().decode("latin-1").translate(self.byte_letters)
-        return array("I", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Remember the ids of chunks that are not known yet."""
-        known, others, joined = self.known, [], []
-        for c in chunks:
-            stem = c.rstrip(".,")
-            if stem.removeprefix(" ").isalpha():
-                if stem not in known:
-                    known[stem] = self._word(stem)
-                if len(stem) < len(c):
-                    joined.append((c, stem, c[len(stem) :]))
-                    if c[len(stem) :] not in known:
-                        others.append(c[len(stem) :])
-            else:
-                others.append(c)
-        for low in range(0, len(others), 10_000):
-            part = others[low : low + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, encoded))
-        known.update((c, known[stem] + known[end]) for c, stem, end in joined)
+        if chunk.isascii():
+            letters = self.space + chunk[1:] if chunk[0] == " " else chunk
+        else:
+            letters = chunk.encode().decode("latin-1").translate(self.byte_letters)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+
+    def ids_of(self, chunk: str) -> bytes:
+        stem = chunk.rstrip(".,")
+        if not stem.removeprefix(" ").isalpha():
+            return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if len(stem) == len(chunk):
+            return self._word(chunk)
+        return self.known[stem] + self.known[chunk[len(stem) :]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunked = []
+        if len(self.known) > REMEMBER:
+            self.known = Known(self)
+        known, out = self.known.__getitem__, []
         for t in texts:
             if not t or t[0].isspace() or t[-1].isspace() or any(odd in t for odd in _ODD):
-                chunked.append(_CUT.split(t))
+                chunks = _CUT.split(t)
             else:
-                chunked.append(t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
-        missing: set[str] = set()
-        for chunks in chunked:
-            missing.update(filterfalse(self.known.__contains__, chunks))
-        if len(self.known) + len(missing) > REMEMBER:
-            self.known = {}
-            missing = {c for chunks in chunked for c in chunks}
-        self._learn(missing)
-        known = self.known.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in chunked]
+                chunks = t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+            out.append(b"".join(map(known, chunks)))
+        return out
+
+
+class Known(dict):
+    """Ids by chunk; a chunk that is looked up for the first time is encoded."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.encoder.ids_of(chunk)
+        return ids
 
 
 class Windows:
