@@ -9,9 +9,10 @@ until the calibration queries (at most ``CALIBRATION``), whose neighbours are fo
 other classes, have recall ``TARGET``; with all leaves the search is exact.
 
 The first ``FIRST`` leaves of a query give a bound, the score of the last neighbour found there; the other
-leaves hand on only what reaches it.
+leaves hand on only what reaches it. A query's leaves stay a list in its row until both are joined.
 
-A leaf's classes and the queries that visit it are cut into blocks of at most about ``BLOCK`` rows, so no task
+There are about as many leaves as a leaf has classes, both growing with the square root of the table, so a query
+visits at most as many leaves however large they get. A leaf's classes and the queries that visit it are cut into blocks of at most about ``BLOCK`` rows, so no task
 holds a whole leaf, however large or sought after. Scores are inner products of the original
 vectors in double precision; ties go to the smaller id.
 
@@ -32,7 +33,9 @@ from ordermill.llm.common import Shared, bounded_batches, written
 
 NEIGHBOURS = 20
 SAMPLE = 200_000
-LEAF = 256
+#: Classes of a leaf at least, and fitted ones.
+LEAF = 64
+LEAF_FITTED = 8
 BRANCHES = 16
 ROUNDS = 8
 CALIBRATION = 256
@@ -204,7 +207,8 @@ def search(
     longest = size["longest"] * (1 + 1e-6)
     fitted = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("v").toArrow()
     share = len(fitted) / size["n"]
-    tree = Tree(_on_sphere(_matrix(fitted["v"], width), longest), max(round(LEAF * share), 8))
+    leaf_size = max(LEAF, size["n"] ** 0.5)
+    tree = Tree(_on_sphere(_matrix(fitted["v"], width), longest), max(round(leaf_size * share), LEAF_FITTED))
     shared = Shared(spark, tree)
 
     @F.arrow_udf("long")
@@ -247,8 +251,7 @@ def search(
     def route(v: pa.Array) -> pa.Array:
         return pa.array([shared.value.visits(p, visits) for p in _directions(_matrix(v, width))], pa.list_(pa.int64()))
 
-    routed = asking.select("class", "v", F.posexplode(route("v")).alias("visit", "leaf"))
-    routed = written(routed, "ann-routed")
+    routed = written(asking.select("class", "v", route("v").alias("leaves")), "ann-routed")
 
     def blocks(table: DataFrame, name: str) -> DataFrame:
         counts = table.groupBy("leaf").agg(F.count("*").alias("n"))
@@ -274,10 +277,15 @@ def search(
         found = found.applyInArrow(compare, "query long, class long, score double")
         return _top(found, "query", k + 1, [F.desc("score"), F.col("class")]).select("query", "class", "score")
 
-    near = written(compared(routed.where(F.col("visit") < FIRST).withColumn("bound", F.lit(None).cast("double"))), "ann-near")
+    def visiting(rows: DataFrame, leaves: Column) -> DataFrame:
+        return written(rows.select("class", "v", "bound", F.explode(leaves).alias("leaf")), "ann-visiting")
+
+    unbound = routed.withColumn("bound", F.lit(None).cast("double"))
+    near = written(compared(visiting(unbound, F.slice("leaves", 1, FIRST))), "ann-near")
     bounds = near.groupBy("query").agg(F.min("score").alias("bound"), F.count("*").alias("n"))
     bounds = written(bounds.where(F.col("n") > k).select(F.col("query").alias("class"), "bound"), "ann-bounds")
-    far = compared(routed.where(F.col("visit") >= FIRST).join(bounds, "class", "left"))
+    later = F.slice("leaves", FIRST + 1, tree.leaves)
+    far = compared(visiting(routed.join(bounds, "class", "left"), later))
     best = _top(near.union(far), "query", k + 1, [F.desc("score"), F.col("class")]).select("query", "class", "score")
     members = best.join(classes.select("class", "members"), "class").select("query", "score", F.explode("members").alias("vec_id"))
     members = _top(members, "query", k + 1, [F.desc("score"), F.col("vec_id")])
