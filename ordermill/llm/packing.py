@@ -34,7 +34,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Leftover windows that one task merges: at most this times the window's size in ids.
 MERGE = 4096
 #: Encoded words a task remembers; when full, it starts anew.
-REMEMBER = 500_000
+REMEMBER = 200_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
