@@ -1,18 +1,24 @@
 """Line dedup: drop every line whose normalised form occurs in many documents.
 
 A line's key is the line without blanks at both ends, A-Z lower-cased. Keys are hashed to 128 bits;
-each document offers a key once, and a key's documents are counted by a grouped sum that combines
-before the shuffle. Documents that hold frequent keys learn them through a join on the key and a
-grouping by document, so no list of frequent lines is ever held whole. The text is then rebuilt by
-position from the lines that stay.
-
-A row is a document: repeated rows count as documents of their own and get equal results. Null and
-empty text are one empty line; empty keys are never dropped. A document that loses all lines stays,
-with empty text. Input columns named like the added ones are replaced.
+each row offers a key once, with the positions of its lines. Keys in too few rows cannot be in enough
+documents: a grouped sum that combines before the shuffle leaves the others, and of these the distinct
+documents are counted. Rows that hold frequent keys learn the positions through a join on the key and a
+grouping by row, so no list of frequent lines is ever held whole. The text is then put together from
+the lines at the positions that stay.
+
+A document is a doc_id: rows that repeat one, with the same text or another, count once for a key. Rows
+without an id count as one document for each different text. Null and empty text are one empty line;
+empty keys are never dropped. A row that loses all lines stays, with empty text. Input columns named
+like the added ones are replaced.
 """
 
 from __future__ import annotations
 
+from array import array
+from itertools import compress
+
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -40,27 +46,39 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN
     """``docs`` with shortened ``text``, and ``n_lines`` (before), ``n_dropped``."""
     bounded_batches(docs.sparkSession)
 
-    @F.arrow_udf("array<binary>")
-    def key_hashes(text: pa.Array) -> pa.Array:
-        rows = []
+    @F.arrow_udf("array<struct<line:binary,places:array<int>>>")
+    def keyed_lines(text: pa.Array) -> pa.Array:
+        rows, lines, ends, places = [0], [], [0], array("i")
         for t in _texts(text):
-            found = {_key_hash(line, min_points) for line in t.split(b"\n")}
-            found.discard(None)
-            rows.append(list(found))
-        return pa.array(rows, pa.list_(pa.binary()))
+            found: dict[bytes, array] = {}
+            for place, line in enumerate(t.split(b"\n")):
+                line = _key_hash(line, min_points)
+                if line is not None:
+                    found.setdefault(line, array("i")).append(place)
+            for line, at in found.items():
+                lines.append(line)
+                places.extend(at)
+                ends.append(len(places))
+            rows.append(len(lines))
+        at = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(places, dtype=np.int32)))
+        keyed = pa.StructArray.from_arrays([pa.array(lines, pa.binary()), at], names=["line", "places"])
+        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), keyed)
 
     result = "text string, n_lines long, n_dropped long"
 
     @F.arrow_udf(f"struct<{result.replace(' ', ':').replace(',:', ',')}>")
-    def without(text: pa.Array, frequent: pa.Array) -> pa.Array:
+    def without(text: pa.Array, places: pa.Array) -> pa.Array:
         kept, before, dropped = [], [], []
-        for t, drop in zip(_texts(text), frequent.to_pylist()):
+        for t, drop in zip(_texts(text), places):
             lines = t.split(b"\n")
             before.append(len(lines))
-            if drop:
-                drop = set(drop)
-                lines = [line for line in lines if _key_hash(line, min_points) not in drop]
-            dropped.append(before[-1] - len(lines))
+            gone = drop.as_py() or ()
+            if gone:
+                stays = bytearray(b"\1") * len(lines)
+                for place in gone:
+                    stays[place] = 0
+                lines = list(compress(lines, stays))
+            dropped.append(len(gone))
             kept.append(b"\n".join(lines))
         return pa.StructArray.from_arrays(
             [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(before, pa.int64()), pa.array(dropped, pa.int64())],
@@ -68,15 +86,19 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN
         )
 
     key = row_key("doc_id", "text")
-    lines = written(docs.select(key.alias("key"), F.explode(key_hashes("text")).alias("line")), "lines")
-    # As a table of its own its size is known, and a very common line's rows can be split in the join.
-    frequent = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("line")
-    frequent = written(frequent, "frequent-lines")
-    # Equal rows offer the same lines: a set per key serves them all.
-    marks = lines.join(frequent, "line").groupBy("key").agg(F.collect_set("line").alias("frequent"))
+    document = F.when(F.col("doc_id").isNull(), key).otherwise(row_key("doc_id"))
+    offered = docs.select(key.alias("key"), document.alias("document"), F.explode(keyed_lines("text")).alias("line"))
+    lines = written(offered.select("key", "document", "line.*"), "lines")
+    # As tables of their own their sizes are known, and a very common line's rows can be split in the joins.
+    in_rows = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("line")
+    held = written(lines.join(written(in_rows, "lines-of-many-rows"), "line"), "held-lines")
+    in_documents = held.groupBy("line").agg(F.count_distinct("document").alias("n"))
+    frequent = written(in_documents.where(F.col("n") >= min_docs).select("line"), "frequent-lines")
+    # Equal rows offer the same lines at the same places: a set per key serves them all.
+    marks = held.join(frequent, "line").groupBy("key").agg(F.flatten(F.collect_set("places")).alias("places"))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(F.struct(*others).alias("row"), key.alias("key"))
-    joined = rows.join(marks, "key", "left").select("row", without("row.text", "frequent").alias("new"))
+    joined = rows.join(marks, "key", "left").select("row", without("row.text", "places").alias("new"))
     return joined.select(
         *[
             F.col("new.text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
