@@ -10,11 +10,13 @@ current). Rows are never sampled; every stage sees all rows that its predecessor
 * decontamination: contaminated documents go, hit spans in the others are cut out.
 * packing: one row per piece of a document, placed in sequences of at most 2048 ids, with its ids.
 
-Extra columns are carried through all stages but the last.
+Extra columns are carried through all stages but the last with their values, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordermill.llm import decontamination, language_id, line_dedup, packing, simhash
@@ -28,20 +30,32 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+#: What stages read and write; other columns of a table are its own.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _beside_extras(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage`` applied to rows whose extra columns have names that no stage uses; then they get theirs back."""
+    passing = {c: c if c in COLUMNS else f"extra_{i}" for i, c in enumerate(docs.columns)}
+    result = stage(docs.select([F.col(f"`{c}`").alias(name) for c, name in passing.items()]))
+    return result.select([F.col(name).alias(c) for c, name in passing.items()])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.keep_identified(docs)
+    return _beside_extras(docs, language_id.keep_identified)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(line_dedup.dedup_lines(docs).select([F.col(f"`{c}`") for c in docs.columns]))
+    return _beside_extras(docs, lambda rows: _measured(line_dedup.dedup_lines(rows)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_representatives(docs)
+    return _beside_extras(docs, simhash.keep_representatives)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark")))
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return _beside_extras(docs, lambda rows: _measured(decontamination.decontaminate(rows, benchmark)))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,7 +99,8 @@ def test_encoder_equals_whole_texts():
 def test_line_dedup(docs, nothing):
     rows = _rows()
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
-    holders = Counter(k for _, t, *_ in rows for k in {key(line) for line in (t or "").split("\n")} if k)
+    documents = {(i, t if i is None else "", key(line)) for i, t, *_ in rows for line in (t or "").split("\n")}
+    holders = Counter(k for *_, k in documents if k)
     expected = Counter()
     for i, t, *_ in rows:
         lines = (t or "").split("\n")
@@ -112,6 +113,19 @@ def test_line_dedup(docs, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_counts_documents_not_rows(spark):
+    rows = [(7, "only here\ncommon\nlast")] * 12 + [(i, f"own {i}\n Common") for i in range(10, 19)]
+    rows += [(8, f"mine\nother {i}") for i in range(12)] + [(None, "of nobody")] * 12
+    rows += [(i, "Nine\n\nnine") for i in range(20, 29)] + [(20, "nine too")] * 5
+    rows += [(None, f"ten\n{i}") for i in range(10)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    result = Counter((r["doc_id"], r["text"], r["n_dropped"]) for r in line_dedup.dedup_lines(table).collect())
+    expected = Counter((i, t, 0) for i, t in rows if i in (8, *range(20, 29)))
+    expected += Counter({(7, "only here\nlast", 1): 12, (None, "of nobody", 0): 12})
+    expected += Counter((i, f"own {i}", 1) for i in range(10, 19)) + Counter((None, f"{i}", 1) for i in range(10))
+    assert result == expected
+
+
 def _brute_print(text):
     words = (text or "").encode().lower().split()
     grams = [b" ".join(words[i : i + 4]) for i in range(max(len(words) - 3, 1))] if words else []
@@ -466,7 +480,10 @@ def test_page_evidence(spark):
 def test_pipeline_stages(spark, tmp_path):
     base = [(i, f"{SENTENCE} number {i} and {i * 7} more\nshared footer line\nown line {i}", "en", "src1", None) for i in range(40)]
     base += [(100, base[5][1], "en", "src1", None), (5, base[5][1], "en", "src1", None), (101, None, "en", "src1", None)]
-    spark.createDataFrame(base, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    # Extra columns with names that stages use keep their values.
+    extras = {"n_lines": "doc_id + 7", "found": "concat('f', doc_id)", "contaminated": "'no'", "key": "doc_id", "extra_0": "'x'", "odd.name": "3"}
+    table = spark.createDataFrame(base, "doc_id long, text string, lang string, source string, n_chars long")
+    table.select("*", *[F.expr(e).alias(c) for c, e in extras.items()]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "completely unrelated item text of more than thirteen words which no document holds at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs, columns = spark.read.parquet(f"{tmp_path}/documents.parquet"), None
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -475,6 +492,8 @@ def test_pipeline_stages(spark, tmp_path):
         assert docs.columns == columns, name
     rows = docs.collect()
     assert all("shared footer" not in r["text"] and r["n_chars"] == len(r["text"]) for r in rows)
+    assert all(r["n_lines"] == r["doc_id"] + 7 and r["found"] == f"f{r['doc_id']}" and r["odd.name"] == 3 for r in rows)
+    assert all((r["contaminated"], r["key"], r["extra_0"]) == ("no", r["doc_id"], "x") for r in rows)
     ids = [r["doc_id"] for r in rows]
     assert len(ids) == len(set(ids)) and 100 not in ids and 101 not in ids
     pieces = corpus_pipeline.run(spark, str(tmp_path))
