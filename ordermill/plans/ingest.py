@@ -20,7 +20,7 @@ from ordermill.operators.run_accounting import metrics_row
 from ordermill.plans.store import OrderStore
 from ordermill.sinks.files import delete_path, read_parquet
 from ordermill.sinks.layers import append_run
-from ordermill.sinks.order_upsert import remove_run, upsert_orders
+from ordermill.sinks.order_upsert import remove_run, restore_run, upsert_orders
 from ordermill.sources.order_csv import ROW_ORDER, raw_records
 
 _CONFLICTS = T.StructType(
@@ -133,7 +133,10 @@ def discard(store: OrderStore, id_run: str) -> None:
     delete_path(store.spark, store.path(f"staging/{id_run}"))
 
 
-def rollback(store: OrderStore, id_run: str) -> None:
-    """Remove a failed run: the orders it wrote last and its quarantine records."""
-    remove_run(store.validated_table, id_run)
+def rollback(store: OrderStore, id_run: str, restore: bool = False) -> None:
+    """Remove a failed run: the orders it wrote last and its quarantine records.
+
+    With ``restore``, orders that it updated get the rows back that they had before.
+    """
+    (restore_run if restore else remove_run)(store.validated_table, id_run)
     delete_path(store.spark, f"{store.path('orders_quarantine')}/id_run={id_run}")

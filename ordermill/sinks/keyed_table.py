@@ -151,6 +151,18 @@ class KeyedTable:
         row = rows.agg(F.max_by(F.struct(*COMMIT.names), "version").alias("last")).first()["last"]
         return Snapshot(**row.asDict()) if row else None
 
+    def versions(self, tag: str) -> list[Snapshot]:
+        """All commits that carry a tag, the oldest first."""
+        rows = self.commits().where(F.col("tag") == tag).orderBy("version").collect()
+        return [Snapshot(**row.asDict()) for row in rows]
+
+    def before(self, snapshot: Snapshot) -> Snapshot:
+        """The state that a commit was made on."""
+        found = self.snapshot(snapshot.version - 1)
+        if found.version != snapshot.version - 1:
+            raise ValueError(f"version {snapshot.version - 1} of {self.root} is no longer there")
+        return found
+
     def pieces(self, snapshot: Snapshot) -> list[Piece]:
         """The live files of a state; as many as Spark lists itself when it reads them."""
         name = snapshot.manifest

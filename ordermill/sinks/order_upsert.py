@@ -133,3 +133,43 @@ def remove_run(table: KeyedTable, id_run: str) -> Snapshot:
         return table.commit(base, table.stage(changes, base))
 
     return retried(attempt)
+
+
+def restore_run(table: KeyedTable, id_run: str) -> Snapshot:
+    """Undo what a run wrote: its updates get the rows back that they replaced, its inserts go.
+
+    Orders that a later run changed keep what that run wrote. The earlier rows are read from the version
+    before the run's commit, and only the buckets that the run changed. A run that was repeated has
+    several commits; the one that wrote the stored row, told by its time, is undone. The row that comes back
+    is what was replaced, whichever run had written it. The result is an ordinary change set, so views
+    and layouts follow it like any other.
+    """
+
+    def attempt() -> Snapshot:
+        base = table.snapshot()
+        commits = table.versions(id_run)
+        if not commits:
+            return base
+        changed, earlier = [], []
+        for commit in commits:
+            before = table.before(commit)
+            written = table.changes(before.version, commit.version)
+            bucket = table.bucket(F.col("order_id"), before.buckets)
+            touched = {row[0] for row in written.select(bucket).distinct().collect()}
+            version = F.lit(commit.version).alias("undone")
+            changed.append(written.select("order_id", "last_updated_at", version))
+            earlier.append(table.read(before, touched).select("order_id", version, F.struct("*").alias("earlier")))
+        changed, earlier = (reduce(DataFrame.unionByName, parts) for parts in (changed, earlier))
+        now = table.read(base).where(F.col("last_run_id") == id_run)
+        now = now.select("order_id", "last_updated_at", F.struct("*").alias("now"))
+        undone = now.join(changed, ["order_id", "last_updated_at"]).join(earlier, ["order_id", "undone"], "left")
+        known = F.col("earlier").isNotNull()
+        changes = undone.select(
+            "order_id",
+            *[F.col(f"earlier.{f}").alias(f) for f in VALIDATED.names if f != "order_id"],
+            *[F.col(f"now.{name}").alias(old) for old, name in _BEFORE_OF.items()],
+            F.when(known, F.lit(UPDATED)).otherwise(F.lit(DELETED)).alias("action"),
+        )
+        return table.commit(base, table.stage(changes, base))
+
+    return retried(attempt)

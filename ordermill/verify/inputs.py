@@ -98,6 +98,9 @@ def dirty_orders(spark: SparkSession, sf_dir: str, delivery: int = 0) -> DataFra
             F.col("o_orderstatus") == "P", F.slice(items, F.lit(2), F.greatest(F.size(items), F.lit(1)))
         ).otherwise(items)
     iso = F.date_format(day, "yyyy-MM-dd")
+    week_date = F.format_string(
+        "%04d-W%02d-%d", F.extract(F.lit("YEAROFWEEK"), day), F.weekofyear(day), F.weekday(day) + 1
+    )
     total = (F.coalesce("lines_total", F.lit(0)) + 10).cast("decimal(18,2)")
     total_text = total.cast("string")
 
@@ -112,6 +115,8 @@ def dirty_orders(spark: SparkSession, sf_dir: str, delivery: int = 0) -> DataFra
         .when(k % 11 == 1, F.date_format(day, "dd-MM-yyyy"))
         .when(k % 11 == 2, _arabic(iso))
         .when(k % 11 == 3, F.date_format(day.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(k % 11 == 4, F.date_format(day, "yyyyMMdd"))
+        .when(k % 11 == 5, week_date)
         .otherwise(iso),
         "status": F.when(F.col("o_orderstatus") == "P", "مؤكد")
         .when(F.col("o_orderstatus") == "F", "تم التسليم")
@@ -248,6 +253,20 @@ def two_delivery_store(spark: SparkSession, sf_dir: str) -> OrderStore:
     return once(spark, sf_dir, "store-two", build)
 
 
+def restored_store(spark: SparkSession, sf_dir: str) -> OrderStore:
+    """Two runs with a view refresh after each; then the second is rolled back with what it had replaced."""
+    def build() -> OrderStore:
+        made = OrderStore(spark, fresh_dir(spark, "store-restored"))
+        for delivery in (1, 2):
+            ingest_files(made, order_files(spark, sf_dir, delivery), f"run-{delivery}")
+            refresh_all(made)
+        rollback(made, "run-2", restore=True)
+        refresh_all(made)
+        return made
+
+    return once(spark, sf_dir, "store-restored", build)
+
+
 def store_beside_bad_file(spark: SparkSession, sf_dir: str) -> OrderStore:
     """The two deliveries arriving in a watched directory with a file between them that is not what it says."""
     def build() -> OrderStore:

@@ -124,6 +124,8 @@ dirty AS (
          WHEN k % 11 = 1 THEN strftime(od, '%d-%m-%Y')
          WHEN k % 11 = 2 THEN {arabic("strftime(od, '%Y-%m-%d')")}
          WHEN k % 11 = 3 THEN strftime(od, '%Y-%m-%dT%H:%M:%S')
+         WHEN k % 11 = 4 THEN strftime(od, '%Y%m%d')
+         WHEN k % 11 = 5 THEN strftime(od, '%G-W%V-%u')
          ELSE strftime(od, '%Y-%m-%d') END AS order_date,
     CASE o_orderstatus WHEN 'P' THEN 'مؤكد' WHEN 'F' THEN 'تم التسليم' ELSE ' قيد الشحن ' END AS status,
     CASE WHEN k % 89 = 0 THEN '' ELSE 'CUST' || o_custkey
@@ -229,7 +231,10 @@ fixed AS (
            CASE WHEN {_shape("date_digits", False, "-/.")} THEN try_strptime({_DASHED}, '%d-%m-%Y') END,
            CASE WHEN {_shape("date_digits", False, "-/")} THEN try_strptime({_DASHED}, '%m-%d-%Y') END,
            CASE WHEN regexp_matches({_NO_Z}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}([T ].*)?$')
-                THEN try_strptime({_NO_Z}[1:10], '%Y-%m-%d') END), '%Y-%m-%d') END AS c_date,
+                THEN try_strptime({_NO_Z}[1:10], '%Y-%m-%d') END,
+           CASE WHEN regexp_matches({_NO_Z}, '^\\d{{8}}$') THEN try_strptime({_NO_Z}, '%Y%m%d') END,
+           CASE WHEN regexp_matches({_NO_Z}, '^\\d{{4}}-W\\d{{2}}-[1-7]$')
+                THEN try_strptime({_NO_Z}, '%G-W%V-%u') END), '%Y-%m-%d') END AS c_date,
     CASE WHEN t_items = '' OR NOT json_valid(t_items) THEN 'JSON_ITEMS_CORRUPTED'
          WHEN json_type(t_items) <> 'ARRAY' THEN 'JSON_ITEMS_CORRUPTED'
          WHEN json_array_length(t_items) = 0 THEN 'ITEMS_EMPTY' END AS e_items
@@ -381,6 +386,9 @@ CLASSIFIED = DIRTY + RULES + VERDICTS
 VALIDATED = CLASSIFIED + LAST_ROWS + """,
 validated AS (SELECT *, 'run-1' AS last_run_id, 'run-1' AS first_seen_run_id FROM last_rows)"""
 MERGED = DIRTY_TWICE + RULES + VERDICTS + LAST_ROWS + _MERGED
+# The table before the second run.
+FIRST_RUN = DIRTY_TWICE + RULES + VERDICTS + LAST_ROWS + """,
+validated AS (SELECT *, 'run-1' AS last_run_id, 'run-1' AS first_seen_run_id FROM last_rows WHERE run = 1)"""
 
 # --- one statement per query ----------------------------------------------------------------
 
@@ -657,6 +665,8 @@ def oracle_sql() -> dict[str, str]:
             FROM uses GROUP BY rule_code""",
         "reconcile_counts": f"""WITH {DIRTY} SELECT 'run-1' AS id_run, count(*) AS csv_rows, count(*) AS raw_rows,
             0::BIGINT AS difference, true AS all_arrived FROM dirty""",
+        "rollback_restore": f"WITH {FIRST_RUN} SELECT {tracked} FROM validated",
+        "mv_daily_sales_restored": f"WITH {FIRST_RUN} {_DAILY}",
         "rollback_run": f"WITH {MERGED} SELECT {tracked} {_ROLLED_BACK}",
         "prefix_sample": f"WITH {DIRTY} SELECT {_physical()} FROM (SELECT * FROM dirty ORDER BY k, copy_no LIMIT 1000)",
         "size_sample": f"""WITH {DIRTY}, sized AS (

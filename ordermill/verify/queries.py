@@ -491,6 +491,10 @@ def rollback_run(spark, sf_dir):
     return flat(_version(spark, sf_dir, 3), "last_run_id", "first_seen_run_id")
 
 
+def rollback_restore(spark, sf_dir):
+    return flat(inputs.restored_store(spark, sf_dir).validated(), "last_run_id", "first_seen_run_id")
+
+
 def _placed_scan(spark, sf_dir):
     return S.numbered(S.with_lineage(_scan(spark, sf_dir))).drop("file_block_start")
 
@@ -568,6 +572,7 @@ def queries() -> dict[str, Query]:
         "mv_daily_sales_incremental": _view_query(
             "daily_sales_summary", inputs.two_delivery_store, False
         ),
+        "mv_daily_sales_restored": _view_query("daily_sales_summary", inputs.restored_store, False),
         "mv_top_products_full": _view_query("top_products_summary", inputs.store, True),
         "mv_top_products_incremental": _view_query(
             "top_products_summary", inputs.two_delivery_store, False
@@ -581,6 +586,7 @@ def queries() -> dict[str, Query]:
         "correction_rule_counts": correction_rule_counts,
         "reconcile_counts": reconcile_counts,
         "rollback_run": rollback_run,
+        "rollback_restore": rollback_restore,
         "prefix_sample": prefix_rows,
         "small_sample": small_sample,
         "size_sample": size_rows,

@@ -65,6 +65,12 @@ CASES = {
         ("2024-06-17T08:15:30Z", ("2024-06-17", True)),
         ("2024-06-17T08:15:30-05:00", ("2024-06-17", True)),
         ("2024-06-17T24:59:00+01:00", (None, False)),
+        ("20250105", ("2025-01-05", True)), ("٢٠٢٥٠١٠٥", ("2025-01-05", True)),
+        ("20250105T1015+0300", ("2025-01-05", True)), ("20250230", (None, False)),
+        ("2025-W02-3", ("2025-01-08", True)), ("2025W023", ("2025-01-08", True)),
+        ("2025-W02", ("2025-01-06", True)), ("2020-W53-7", ("2021-01-03", True)),
+        ("2025-W01-1", ("2024-12-30", True)), ("2021-W53-1", (None, False)),
+        ("2025-W00-1", (None, False)), ("2025-W02-8", (None, False)),
         ("soon", (None, False)), ("", (None, False)), (None, (None, False)),
     ],
     rules.status: [
@@ -200,12 +206,35 @@ def test_total_of_generated_items(spark, generated):
         assert expected is None or math.isclose(value, expected, abs_tol=0.005)
 
 
+def test_iso_spellings_read_as_the_standard_library_does(spark):
+    days = [
+        "2025-01-05", "20250105", "20240229", "20250229", "20251301", "2025W02", "2025-W02", "2025-W02-3",
+        "2025W023", "2020-W53-7", "2021-W53-1", "2026W531", "2024W527", "2025-W00-1", "2025W020",
+        "2025-W02-8", "2025-W023", "2025W54", "9999-W52-7", "2025-W1-1", "202501", "00010101", "0000W011",
+    ]
+    times = ["", "10", "1000", "10:00", "235959", "10:00:30", "100030.25", "10:00:30,123456789", "24", "10:00:60"]
+    offsets = ["", "Z", "+03", "-0330", "+03:30", "+03:30:15", "+24"]
+    clocks = ["", *(s + t + o for s in "T -\nx" for t in times if t for o in offsets)]
+    texts = [d + c for d in days for c in clocks]
+    expected = []
+    for text in texts:
+        try:
+            expected.append(datetime.datetime.fromisoformat(text.replace("Z", "")).date().isoformat())
+        except ValueError:
+            expected.append(None)
+    # ISO shape is cut without a look at the calendar; that is another rule.
+    got = outputs(spark, lambda c: [dates.fix_date(c), dates.is_iso_shaped(c)], texts)
+    wrong = [(t, e, g) for t, e, (g, shaped) in zip(texts, expected, got) if not shaped and e != g]
+    assert not wrong, wrong[:20]
+    assert sum(e is not None for e in expected) > 1000
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.dates(datetime.date(1990, 1, 1), datetime.date(2110, 1, 1)), min_size=50))
 def test_every_date_spelling_reads_back(spark, days):
     spellings = [
         (d, d.strftime(f)) for d in days
-        for f in ("%Y-%m-%d", "%Y/%m/%d", "%d-%m-%Y", "%d/%m/%Y", "%Y.%m.%d", "%d.%m.%Y")
+        for f in ("%Y-%m-%d", "%Y/%m/%d", "%d-%m-%Y", "%d/%m/%Y", "%Y.%m.%d", "%d.%m.%Y", "%Y%m%d", "%G-W%V-%u", "%GW%V%u")
     ]
     got = outputs(spark, rules.date, [text for _, text in spellings])
     assert [g[0] for g in got] == [d.isoformat() for d, _ in spellings]

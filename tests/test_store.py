@@ -193,6 +193,47 @@ def test_rollback_and_refresh(new_store, spark):
     assert incremental == view_rows(store, "top_products_summary")
 
 
+def test_rollback_restores_replaced_orders(new_store, spark):
+    def order(i, city, **more):
+        return {"order_id": f"O{i:03d}", "city": city, **more}
+
+    def state():
+        rows = store.validated().select("order_id", "city", "last_run_id", "first_seen_run_id").collect()
+        return {r[0]: tuple(r)[1:] for r in rows}
+
+    store = new_store()
+    ingest(store, envelope(spark, [order(i, "Aden") for i in range(20)], "r1"), "r1")
+    refresh_all(store)
+    whole = sorted(map(str, store.validated().collect()))
+    second = [order(i, "Taiz", order_date="2024-07-01") for i in range(10, 24)] + [{"order_id": ""}]
+    ingest(store, envelope(spark, second, "r2"), "r2")
+    # The third run changes two of the orders again; those keep what it wrote.
+    ingest(store, envelope(spark, [order(12, "Mocha"), order(22, "Mocha")], "r3"), "r3")
+    rollback(store, "r2", restore=True)
+    expected = {f"O{i:03d}": ("Aden", "r1", "r1") for i in range(20)}
+    expected |= {"O012": ("Mocha", "r3", "r1"), "O022": ("Mocha", "r3", "r2")}
+    assert state() == expected
+    assert store.quarantine().count() == 0
+    version = store.validated_table.snapshot().version
+    rollback(store, "r2", restore=True)
+    assert store.validated_table.snapshot().version == version
+    # The run comes again after the third and is undone again: its commits are two now.
+    ingest(store, envelope(spark, second, "r2"), "r2")
+    assert state()["O012"] == ("Taiz", "r2", "r1")
+    rollback(store, "r2", restore=True)
+    assert state() == expected
+    rollback(store, "r3", restore=True)
+    # What the third run replaced was the second run's; that one's commits undo it in turn.
+    assert state()["O012"][:2] == ("Taiz", "r2")
+    rollback(store, "r2", restore=True)
+    assert sorted(map(str, store.validated().collect())) == whole
+    rollback(store, "never", restore=True)
+    refresh_all(store)
+    incremental = [view_rows(store, name) for name in ("daily_sales_summary", "top_products_summary")]
+    refresh_all(store, force_full=True)
+    assert incremental == [view_rows(store, name) for name in ("daily_sales_summary", "top_products_summary")]
+
+
 def test_large_change_sets_take_the_shuffle_path(new_store, spark, monkeypatch):
     from ordermill.sinks import keyed_table
 
