@@ -11,9 +11,11 @@ the count that its followers have in the context one shorter.
 Scores come with a base: a smoothed unigram model of the words. Its vocabulary is a table. The ``HEAD``
 most frequent words are broadcast (a fixed number), the other words of each document are joined.
 
-The trie is stored as the counts of its deepest strings, from which all shorter contexts follow. Up to
-``TRIE`` strings are broadcast (a checked size). A larger trie stays dealt by the last two context
-bytes: strings that occur are priced in their share of the trie, and documents are joined with prices.
+Strings of ``ORDER + 1`` bytes go the same way, at every size: the prices of the most frequent, at most
+``FREQUENT`` of them (16 bytes each), are broadcast; of each document's other strings the distinct ones are
+joined with theirs. The trie is a table for each order: contexts with the numbers above, strings with their
+counts. A string that training rows hold is priced by its longest context. The others pass down the orders, joined
+with one table after the other; the tables of contexts up to one byte have at most 65,536 rows.
 
 Rows are in training unless crc32(doc_id as text) mod 10 is 0; a null doc_id counts as the empty text, and is
 held out. Null and empty texts are the end alone. Repeated rows count and are scored each for itself.
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ordermill.llm.common import Shared, bounded_batches, gram_codes, id_bucket, in_blocks, text_bytes, written
 
@@ -35,7 +37,8 @@ ORDER = 5
 DISCOUNT = 0.5
 FOLDS = 10
 HEAD = 100_000
-TRIE = 8_000_000
+#: Strings whose prices are broadcast, at most; only strings of equal frequency class are taken or left together.
+FREQUENT = 4_000_000
 #: Distinct words or strings a task holds before it hands their counts on.
 HELD = 1_000_000
 SMOOTH = 0.1
@@ -113,58 +116,6 @@ def _statistics(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "word binary, string long, n long")
 
 
-class Trie:
-    """Counts of contexts and followers for each order, from the counts of the deepest strings."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, lowest: list | None = None):
-        self.levels = []
-        for order in range(ORDER + 1):
-            if lowest and order < len(lowest):
-                self.levels.append(lowest[order])
-                continue
-            strings, at = np.unique(codes & _mask(order + 1), return_inverse=True)
-            n = np.bincount(at, weights=counts, minlength=len(strings))
-            context, at = np.unique(strings >> np.uint64(8), return_inverse=True)
-            shorter = np.zeros(len(strings))
-            if order and len(strings):
-                below, m = self.levels[-1][:2]
-                shorter = m[np.searchsorted(below, strings & _mask(order))]
-            self.levels.append((
-                strings, n, context,
-                np.bincount(at, weights=n, minlength=len(context)),
-                np.bincount(at, minlength=len(context)).astype(float),
-                np.bincount(at, weights=shorter, minlength=len(context)),
-            ))
-
-    def price(self, codes: np.ndarray) -> np.ndarray:
-        """log10 of each string's last byte after the bytes before it."""
-        out = np.zeros(len(codes))
-        ruled_out, followers = np.zeros(len(codes)), np.zeros(len(codes))
-        open_ = np.arange(len(codes))
-        for order in range(ORDER, -1, -1):
-            strings, n, context, total, kinds, below = self.levels[order]
-            string = codes[open_] & _mask(order + 1)
-            at, seen = _find(context, string >> np.uint64(8))
-            active = open_[seen]
-            string, at = string[seen], at[seen]
-            mass, left = total[at] - ruled_out[active], kinds[at] - followers[active]
-            where, hit = _find(strings, string)
-            out[active[hit]] += np.log10((n[where[hit]] - DISCOUNT) / mass[hit])
-            escape = ~hit & (left > 0)
-            out[active[escape]] += np.log10(DISCOUNT * left[escape] / mass[escape])
-            missed = active[~hit]
-            ruled_out[missed], followers[missed] = below[at[~hit]], kinds[at[~hit]]
-            done = np.zeros(len(codes), dtype=bool)
-            done[active[hit]] = True
-            open_ = open_[~done[open_]]
-        out[open_] -= np.log10(SYMBOLS - followers[open_])
-        return out
-
-
-def _mask(octets: int) -> np.uint64:
-    return np.uint64((1 << 8 * octets) - 1)
-
-
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of ``wanted`` in the sorted ``table``, and whether they are there."""
     if not len(table):
@@ -173,30 +124,75 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == wanted
 
 
-def _arrays(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = strings.select("string", "n").toArrow()
-    return table["string"].to_numpy().view(np.uint64), table["n"].to_numpy()
+def _last(octets: int) -> Column:
+    return F.col("string").bitwiseAND((1 << 8 * octets) - 1)
+
 
+def _trie(strings: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order its strings (string, n) and contexts (context, mass, kinds, below).
 
-def _dealt_prices(strings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(string, price) of the distinct strings in ``wanted``, each share of the trie by itself."""
-    spark = strings.sparkSession
-    short = strings.select(F.col("string").bitwiseAND(0xFFFF).alias("string"), "n").groupBy("string").agg(F.sum("n").alias("n"))
-    lowest = Shared(spark, Trie(*_arrays(short)).levels[:2])
-    share = F.shiftrightunsigned("string", 8).bitwiseAND(0xFFFF).alias("share")
+    ``below`` is the count that a context's followers have in the context one byte shorter.
+    """
+    levels = []
+    for order in range(ORDER, -1, -1):
+        shorter = F.sum("n").over(Window.partitionBy(_last(order))) if order else F.lit(0)
+        counted = strings.select(F.shiftright("string", 8).alias("context"), "n", shorter.cast("double").alias("shorter"))
+        contexts = counted.groupBy("context").agg(
+            F.sum("n").cast("double").alias("mass"), F.count("*").cast("double").alias("kinds"), F.sum("shorter").alias("below")
+        )
+        levels.append((strings, written(contexts, f"lm-contexts-{order}")))
+        if order:
+            strings = written(strings.groupBy(_last(order).alias("string")).agg(F.sum("n").alias("n")), f"lm-strings-{order - 1}")
+    return levels[::-1]
+
+
+def _known_prices(strings: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(string, price) of strings that training rows hold."""
+    joined = strings.join(contexts, F.shiftright("string", 8) == F.col("context"))
+    return joined.select("string", F.log10((F.col("n") - DISCOUNT) / F.col("mass")).alias("price"))
+
+
+def _new_prices(wanted: DataFrame, trie: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(string, price) of ``wanted``, distinct strings that no training row holds."""
+    zero = F.lit(0.0)
+    rows = wanted.select("string", zero.alias("price"), zero.alias("gone"), zero.alias("followers"), F.lit(False).alias("done"))
+    for order in range(ORDER, -1, -1):
+        strings, contexts = trie[order]
+        strings = strings.select(F.col("string").alias("known"), "n")
+        if order < 2:
+            strings, contexts = F.broadcast(strings), F.broadcast(contexts)
+        rows = rows.join(contexts, F.shiftright(_last(order + 1), 8) == F.col("context"), "left")
+        rows = rows.join(strings, _last(order + 1) == F.col("known"), "left")
+        open_, seen, hit = ~F.col("done"), F.col("context").isNotNull(), F.col("known").isNotNull()
+        mass, left = F.col("mass") - F.col("gone"), F.col("kinds") - F.col("followers")
+        step = F.when(open_ & hit, F.log10((F.col("n") - DISCOUNT) / mass))
+        step = step.when(open_ & seen & (left > 0), F.log10(DISCOUNT * left / mass)).otherwise(0.0)
+        missed = open_ & seen & ~hit
+        rows = rows.select(
+            "string",
+            (F.col("price") + step).alias("price"),
+            F.when(missed, F.col("below")).otherwise(F.col("gone")).alias("gone"),
+            F.when(missed, F.col("kinds")).otherwise(F.col("followers")).alias("followers"),
+            (F.col("done") | hit).alias("done"),
+        )
+    rest = F.when(F.col("done"), 0.0).otherwise(F.log10(SYMBOLS - F.col("followers")))
+    return rows.select("string", (F.col("price") - rest).alias("price"))
 
-    def price(trie: pa.Table, asked: pa.Table) -> pa.Table:
-        code = trie["string"].to_numpy().view(np.uint64)
-        model = Trie(code, trie["n"].to_numpy(), lowest.value)
-        code = asked["string"].to_numpy()
-        return pa.table({"string": code, "price": model.price(code.view(np.uint64))})
 
-    left = strings.select("string", "n", share).groupBy("share")
-    right = wanted.select("string").distinct().select("string", share).groupBy("share")
-    return left.cogroup(right).applyInArrow(price, "string long, price double")
+def _frequent(strings: DataFrame, most: int) -> DataFrame:
+    """The most frequent strings, at most ``most``: whole classes of frequency, eight to a doubling."""
+    kind = F.floor(8 * F.log2("n"))
+    sizes = strings.groupBy(kind.alias("kind")).count().collect()
+    taken, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["kind"]):
+        taken += row["count"]
+        if taken > most:
+            break
+        least = row["kind"]
+    return strings.where(F.lit(False) if least is None else kind >= least)
 
 
-def score(docs: DataFrame, head: int = HEAD, most: int = TRIE) -> DataFrame:
+def score(docs: DataFrame, head: int = HEAD, most: int = FREQUENT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -211,49 +207,62 @@ def score(docs: DataFrame, head: int = HEAD, most: int = TRIE) -> DataFrame:
     floor = float(np.log10(tokens + SMOOTH * (kinds + 1)))
     frequent = words.orderBy(F.desc("n"), "word").limit(head).collect()
     known = Shared(spark, {bytes(r["word"]): float(np.log10(r["n"] + SMOOTH)) - floor for r in frequent})
-    dealt = strings.count() > most
-    trie = Shared(spark, None if dealt else Trie(*_arrays(strings)))
-
-    kind = pa.struct([
-        ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_base", pa.float64()), ("score", pa.float64()),
-        ("tail", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
-        ("strings", pa.list_(pa.struct([("string", pa.int64()), ("n", pa.int64())]))),
-    ])
+    trie = _trie(strings)
+    table = _known_prices(_frequent(strings, most), trie[ORDER][1]).toArrow()
+    order = np.argsort(table["string"].to_numpy())
+    frequent_strings = Shared(spark, tuple(table[c].to_numpy()[order] for c in ("string", "price")))
+    del table, order
 
     @F.arrow_udf(
-        "struct<n_tokens:long,head_known:long,head_base:double,score:double,"
+        "struct<n_tokens:long,head_known:long,head_base:double,head_score:double,"
         "tail:array<struct<word:binary,n:long>>,strings:array<struct<string:long,n:long>>>"
     )
     def scored(text: pa.Array) -> pa.Array:
-        table, model = known.value, trie.value
+        table, (codes_known, prices) = known.value, frequent_strings.value
         split = [(t or b"").lower().split() for t in text.cast(pa.large_binary()).to_pylist()]
         sums = np.zeros(len(split))
-        apart: list[Counter] = [Counter() for _ in split] if dealt else []
+        # Each document's other strings: owner, string and how often, in the order of owners.
+        apart = [(np.zeros(0, np.int64),) * 3]
         for owners, codes, part in _strings(split):
-            unique, at = np.unique(codes, return_inverse=True)
-            first = np.flatnonzero(np.diff(part, prepend=-1))
-            if dealt:
-                for owner, own in zip(np.array(owners)[part[first]], np.split(codes, first[1:])):
-                    apart[owner].update(own.view(np.int64).tolist())
-            else:
-                np.add.at(sums, np.array(owners)[part[first]], np.add.reduceat(model.price(unique)[at], first))
-        rows = []
-        for i, w in enumerate(split):
-            base, seen, tail = 0.0, 0, []
+            codes = codes.view(np.int64)
+            at, hit = _find(codes_known, codes)
+            owner = np.array(owners)[part]
+            sums += np.bincount(owner[hit], weights=prices[at[hit]], minlength=len(split))
+            owner, codes = owner[~hit], codes[~hit]
+            if len(codes):
+                order = np.lexsort((codes, owner))
+                owner, codes = owner[order], codes[order]
+                first = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(codes, prepend=-1) != 0))
+                apart.append((owner[first], codes[first], np.diff(first, append=len(codes))))
+        owner, codes, times = (np.concatenate(x) for x in zip(*apart))
+        ends = np.searchsorted(owner, np.arange(len(split) + 1)).astype(np.int32)
+        strings = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(codes), pa.array(times)], ["string", "n"]))
+        bases, seen, words, numbers, ends = [], [], [], [], [0]
+        for w in split:
             counts = Counter(w)
             counts[b""] = 1
+            base = found = 0
             for word, n in counts.items():
                 value = table.get(word)
                 if value is None:
-                    tail.append({"word": word, "n": n})
+                    words.append(word)
+                    numbers.append(n)
                 else:
                     base += n * value
-                    seen += n
-            more = [{"string": s, "n": n} for s, n in apart[i].items()] if dealt else None
-            rows.append({
-                "n_tokens": len(w) + 1, "head_known": seen, "head_base": base, "score": sums[i], "tail": tail, "strings": more,
-            })
-        return pa.array(rows, kind)
+                    found += n
+            bases.append(float(base))
+            seen.append(found)
+            ends.append(len(words))
+        pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
+        columns = {
+            "n_tokens": pa.array([len(w) + 1 for w in split], pa.int64()),
+            "head_known": pa.array(seen, pa.int64()),
+            "head_base": pa.array(bases, pa.float64()),
+            "head_score": pa.array(sums),
+            "tail": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+            "strings": strings,
+        }
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), scored("text").alias("s"))
     # Written once, the numbers of rows stay what they are.
@@ -265,11 +274,13 @@ def score(docs: DataFrame, head: int = HEAD, most: int = TRIE) -> DataFrame:
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"),
         F.sum(F.col("times") * (F.log10(F.col("n") + SMOOTH) - floor)).alias("tail_base"),
     )
-    out = rows.join(rare, "row", "left")
-    if dealt:
-        pairs = rows.select("row", F.explode("strings").alias("s")).select("row", "s.string", F.col("s.n").alias("times"))
-        priced = pairs.join(_dealt_prices(strings, pairs), "string").groupBy("row")
-        out = out.drop("score").join(priced.agg(F.sum(F.col("times") * F.col("price")).alias("score")), "row", "left")
+    others = rows.select("row", F.explode("strings").alias("s")).select("row", "s.string", F.col("s.n").alias("times"))
+    distinct = others.select("string").distinct()
+    wanted = written(distinct.join(strings, "string", "left"), "lm-wanted")
+    prices = _known_prices(wanted.where("n is not null"), trie[ORDER][1])
+    prices = written(prices.unionByName(_new_prices(wanted.where("n is null"), trie)), "lm-prices")
+    rest = others.join(prices, "string").groupBy("row").agg(F.sum(F.col("times") * F.col("price")).alias("tail_score"))
+    out = rows.join(rare, "row", "left").join(rest, "row", "left")
     return out.select(
         "doc_id",
         "held_out",
@@ -277,5 +288,5 @@ def score(docs: DataFrame, head: int = HEAD, most: int = TRIE) -> DataFrame:
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("head_base") + F.coalesce("tail_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"),
     )

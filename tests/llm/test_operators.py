@@ -211,7 +211,41 @@ def test_decontamination(spark, docs, nothing, block_words):
     assert decontamination.contamination(docs, none).where("n_hit > 0 or n_items > 0").count() == 0
 
 
-@pytest.mark.parametrize("head,most", [(lm_scoring.HEAD, lm_scoring.TRIE), (3, 0)])
+class _Ppm:
+    """PPM over dictionaries of contexts, one byte after the other."""
+
+    def __init__(self, texts):
+        self.after = defaultdict(Counter)
+        for text in map(self.framed, texts):
+            for at in range(5, len(text)):
+                for size in range(6):
+                    self.after[text[at - size : at]][text[at]] += 1
+
+    @staticmethod
+    def framed(words):
+        return b"     " + b" ".join([*words, b"\n"])
+
+    def probability(self, context, symbol):
+        share, ruled_out = 1.0, set()
+        for size in range(5, -1, -1):
+            followers = self.after.get(context[5 - size :])
+            if followers is None:
+                continue
+            mass = sum(followers.values()) - sum(followers[b] for b in ruled_out)
+            left = len(followers) - len(ruled_out)
+            if symbol in followers:
+                return share * (followers[symbol] - 0.5) / mass
+            if left:
+                share *= 0.5 * left / mass
+            ruled_out = set(followers)
+        return share / (257 - len(ruled_out))
+
+    def score(self, words):
+        text = self.framed(words)
+        return sum(n * math.log10(self.probability(s[:5], s[5])) for s, n in Counter(text[i - 5 : i + 1] for i in range(5, len(text))).items())
+
+
+@pytest.mark.parametrize("head,most", [(lm_scoring.HEAD, lm_scoring.FREQUENT), (3, 200), (0, 0)])
 def test_lm_scoring(docs, nothing, head, most):
     rows = [(i, (t or "").encode().lower().split()) for i, t, *_ in _rows()]
     counts = Counter()
@@ -223,23 +257,32 @@ def test_lm_scoring(docs, nothing, head, most):
     result = lm_scoring.score(docs, head=head, most=most).collect()
     expected = sorted((str(i), len(w) + 1, sum(x in counts for x in [*w, b""]), total, round(base(w), 4)) for i, w in rows)
     assert sorted((str(r[0]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in result) == expected
-    assert all(r["held_out"] == (_bucket(r["doc_id"], 10) == 0) and r["score"] < 0 for r in result)
-    whole = lm_scoring.score(docs)
-    pairs = {(str(r["doc_id"]), r["n_tokens"]): r["score"] for r in whole.collect()}
-    assert all(math.isclose(pairs[str(r["doc_id"]), r["n_tokens"]], r["score"], rel_tol=1e-9) for r in result)
+    assert all(r["held_out"] == (_bucket(r["doc_id"], 10) == 0) for r in result)
+    model = _Ppm([w for i, w in rows if _bucket(i, 10)])
+    wanted = sorted((str(i), model.score(w)) for i, w in rows)
+    got = sorted((str(r["doc_id"]), r["score"]) for r in result)
+    assert [i for i, _ in got] == [i for i, _ in wanted]
+    assert all(math.isclose(a, b, rel_tol=1e-9) for (_, a), (_, b) in zip(got, wanted))
     assert lm_scoring.score(nothing).count() == 0
 
 
-def test_ppm_is_a_distribution():
-    text = [b"the cat sat on the mat".split(), b"the dog".split()]
-    counts = lm_scoring.Counts()
-    for _, codes, _ in lm_scoring._strings(text):
-        counts.add(codes)
-    trie = lm_scoring.Trie(*counts.merge())
-    for context in (b"      ", b"the ca", b"zzzzzz", b"t on t", b"  the "):
-        low = int.from_bytes(context[-5:], "big") << 8
-        prices = trie.price(np.array([low | b for b in range(256)], dtype=np.uint64))
-        assert 0.9 < (10**prices).sum() <= 1 + 1e-9  # the 257th symbol takes the rest
+def test_lm_scoring_without_training_rows(docs):
+    result = lm_scoring.score(docs.where("doc_id is null")).collect()
+    assert sorted(r["train_tokens"] for r in result) == [0, 0]
+    assert all(r["n_known"] == 0 for r in result)
+    wanted = sorted(_Ppm([]).score(w) for w in ([b"no", b"id"], []))
+    assert all(math.isclose(a, b) for a, b in zip(sorted(r["score"] for r in result), wanted))
+
+
+def test_ppm_is_a_distribution(spark):
+    model = _Ppm([b"the cat sat on the mat".split(), b"the dog".split()])
+    texts = [(1, "the cat sat on the mat"), (2, "the dog"), (0, "the dug"), (0, "zebra")]
+    ids = [next(i for i in range(k * 1000, k * 1000 + 999) if (_bucket(i, 10) > 0) == (held > 0)) for k, (held, _) in enumerate(texts, 1)]
+    rows = spark.createDataFrame([(i, t) for i, (_, t) in zip(ids, texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(rows, most=5).collect()}
+    assert all(math.isclose(got[i], model.score(t.encode().split())) for i, (_, t) in zip(ids, texts))
+    for context in (b"     ", b"he ca", b"zzzzz", b" on t", b" the "):
+        assert 0.9 < sum(model.probability(context, b) for b in range(256)) <= 1 + 1e-9  # the 257th symbol takes the rest
 
 
 def test_blocks_keep_context():
