@@ -225,9 +225,12 @@ def score(docs: DataFrame, head: int = HEAD, most: int = FREQUENT) -> DataFrame:
         apart = [(np.zeros(0, np.int64),) * 3]
         for owners, codes, part in _strings(split):
             codes = codes.view(np.int64)
-            at, hit = _find(codes_known, codes)
-            owner = np.array(owners)[part]
-            sums += np.bincount(owner[hit], weights=prices[at[hit]], minlength=len(split))
+            unique, of = np.unique(codes, return_inverse=True)
+            at, hit = _find(codes_known, unique)
+            price = np.zeros(len(unique))
+            price[hit] = prices[at[hit]]
+            hit, owner = hit[of], np.array(owners)[part]
+            sums += np.bincount(owner, weights=price[of], minlength=len(split))
             owner, codes = owner[~hit], codes[~hit]
             if len(codes):
                 order = np.lexsort((codes, owner))
