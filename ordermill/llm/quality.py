@@ -27,8 +27,8 @@ from ordermill.llm.common import Shared, bounded_batches
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 DIMENSIONS = 8
-SAMPLE = 4000
-EPOCHS = 5
+SAMPLE = 6000
+EPOCHS = 12
 RATE = 0.5
 SEED = 7
 THRESHOLD = 0.3
