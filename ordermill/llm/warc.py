@@ -12,12 +12,16 @@ member the next starts where its compressed data ends; a gap is searched again.
 Of rows with equal payloads of at least ``LEAST`` bytes those with the largest page_id are responses, the
 others revisits of it, without payload. A null page_id counts as smallest; if all ids of a group are null,
 all are responses, as are rows that repeat the largest id. Null html is an empty payload.
+
+Records of other writers are read as well: a record without a type has a null one, ids and digests of
+another form are null.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -192,7 +196,17 @@ def records_in(source: _Source, start: int, stop: int) -> Iterator[tuple[int, di
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text else None
+    """The number a header holds; null for none, for other text and beyond 64 bits."""
+    number = int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
+def _hex(digest: str) -> str | None:
+    """Hexadecimal digits of a base 32 digest; null if it is none."""
+    try:
+        return base64.b32decode(digest).hex()
+    except ValueError:
+        return None
 
 
 def read_archives(manifest: DataFrame, size: int = RANGE) -> DataFrame:
@@ -215,13 +229,14 @@ def read_archives(manifest: DataFrame, size: int = RANGE) -> DataFrame:
                     for at, headers, block in records_in(_Source(file, length), start, min(start + size, length)):
                         algorithm, _, digest = headers.get("warc-payload-digest", "").partition(":")
                         own = hashlib.sha1(block).hexdigest()
-                        kind = headers["warc-type"]
+                        kind = headers.get("warc-type")
                         if kind == "revisit":
-                            own = base64.b32decode(digest).hex() if algorithm == "sha1" else None
+                            own = _hex(digest) if algorithm == "sha1" else None
+                        stated = _number(headers.get("x-payload-length"))
                         rows.append((
                             headers.get("warc-record-id"), kind, headers.get("warc-target-uri"),
                             _number(headers.get("x-page-id")), _number(headers.get("warc-refers-to-page")),
-                            int(headers.get("x-payload-length", len(block))), own,
+                            len(block) if stated is None else stated, own,
                             block if kind == "response" else None, path, at,
                         ))
                         held += len(block)

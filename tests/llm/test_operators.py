@@ -285,6 +285,17 @@ def test_ppm_is_a_distribution(spark):
         assert 0.9 < sum(model.probability(context, b) for b in range(256)) <= 1 + 1e-9  # the 257th symbol takes the rest
 
 
+def test_warc_of_other_writers(spark, tmp_path):
+    data = zlib.compress(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n", wbits=31)
+    data += warc.record("revisit", [("X-Page-ID", "p1"), ("WARC-Payload-Digest", "sha1:?"), ("X-Payload-Length", "9" * 30)], b"")
+    data += warc.record("response", [("X-Page-ID", "7")], b"page")
+    (tmp_path / "other.warc.gz").write_bytes(data)
+    manifest = spark.createDataFrame([(str(tmp_path / "other.warc.gz"), len(data))], "path string, bytes long")
+    rows = sorted(warc.read_archives(manifest).collect(), key=lambda r: r["at"])
+    assert [(r["record_type"], r["page_id"], r["payload_bytes"]) for r in rows] == [(None, None, 2), ("revisit", None, 0), ("response", 7, 4)]
+    assert [r["payload_digest"] is None for r in rows] == [False, True, False]
+
+
 def test_blocks_keep_context():
     text = bytes(range(256)) * 40
     seen = b"".join(part[3:] for _, parts in in_blocks([b"", text, b"ab"], b"   ", size=1000) for part in parts)
