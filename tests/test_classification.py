@@ -1,13 +1,14 @@
 """Verdicts, audit trail and the rules across rows."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import raw_frame
 from ordermill.operators.classify import accepted, apply_rules, classify, quarantined
-from ordermill.operators.duplicates import conflicting_rows, last_wins
+from ordermill.operators.duplicates import conflicting_rows, last_wins, repeated_last
 from ordermill.operators.run_accounting import correction_rule_counts, error_code_counts, tally
 
 CASES = [
@@ -129,6 +130,33 @@ def test_last_accepted_row_wins_and_is_limited_before_the_shuffle(spark):
     assert final.count("WindowGroupLimit") == 2
 
 
+def test_last_rows_are_found_without_a_shuffle_of_whole_rows(spark, tmp_path):
+    rows = [{"order_id": f"O{i % 7 if i < 40 else i}", "status": str(i)} for i in range(60)]
+    made = accepted(classify(raw_frame(spark, rows)))
+    made.write.parquet(str(tmp_path / "accepted"))
+    made = spark.read.schema(made.schema).parquet(str(tmp_path / "accepted"))
+    repeated_last(made).write.parquet(str(tmp_path / "lasts"))
+    lasts = spark.read.parquet(str(tmp_path / "lasts"))
+    assert {r["order_id"]: (r["number_row_source"], r["n"]) for r in lasts.collect()} == {
+        f"O{i % 7}": (i, 1) for i in range(33, 40)
+    }
+    kept = last_wins(made, lasts)
+    assert kept.columns == made.columns
+    assert sorted(kept.collect()) == sorted(last_wins(made).collect())
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_one_lineage_leave_one_order(spark, tmp_path, new_store):
+    from ordermill.sinks.order_upsert import upsert_orders
+
+    made = accepted(classify(raw_frame(spark, [{"order_id": "A"}, {"order_id": "B"}])))
+    twice = made.unionByName(made)
+    assert {r["n"] for r in repeated_last(twice).collect()} == {2}
+    table = new_store().validated_table
+    upsert_orders(table, twice, "run-t", datetime(2026, 1, 1))
+    assert sorted(r["order_id"] for r in table.read().collect()) == ["A", "B"]
+
+
 def test_quarantine_and_counts(raw_of):
     classified = classify(raw_of({"order_id": ""}, {"order_id": "Y", "customer_id": "", "items": "["}, {},
                                  {"order_id": "Z", "currency": "yer"}))
