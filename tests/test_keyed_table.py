@@ -137,3 +137,29 @@ def test_a_file_is_created_once(spark, tmp_path):
     with pytest.raises(FileExistsError):
         _rename(spark, b, new)
     assert (tmp_path / "new").read_text() == "a"
+
+
+def test_large_change_set_shuffles_the_survivors_once(table, monkeypatch):
+    monkeypatch.setattr(K, "BROADCAST_KEYS", 0)
+    made = table(buckets=8)
+    change(made, [(f"k{i}", i) for i in range(100)], K.INSERTED)
+    after = change(made, [(f"k{i}", -i) for i in range(0, 100, 3)], K.UPDATED)
+    assert rows_of(made) == {f"k{i}": i if i % 3 else -i for i in range(100)}
+    # One piece of new rows and one of survivors in a bucket.
+    assert max(sum(p.bucket == b for p in made.pieces(after)) for b in range(8)) <= 2
+    staged, pieces = made._sets([after.change_set]), made.pieces(made.snapshot(1))
+
+    def plan(buckets):
+        kept = made._survivors(staged, pieces, 34, buckets, False)
+        assert sorted(r["n"] for r in kept.collect()) == [i for i in range(100) if i % 3]
+        return kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+    threshold = made.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    made.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # The rows and the keys; not the rows again by bucket.
+        assert plan(8).count("Exchange hashpartitioning") == 2
+        # Fewer buckets than the session's shuffles are wide: a join by key would scatter them.
+        assert "Exchange hashpartitioning(bucket" in plan(3)
+    finally:
+        made.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
