@@ -163,3 +163,36 @@ def test_large_change_set_shuffles_the_survivors_once(table, monkeypatch):
         assert "Exchange hashpartitioning(bucket" in plan(3)
     finally:
         made.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_files_of_a_change_set_are_the_pieces_of_its_rows(table, tmp_path):
+    made = table()
+    first = change(made, [(f"k{i}", i) for i in range(60)], K.INSERTED)
+    pieces = made.pieces(first)
+    # Written once, unsorted, a bucket to a file.
+    assert len(pieces) == 4 and all(p.path.startswith("changes/") for p in pieces)
+    assert not (tmp_path / "t" / "data").exists()
+    # Rows that are not in the table lie next to the new ones.
+    both = made.spark.createDataFrame([("k1", -1, K.UPDATED), ("k2", None, K.DELETED), ("k60", 60, K.INSERTED),
+                                       ("k3", None, K.UNCHANGED)], "id string, n long, action string")
+    made.commit(first, made.stage(both, first))
+    expected = {f"k{i}": i for i in range(61) if i != 2} | {"k1": -1}
+    assert rows_of(made) == expected and rows_of(made, 1) == {f"k{i}": i for i in range(60)}
+    # Mostly others: the new rows get files of their own.
+    base = made.snapshot()
+    rest = made.spark.createDataFrame([(f"k{i}", None, K.UNCHANGED) for i in range(10, 50)] + [("k61", 61, K.INSERTED)],
+                                      "id string, n long, action string")
+    last = made.commit(base, made.stage(rest, base))
+    assert {p.path.split("/")[0] for p in set(made.pieces(last)) - set(made.pieces(base))}.isdisjoint({"changes"})
+    assert rows_of(made) == expected | {"k61": 61}
+
+
+def test_files_with_several_buckets_are_no_pieces(table):
+    made = table()
+    base = made.snapshot()
+    rows = made.spark.createDataFrame([(f"k{i}", i) for i in range(60)], SCHEMA)
+    after = made.commit(base, made.stage(rows.withColumn("action", F.lit(K.INSERTED)), base, tasks=3))
+    assert rows_of(made) == {f"k{i}": i for i in range(60)}
+    own = made.spark.range(1).select(made.bucket(F.lit("k7"), 4)).first()[0]
+    assert "k7" in {r["id"] for r in made.read(after, {own}).collect()}
+    assert len(made.pieces(after)) == 4

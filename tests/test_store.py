@@ -562,3 +562,24 @@ def test_sales_by_day_granularity(two_runs):
     days = sales_by_period(two_runs.validated(), "anything").collect()
     assert {len(r["period"]) for r in months} == {7} and {len(r["period"]) for r in days} == {10}
     assert sum(r["orders_count"] for r in months) == sum(r["orders_count"] for r in days)
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_an_upsert_writes_rows_where_one_shuffle_by_id_takes_them(new_store, spark, monkeypatch, broadcast):
+    from ordermill.sinks import keyed_table, order_upsert
+
+    for module in (keyed_table, order_upsert):
+        monkeypatch.setattr(module, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(keyed_table, "TASK_ROWS", 2)
+    store = new_store(buckets=8)
+    with monkeypatch.context() as patched:
+        patched.setattr(KeyedTable, "_write_new_rows", None)
+        ingest(store, envelope(spark, [*FIRST, order(3, city="Late")], "r1"), "r1")
+    table = store.validated_table
+    pieces = table.pieces(table.snapshot())
+    # Every file has rows of one bucket, and a bucket with many rows has several files.
+    assert len(pieces) > 8 and all(p.path.startswith("changes/") for p in pieces)
+    assert [r["city"] for r in store.validated().where("order_id = 'O003'").collect()] == ["Late"]
+    ingest(store, envelope(spark, [*SECOND, order(12, city="Late")], "r2"), "r2")
+    assert actions(store, 2) == {"inserted": 6, "updated": 9, "unchanged": 9}
+    assert store.validated().count() == store.validated().select("order_id").distinct().count() == 36
