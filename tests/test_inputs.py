@@ -42,3 +42,17 @@ def test_items_are_collected_after_one_shuffle_of_narrow_rows(spark, folder):
     # From above: nothing but projections and the window over one sort lie on the shuffle by ranges.
     above = plan[: plan.index("rangepartitioning")]
     assert "hashpartitioning" not in above and above.count("Sort [") == 1
+
+
+def test_more_lines_are_sorted_by_more_tasks(spark, folder, monkeypatch):
+    whole = sorted(map(str, inputs.dirty_orders(spark, folder).collect()))
+    monkeypatch.setattr(inputs, "TASK_LINES", 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        made = inputs.dirty_orders(spark, folder)
+        assert sorted(map(str, made.collect())) == whole
+        plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert ", 6)" in plan[plan.index("rangepartitioning"):].splitlines()[0]
