@@ -56,3 +56,8 @@ def test_more_lines_are_sorted_by_more_tasks(spark, folder, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert ", 6)" in plan[plan.index("rangepartitioning"):].splitlines()[0]
+
+
+def test_items_are_ordered_without_a_function_for_each_item(spark, folder):
+    plan = inputs.dirty_orders(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "lambda" not in plan
