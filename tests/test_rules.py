@@ -9,11 +9,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ordermill.constants import ITEM_QUANTITY_KEYS, ITEM_UNIT_PRICE_KEYS
+from ordermill.constants import ITEM_QUANTITY_KEYS, ITEM_UNIT_PRICE_KEYS, WHITESPACE
 from ordermill.functions import dates, items, rules
 from ordermill.functions.layers import add_layers
 from ordermill.functions.money import with_price
-from ordermill.functions.text import clean
+from ordermill.functions.text import clean, strip
 
 
 def outputs(spark, rule, inputs):
@@ -240,3 +240,11 @@ def test_every_date_spelling_reads_back(spark, days):
     assert [g[0] for g in got] == [d.isoformat() for d, _ in spellings]
     again = outputs(spark, rules.date, [g[0] for g in got])
     assert again == [(g[0], False) for g in got]
+
+
+def test_texts_are_stripped_of_outer_whitespace_of_any_kind(spark):
+    ends = ["", *WHITESPACE, "!", "~", "\x7f", "\x01", "é", "ر", "😀"]
+    texts = [a + middle + b for a in ends for b in ends for middle in ("", "x", " ", "ق\xa0ق")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([*texts, None])], "i int, x string")
+    found = [r[0] for r in df.orderBy("i").select(strip(F.col("x"))).collect()]
+    assert found == [*[x.strip(WHITESPACE) for x in texts], None]
