@@ -4,6 +4,8 @@ from datetime import datetime
 
 import pytest
 
+from ordermill.schema import PHYSICAL_FIELDS
+from ordermill.sources import order_csv as S
 from ordermill.verify import inputs
 
 DAY = datetime(1997, 3, 5)
@@ -61,3 +63,12 @@ def test_more_lines_are_sorted_by_more_tasks(spark, folder, monkeypatch):
 def test_items_are_ordered_without_a_function_for_each_item(spark, folder):
     plan = inputs.dirty_orders(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert "sort_array(" in plan and "lambda" not in plan
+
+
+def test_order_files_are_zipped_and_read_back_in_order(spark, folder, tmp_path):
+    made = inputs.dirty_orders(spark, folder)
+    path = inputs.write_order_csv(made, str(tmp_path / "zipped"))
+    assert list((tmp_path / "zipped").glob("part-*")) and not list((tmp_path / "zipped").glob("*.csv"))
+    read = S.numbered(S.with_lineage(S.scan_orders(spark, path))).orderBy(*S.ROW_ORDER)
+    expected = [tuple(r[c] or None for c in PHYSICAL_FIELDS) for r in made.collect()]
+    assert [tuple(r[c] or None for c in PHYSICAL_FIELDS) for r in read.collect()] == expected
