@@ -12,6 +12,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import raw_frame
+from ordermill.operators.classify import classify, quarantined
 from ordermill.operators.reports import run_report, sales_by_period, top_products
 from ordermill.operators.lookups import run_lookup
 from ordermill.operators.sampling import header_bytes, prefix_while, size_sample, widening_sample
@@ -583,3 +584,28 @@ def test_an_upsert_writes_rows_where_one_shuffle_by_id_takes_them(new_store, spa
     ingest(store, envelope(spark, [*SECOND, order(12, city="Late")], "r2"), "r2")
     assert actions(store, 2) == {"inserted": 6, "updated": 9, "unchanged": 9}
     assert store.validated().count() == store.validated().select("order_id").distinct().count() == 36
+
+
+@pytest.mark.parametrize("told_apart", [True, False])
+def test_accepted_records_are_not_staged_again(new_store, spark, monkeypatch, told_apart):
+    rows = [*FIRST, order(3, customer_id="OTHER"), order(40, order_date="2025-13-45"), order(5, customer_id="", city="X"),
+            order(41), order(41, customer_id="OTHER", order_date="2025-13-45"), order(42)]
+    records = envelope(spark, rows, "r1")
+    if not told_apart:
+        # An accepted row has the lineage of a conflicting one, and so has a rejected one.
+        place = F.col("number_row_source")
+        records = records.withColumn("number_row_source", F.when(place.isin(34, 35), 30).otherwise(place))
+    staged, delete = [], ingest_module.delete_path
+
+    def keep(session, path):
+        if "/staging/" in path:
+            staged.extend(session.read.parquet(f"{path}/ruled").select("errors", "record_raw").collect())
+        return delete(session, path)
+
+    store = new_store()
+    monkeypatch.setattr(ingest_module, "delete_path", keep)
+    ingest(store, records, "r1")
+    assert len(staged) == len(rows) and all((r["record_raw"] is None) == (not r["errors"]) for r in staged)
+    expected = quarantined(classify(store.raw())).drop("id_run")
+    found = store.quarantine().select(*expected.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) != []
