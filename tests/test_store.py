@@ -609,3 +609,22 @@ def test_accepted_records_are_not_staged_again(new_store, spark, monkeypatch, to
     expected = quarantined(classify(store.raw())).drop("id_run")
     found = store.quarantine().select(*expected.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) != []
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for name in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+                if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before = shuffled()
+    grouped = spark.range(1000).groupBy(F.col("id") % 7).count()
+    assert len(grouped.collect()) == 7
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    # A frame is computed again when it is asked again.
+    assert len(grouped.collect()) == 7
