@@ -628,3 +628,9 @@ def test_shuffle_files_go_with_their_query(spark):
     assert not shuffled() - before
     # A frame is computed again when it is asked again.
     assert len(grouped.collect()) == 7
+
+
+def test_layouts_are_packed_like_the_table(two_runs, tmp_path):
+    write_layouts(two_runs.validated_table, str(tmp_path / "packed"))
+    files = glob.glob(str(tmp_path / "packed" / "*" / "runs" / "*" / "rows" / "part-*"))
+    assert files and all(file.endswith(".zstd.parquet") for file in files)
