@@ -196,3 +196,39 @@ def test_files_with_several_buckets_are_no_pieces(table):
     own = made.spark.range(1).select(made.bucket(F.lit("k7"), 4)).first()[0]
     assert "k7" in {r["id"] for r in made.read(after, {own}).collect()}
     assert len(made.pieces(after)) == 4
+
+
+@pytest.mark.parametrize("task_keys, parts", [(100, 64), (0, 2)])
+def test_large_change_set_copies_survivors_without_a_shuffle(table, monkeypatch, task_keys, parts):
+    monkeypatch.setattr(K, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(K, "TASK_KEYS", task_keys)
+    monkeypatch.setattr(K, "PARTS", parts)
+    monkeypatch.setattr(K.KeyedTable, "_survivors", None)
+    made = table(bucket_bytes=900)
+    # Pieces of 4 buckets serve those of the grown table; buckets without a changed key keep their rows.
+    change(made, [(f"k{i}", i) for i in range(300)] + [(None, -5)], K.INSERTED)
+    buckets = made.snapshot().buckets
+    assert buckets > 4
+    changed = [i for i in range(300) if i % 7 == 0]
+    after = change(made, [(f"k{i}", -i) for i in changed] + [("gone", 0)], K.UPDATED)
+    assert rows_of(made) == {f"k{i}": -i if i % 7 == 0 else i for i in range(300)} | {None: -5, "gone": 0}
+    change(made, [(f"k{i}", None) for i in changed[:5]], K.DELETED)
+    assert sorted(r["n"] for r in made.read().where("n > 0").collect()) == [i for i in range(300) if i % 7]
+    assert made.read(after, set(range(after.buckets))).count() == 302
+
+
+def test_survivors_of_a_large_change_set_stay_in_their_tasks(table, monkeypatch):
+    monkeypatch.setattr(K, "BROADCAST_KEYS", 0)
+    made, plans = table(buckets=8), []
+    change(made, [(f"k{i}", i) for i in range(100)], K.INSERTED)
+    write = K.reduce
+
+    def seen(function, parts):
+        rows = write(function, parts)
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    monkeypatch.setattr(K, "reduce", seen)
+    change(made, [(f"k{i}", -i) for i in range(0, 100, 3)], K.UPDATED)
+    assert len(plans) == 1 and "Exchange" not in plans[0] and plans[0].count("ShuffledHashJoin") == 8
+    assert rows_of(made) == {f"k{i}": i if i % 3 else -i for i in range(100)}
